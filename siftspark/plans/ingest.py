@@ -11,7 +11,7 @@ from siftspark.operators.scope import build_scope, in_scope, latest_versions, ve
 from siftspark.plans.layout import Layout
 from siftspark.registry import LINEAGE, Registry
 from siftspark.sinks.documents import write_category_documents, write_raw
-from siftspark.sources.documents import category_documents, read_raw_json
+from siftspark.sources.documents import LANDING, category_documents, read_raw_json
 from siftspark.sources.mmcif import parse_mmcif
 
 
@@ -41,13 +41,13 @@ def land_raw(texts: DataFrame, layout: Layout, registry: Registry, run: str) ->
     write_raw(raw, layout.raw(run), mode="overwrite")
     landed = read_raw_json(spark, layout.raw(run), registry.names)
     write_category_documents(category_documents(landed, registry), layout.landing)
-    landing = spark.read.parquet(layout.landing)
+    landing = spark.read.schema(LANDING).parquet(layout.landing)
     build_scope(landing).write.mode("overwrite").parquet(layout.scope)
     return read_scope(spark, layout)
 
 
 def read_scope(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.parquet(layout.scope)
+    return spark.read.schema("category string, experiment string").parquet(layout.scope)
 
 
 def record_versions(versions: DataFrame, layout: Layout, run: str) -> None:

@@ -36,7 +36,9 @@ def refine(
     # The plan depends on versions this run will add to, so it is written down first.
     plan_at = work_path(spark, "plan")
     plan.write.parquet(plan_at)
-    plan = spark.read.parquet(plan_at)
+    plan = spark.read.schema(plan.schema).parquet(plan_at)
+    if plan.isEmpty():
+        return plan
     todo = in_scope(texts.withColumn(LINEAGE, F.upper(LINEAGE)), plan)
     scope = land_raw(todo, layout, registry, run)
     held = {row["category"] for row in scope.select("category").distinct().collect()}

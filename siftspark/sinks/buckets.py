@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from siftspark.functions import bucket
 from siftspark.operators.merge import merge_upsert, replace_by_key
@@ -69,40 +69,30 @@ def write_table(df: DataFrame, path: str, n: int = BUCKETS) -> None:
     _write(df.withColumn(name, bucket(F.col(LINEAGE), n)), path, name)
 
 
+def _buckets_of(df: DataFrame, n: int) -> set[int]:
+    """Buckets that the rows' experiments fall into: at most n numbers."""
+    return {r["b"] for r in df.select(bucket(F.col(LINEAGE), n).alias("b")).distinct().collect()}
+
+
 def _rewrite(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    touched_by: DataFrame,
+    touched: set[int],
     combine: Callable[[DataFrame], DataFrame],
     n: int,
 ) -> None:
-    """Replace the buckets of `touched_by`'s experiments by what `combine` makes of them."""
-    name = bucket_column(n)
-    buckets = touched_by.select(bucket(F.col(LINEAGE), n).alias("b")).distinct()
-    touched = sorted(row["b"] for row in buckets.collect())  # at most n numbers
+    """Replace the touched buckets by what `combine` makes of them."""
     if not touched:
         return
+    name = bucket_column(n)
     stored = _stored(spark, path, schema, n)
     if stored is None:
         current = spark.createDataFrame([], schema)
     else:
-        current = stored.filter(F.col(name).isin(touched)).select(*schema.fieldNames())
-    written = Observation()
-    after = (
-        combine(current)
-        .select(*schema.fieldNames())
-        .withColumn(name, bucket(F.col(LINEAGE), n))
-        .observe(written, F.collect_set(name).alias("buckets"))
-    )
-    _write(after, path, name)
-    if stored is None:
-        return
-    # A dynamic overwrite leaves partitions it has no rows for as they were: empty those.
-    kept = set(written.get["buckets"])
-    for b in touched:
-        if b not in kept:
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{name}={b}")
+        current = stored.filter(F.col(name).isin(sorted(touched))).select(*schema.fieldNames())
+    after = combine(current).select(*schema.fieldNames())
+    _write(after.withColumn(name, bucket(F.col(LINEAGE), n)), path, name)
 
 
 def merge_into(
@@ -118,9 +108,11 @@ def merge_into(
     as it is read for the touched buckets, for its keys and for its rows."""
     if LINEAGE not in keys:
         raise ValueError(f"merge keys must include {LINEAGE}: {keys}")
-    _rewrite(
-        spark, path, schema, source, lambda now: merge_upsert(now, source, keys, null_safe), n
-    )
+
+    def combine(current: DataFrame) -> DataFrame:
+        return merge_upsert(current, source, keys, null_safe)
+
+    _rewrite(spark, path, schema, _buckets_of(source, n), combine, n)
 
 
 def replace_experiments(
@@ -132,7 +124,23 @@ def replace_experiments(
     n: int = BUCKETS,
 ) -> None:
     """All rows of the listed experiments (by default the source's) are replaced."""
-    listed = source if listed is None else listed
-    _rewrite(
-        spark, path, schema, listed, lambda now: replace_by_key(now, source, LINEAGE, listed), n
-    )
+    filled = _buckets_of(source, n)
+    touched = filled if listed is None else filled | _buckets_of(listed, n)
+    emptied = touched - filled
+    if emptied:
+        # A dynamic overwrite leaves a partition it has no rows for as it was, so buckets
+        # that lose their last row are emptied one by one.
+        name = bucket_column(n)
+        stored = _stored(spark, path, schema, n)
+        if stored is not None:
+            rest = stored.filter(F.col(name).isin(sorted(emptied))).select(LINEAGE)
+            emptied -= _buckets_of(rest.join(listed, LINEAGE, "left_anti"), n)
+            for b in sorted(emptied):
+                nothing = spark.createDataFrame([], schema)
+                nothing.write.mode("overwrite").parquet(f"{path}/{name}={b}")
+        touched -= emptied
+
+    def combine(current: DataFrame) -> DataFrame:
+        return replace_by_key(current, source, LINEAGE, listed)
+
+    _rewrite(spark, path, schema, touched, combine, n)

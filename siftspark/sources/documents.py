@@ -13,6 +13,9 @@ from siftspark.operators.scope import in_scope
 from siftspark.registry import Registry
 from siftspark.sources.mmcif import DATA_TYPE
 
+# One row per (category, experiment); the category is the partition.
+LANDING = "experiment string, attributes map<string,array<string>>, category string"
+
 _ATTRIBUTES = T.MapType(T.StringType(), T.VariantType())
 
 
@@ -120,7 +123,8 @@ def read_category(
 ) -> DataFrame:
     """Documents of one category (a partition of the landing folder), in scope only."""
     documents = (
-        spark.read.parquet(root)
+        spark.read.schema(LANDING)
+        .parquet(root)
         .filter(F.col("category") == category)
         .select("experiment", "attributes")
     )
@@ -129,6 +133,7 @@ def read_category(
 
 __all__ = [
     "DATA_TYPE",
+    "LANDING",
     "category_documents",
     "json_path",
     "raw_eav",

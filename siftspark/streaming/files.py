@@ -8,13 +8,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siftspark.functions import experiment_of_file
-from siftspark.plans.bronze import bronze_rows
 from siftspark.operators.reshape import ragged
+from siftspark.plans.bronze import bronze_rows
 from siftspark.plans.layout import Layout
 from siftspark.registry import LINEAGE, Registry
 from siftspark.sinks.buckets import replace_experiments
 from siftspark.sinks.documents import write_category_documents
-from siftspark.sources.documents import category_documents, raw_schema
+from siftspark.sources.documents import LANDING, category_documents, raw_schema
 
 
 def stream_files(
@@ -71,8 +71,7 @@ def stream_to_bronze(
         spark = batch.sparkSession
         landing = f"{layout.landing}/batch={batch_id}"
         write_category_documents(category_documents(_latest(batch), registry), landing)
-        schema = "experiment string, attributes map<string,array<string>>, category string"
-        landed = spark.read.schema(schema).parquet(landing)
+        landed = spark.read.schema(LANDING).parquet(landing)
         held = {row["category"] for row in landed.select("category").distinct().collect()}
         for spec in registry:
             if spec.name not in held:
