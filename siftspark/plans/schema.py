@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.operators.ranking import row_numbers
 from siftspark.operators.reshape import expand_requirements
 from siftspark.registry import Registry
 from siftspark.sources.dictionary import dictionary_links
@@ -22,20 +23,21 @@ def build_registry(pages: DataFrame, requirements: DataFrame, site: str = "") ->
     listed = (
         dictionary_links(pages)
         .groupBy("category", "attribute")
-        .agg(F.min_by("link", "ordinal").alias("link"), F.min("ordinal").alias("ordinal"))
+        .agg(F.min(F.struct("ordinal", "link")).alias("_first"))
+        .select("category", "attribute", "_first.ordinal", "_first.link")
     )
     wanted = expand_requirements(requirements, listed)
     own_page = F.concat(F.lit(ITEM_PAGE), "category", F.lit("."), "attribute", F.lit(".html"))
-    # One window group is one category's attributes, a few hundred rows at most.
-    rank = F.row_number().over(Window.partitionBy("category").orderBy("ordinal", "attribute"))
-    return wanted.join(
+    rows = wanted.join(
         listed.select("category", "attribute", "link"), ["category", "attribute"], "left"
     ).select(
         "category",
         "attribute",
-        rank.alias("ordinal"),
+        F.col("ordinal").alias("_listed"),
         F.concat(F.lit(site), F.coalesce("link", own_page)).alias("link"),
     )
+    numbered = row_numbers(rows, ["_listed", "attribute"], ["category"], "ordinal")
+    return numbered.select("category", "attribute", "ordinal", "link")
 
 
 def write_registry(attributes: DataFrame, registry: Registry, path: str) -> None:

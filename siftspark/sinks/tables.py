@@ -48,7 +48,9 @@ def drop_table(spark: SparkSession, table: str) -> None:
 
 
 def truncate(spark: SparkSession, table: str) -> None:
-    spark.sql(f"TRUNCATE TABLE {_quoted(table)}")
+    """Empty a table, also an external one, which TRUNCATE TABLE refuses."""
+    nothing = spark.createDataFrame([], spark.table(table).schema)
+    nothing.write.insertInto(table, overwrite=True)
 
 
 def append_positional(df: DataFrame, table: str) -> None:
@@ -58,11 +60,7 @@ def append_positional(df: DataFrame, table: str) -> None:
 
 def append_by_name(df: DataFrame, table: str) -> None:
     """Columns are matched by name; those the table has and the rows lack become NULL."""
-    df.createOrReplaceTempView("_siftspark_insert")
-    try:
-        df.sparkSession.sql(f"INSERT INTO {_quoted(table)} BY NAME SELECT * FROM _siftspark_insert")
-    finally:
-        df.sparkSession.catalog.dropTempView("_siftspark_insert")
+    df.sparkSession.sql(f"INSERT INTO {_quoted(table)} BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
 def append_rows(spark: SparkSession, rows: Iterable[tuple], table: str) -> None:
@@ -71,6 +69,7 @@ def append_rows(spark: SparkSession, rows: Iterable[tuple], table: str) -> None:
 
 
 def truncate_reload(df: DataFrame, table: str) -> None:
-    """The rows become the table's only ones. They must not be read from the same table."""
-    truncate(df.sparkSession, table)
-    append_by_name(df, table)
+    """The rows become the table's only ones, in one commit. They must not be read from it."""
+    df.sparkSession.sql(
+        f"INSERT OVERWRITE {_quoted(table)} BY NAME SELECT * FROM {{rows}}", rows=df
+    )

@@ -62,7 +62,7 @@ def dictionary_links(
     """
     kept = [f for f in pages.schema.fields if f.name != html]
     link = "array<struct<link:string,item:string>>"
-    schema = T.StructType(kept).add("_links", T._parse_datatype_string(link))
+    schema = T.StructType(list(kept)).add("_links", T._parse_datatype_string(link))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -103,7 +103,7 @@ def parse_mmcif(texts: DataFrame, text: str = "text") -> DataFrame:
     The other columns are kept; the text is not.
     """
     kept = [f for f in texts.schema.fields if f.name != text]
-    schema = T.StructType(kept).add("block", "string").add("_json", "string")
+    schema = T.StructType(list(kept)).add("block", "string").add("_json", "string")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
