@@ -202,7 +202,7 @@ def replace_key_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source, listed = _replacement(spark, sf_dir)
     path = work_path(spark, "replaced")
     write_table(target, path, 16)
-    replace_experiments(spark, path, target.schema, source, listed, 16)
+    replace_experiments(spark, path, target.schema, source, listed, n=16)
     return read_table(spark, path, target.schema, 16)
 
 

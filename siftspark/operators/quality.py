@@ -6,6 +6,8 @@ from the same result, so every row in scope lands on exactly one side.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,10 +58,16 @@ def typed(df: DataFrame, category: Category) -> DataFrame:
     return df.select(*typed_columns(category))
 
 
+def is_valid(category: Category) -> Column:
+    """All rules kept. Never NULL, and a plain conjunction, so that Catalyst can push the
+    parts of it that a file format understands down to the scan."""
+    return reduce(lambda a, b: a & b, rules(category).values(), F.lit(True))
+
+
 def flag(df: DataFrame, category: Category) -> DataFrame:
-    """Rows with `reject_reasons` and the boolean `accepted`."""
-    return df.withColumn(REASONS, reasons(rules(category))).withColumn(
-        ACCEPTED, F.size(REASONS) == 0
+    """Rows with the boolean `accepted` and `reject_reasons`, empty for accepted rows."""
+    return df.select(
+        "*", is_valid(category).alias(ACCEPTED), reasons(rules(category)).alias(REASONS)
     )
 
 
@@ -69,14 +77,14 @@ def _distinct(df: DataFrame, category: Category) -> DataFrame:
 
 def accepted(df: DataFrame, category: Category) -> DataFrame:
     """Rows that keep all rules, typed; equal rows are merged after the cast."""
-    good = flag(df, category).filter(ACCEPTED)
-    return _distinct(typed(good, category), category)
+    return _distinct(typed(df.filter(is_valid(category)), category), category)
 
 
 def rejected(df: DataFrame, category: Category) -> DataFrame:
     """Rows that break a rule, as the raw text they were, with the reasons."""
-    bad = flag(df, category).filter(~F.col(ACCEPTED))
-    return _distinct(bad.select(*category.names, REASONS), category)
+    bad = df.filter(~is_valid(category)).select(*category.names)
+    # Equal rows have equal reasons, so copies are merged before reasons are spelled out.
+    return _distinct(bad, category).select("*", reasons(rules(category)).alias(REASONS))
 
 
 def split(df: DataFrame, category: Category) -> DataFrame:
@@ -85,13 +93,11 @@ def split(df: DataFrame, category: Category) -> DataFrame:
     Exactly one of the structs is set. Written partitioned by `accepted`, it is the staged
     form the two tables are loaded from.
     """
-    flagged = flag(df, category)
+    raw = [F.col(n) for n in category.names]
     ok = F.col(ACCEPTED)
-    both = flagged.select(
+    both = df.select(*raw, is_valid(category).alias(ACCEPTED)).select(
         ACCEPTED,
         F.when(ok, F.struct(*typed_columns(category))).alias("silver"),
-        F.when(~ok, F.struct(*[F.col(n) for n in category.names], F.col(REASONS))).alias(
-            "rejected"
-        ),
+        F.when(~ok, F.struct(*raw, reasons(rules(category)).alias(REASONS))).alias("rejected"),
     )
     return _distinct(both, category)

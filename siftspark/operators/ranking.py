@@ -14,34 +14,40 @@ def row_numbers(
     """1, 2, ... by `order`, over all rows or within `keys`, for groups of any size.
 
     A plain window puts a whole group (without keys: all rows) into one task. Here rows are
-    range-partitioned on (keys, order) and staged, so a hot key spreads over as many ranges
-    as it fills; rows are numbered within (key, range) and shifted by the number of the
-    key's rows in earlier ranges, of which there is one count per key and range.
-    `order` should be unique within a key, as for any row number.
+    range-partitioned and sorted on (keys, order), numbered as they stand in their range,
+    and staged; a hot key spreads over as many ranges as it fills. What is left is to shift
+    the numbers by the key's rows in earlier ranges: one count per key and range, joined
+    back. `order` should be unique within a key, as for any row number.
     """
     spark, keys = df.sparkSession, keys or []
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged_at = work_path(spark, "ranges")
-    ranged = df.repartitionByRange(parts, *keys, *order)
-    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(staged_at)
+    # A monotonically increasing id is (partition << 33) + place in the partition.
+    place = F.monotonically_increasing_id()
+    (
+        df.repartitionByRange(*keys, *order)
+        .sortWithinPartitions(*keys, *order)
+        .withColumn("_place", place)
+        .withColumn("_range", F.shiftright("_place", 33))
+        .write.parquet(staged_at)
+    )
     staged = spark.read.parquet(staged_at)
 
-    counts = staged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranges = staged.groupBy(*keys, "_range").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")
+    )
+    # Ordered by range, a key has one row per range here: no more than there were tasks.
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = counts.select(
-        *keys, "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    local = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*order))
-    numbered = staged.withColumn("_local", local)
     # Keys may be NULL: compare them null-safely, on names that do not clash.
-    right = offsets.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_r"), "_before"
+    shifts = ranges.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        F.col("_range").alias("_r"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
     same = F.col("_range") == F.col("_r")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return numbered.join(right, same).select(
-        *df.columns, (F.col("_local") + F.col("_before")).alias(name)
+    return staged.join(shifts, same).select(
+        *df.columns, (F.col("_place") + F.col("_shift")).alias(name)
     )

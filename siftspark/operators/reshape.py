@@ -52,6 +52,11 @@ def ragged(attributes: Column) -> Column:
     return F.array_min(_lengths(attributes)) != F.array_max(_lengths(attributes))
 
 
+def table_rows(attributes: Column) -> Column:
+    """Number of rows the attributes form; NULL if they form no table."""
+    return F.when(~ragged(attributes), F.array_max(_lengths(attributes)))
+
+
 def arrays_to_rows(
     documents: DataFrame, names: Iterable[str], keys: Iterable[str], attributes: str = "attributes"
 ) -> DataFrame:

@@ -1,6 +1,6 @@
 """Which experiments a run touches.
 
-No join here is hinted: Catalyst broadcasts the key side when its size statistics are under
+No join here is hinted unseen: Catalyst broadcasts the key side when its size statistics are under
 `spark.sql.autoBroadcastJoinThreshold` (AQE re-checks with the measured size), and beyond
 that joins by shuffle, where AQE splits a hot experiment on the data side over many tasks.
 The key side is made distinct first, which combines copies before they are shuffled.
@@ -12,6 +12,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MAX_BROADCAST_BYTES = 128 << 20
+
+
+def broadcast_if_small(keys: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if the measured size of the keys is under the limit.
+
+    For a written key list beside rows too heavy to shuffle, such as whole texts. A row is
+    counted with 64 bytes on top of its text, which is more than a hashed row takes.
+    """
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keys.columns]
+    size = keys.agg(F.sum(sum(texts, F.lit(64))).alias("bytes")).first()["bytes"]
+    return F.broadcast(keys) if size is None or size <= limit else keys
+
+
 def in_scope(
     df: DataFrame, scope: DataFrame, category: str | None = None, key: str = "experiment"
 ) -> DataFrame:

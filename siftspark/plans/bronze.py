@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftspark.operators.constraints import require_rows
-from siftspark.operators.reshape import arrays_to_rows, conform, null_tokens, ragged
+from siftspark.operators.reshape import arrays_to_rows, conform, null_tokens
 from siftspark.plans.layout import Layout
 from siftspark.registry import LINEAGE, Category, Registry
 from siftspark.sinks.buckets import replace_experiments
@@ -30,16 +30,24 @@ def build_bronze(
     spec = registry[category]
     documents = read_category(spark, layout.landing, category, scope)
     require_rows(documents, f"no experiment of this run holds {category}")
-    uneven = ragged(F.col("attributes"))
-    documents.filter(uneven).withColumn("reason", F.lit("ragged")).write.mode(
-        "overwrite"
-    ).parquet(layout.quarantine(category))
-    even = documents.filter(~uneven)
+    uneven = documents.filter(F.col("n_rows").isNull())
+    uneven.withColumn("reason", F.lit("ragged")).write.mode("overwrite").parquet(
+        layout.quarantine(category)
+    )
+    replace_documents(spark, layout, spec, documents)
+
+
+def replace_documents(
+    spark: SparkSession, layout: Layout, spec: Category, documents: DataFrame
+) -> None:
+    """Replace the experiments of landed documents that form a table."""
+    even = documents.filter(F.col("n_rows").isNotNull())
     replace_experiments(
         spark,
-        layout.bronze(category),
+        layout.bronze(spec.name),
         spec.bronze_schema(),
         bronze_rows(even, spec),
         listed=even.select(LINEAGE),
+        filled=even.filter(F.col("n_rows") > 0).select(LINEAGE),
         n=layout.buckets,
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.operators.scope import in_scope
+from siftspark.operators.scope import broadcast_if_small
 from siftspark.plans.bronze import build_bronze
 from siftspark.plans.ingest import land_raw, plan_ingest, read_versions, record_versions
 from siftspark.plans.layout import Layout
@@ -39,7 +39,9 @@ def refine(
     plan = spark.read.schema(plan.schema).parquet(plan_at)
     if plan.isEmpty():
         return plan
-    todo = in_scope(texts.withColumn(LINEAGE, F.upper(LINEAGE)), plan)
+    # Texts are the bulk of the archive: do not shuffle them if the plan can be broadcast.
+    wanted = broadcast_if_small(plan.select(LINEAGE))
+    todo = texts.withColumn(LINEAGE, F.upper(LINEAGE)).join(wanted, LINEAGE, "left_semi")
     scope = land_raw(todo, layout, registry, run)
     held = {row["category"] for row in scope.select("category").distinct().collect()}
     for name in registry.names:

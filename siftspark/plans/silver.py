@@ -46,7 +46,7 @@ def build_silver(
     listed = scope.filter(F.col("category") == category).select(LINEAGE)
     for path, schema, rows, null_safe in tables:
         if scope_sync:
-            replace_experiments(spark, path, schema, rows, listed, layout.buckets)
+            replace_experiments(spark, path, schema, rows, listed, n=layout.buckets)
         else:
             merge_into(spark, path, schema, rows, spec.keys, null_safe, layout.buckets)
 

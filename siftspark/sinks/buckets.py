@@ -121,12 +121,17 @@ def replace_experiments(
     schema: T.StructType,
     source: DataFrame,
     listed: DataFrame | None = None,
+    filled: DataFrame | None = None,
     n: int = BUCKETS,
 ) -> None:
-    """All rows of the listed experiments (by default the source's) are replaced."""
-    filled = _buckets_of(source, n)
-    touched = filled if listed is None else filled | _buckets_of(listed, n)
-    emptied = touched - filled
+    """All rows of the listed experiments (by default the source's) are replaced.
+
+    `filled` may name the experiments that the source has rows of, where that is known
+    without computing the rows.
+    """
+    with_rows = _buckets_of(source if filled is None else filled, n)
+    touched = with_rows if listed is None else with_rows | _buckets_of(listed, n)
+    emptied = touched - with_rows
     if emptied:
         # A dynamic overwrite leaves a partition it has no rows for as it was, so buckets
         # that lose their last row are emptied one by one.

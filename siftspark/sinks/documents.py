@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from siftspark.operators.reshape import table_rows
 
 
 def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
@@ -11,14 +14,16 @@ def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_category_documents(documents: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Category documents, one directory per category.
+    """Category documents with their number of rows, one directory per category.
 
     A directory per experiment as well would mean one small file for each pair, so the
     experiment stays a column. REBALANCE evens out file sizes; a large category is spread
     over many files.
     """
     (
-        documents.select("experiment", "category", "attributes")
+        documents.select(
+            "experiment", "category", "attributes", table_rows(F.col("attributes")).alias("n_rows")
+        )
         .hint("rebalance", "category")
         .write.mode(mode)
         .partitionBy("category")

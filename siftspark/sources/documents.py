@@ -13,8 +13,9 @@ from siftspark.operators.scope import in_scope
 from siftspark.registry import Registry
 from siftspark.sources.mmcif import DATA_TYPE
 
-# One row per (category, experiment); the category is the partition.
-LANDING = "experiment string, attributes map<string,array<string>>, category string"
+# One row per (category, experiment); the category is the partition. `n_rows` is NULL for
+# attributes of unequal length.
+LANDING = "experiment string, attributes map<string,array<string>>, n_rows int, category string"
 
 _ATTRIBUTES = T.MapType(T.StringType(), T.VariantType())
 
@@ -126,7 +127,7 @@ def read_category(
         spark.read.schema(LANDING)
         .parquet(root)
         .filter(F.col("category") == category)
-        .select("experiment", "attributes")
+        .select("experiment", "attributes", "n_rows")
     )
     return documents if scope is None else in_scope(documents, scope, category)
 

@@ -8,11 +8,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siftspark.functions import experiment_of_file
-from siftspark.operators.reshape import ragged
-from siftspark.plans.bronze import bronze_rows
+from siftspark.plans.bronze import replace_documents
 from siftspark.plans.layout import Layout
 from siftspark.registry import LINEAGE, Registry
-from siftspark.sinks.buckets import replace_experiments
 from siftspark.sinks.documents import write_category_documents
 from siftspark.sources.documents import LANDING, category_documents, raw_schema
 
@@ -76,17 +74,8 @@ def stream_to_bronze(
         for spec in registry:
             if spec.name not in held:
                 continue
-            even = landed.filter(
-                (F.col("category") == spec.name) & ~ragged(F.col("attributes"))
-            ).select(LINEAGE, "attributes")
-            replace_experiments(
-                spark,
-                layout.bronze(spec.name),
-                spec.bronze_schema(),
-                bronze_rows(even, spec),
-                listed=even.select(LINEAGE),
-                n=layout.buckets,
-            )
+            documents = landed.filter(F.col("category") == spec.name)
+            replace_documents(spark, layout, spec, documents)
 
     return (
         stream.writeStream.foreachBatch(load)
