@@ -49,7 +49,7 @@ class scratch_table:
         drop_table(self.spark, self.name)
 
 
-ACCOUNT = T._parse_datatype_string("key bigint, name string, balance double")
+ACCOUNT = T.StructType().add("key", "long").add("name", "string").add("balance", "double")
 
 
 def _accounts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -123,7 +123,7 @@ def insert_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Literal and computed rows side by side in a control table."""
-    schema = T._parse_datatype_string("category string, experiment string")
+    schema = T.StructType().add("category", "string").add("experiment", "string")
     scope = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("category"), F.col("user_id").cast("string").alias("experiment")
     )

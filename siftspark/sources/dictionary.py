@@ -61,8 +61,8 @@ def dictionary_links(
     `item` is the anchor text, `attribute` the part of it after the dot.
     """
     kept = [f for f in pages.schema.fields if f.name != html]
-    link = "array<struct<link:string,item:string>>"
-    schema = T.StructType(list(kept)).add("_links", T._parse_datatype_string(link))
+    link = T.StructType().add("link", "string").add("item", "string")
+    schema = T.StructType(list(kept)).add("_links", T.ArrayType(link))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
