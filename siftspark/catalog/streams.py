@@ -44,8 +44,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw documents as a stream into the bronze tables; a replay changes nothing."""
     landing = work_path(spark, "raw")
     layout = Layout(work_path(spark, "archive"), BUCKETS)
-    raw = parse_mmcif(document_texts(spark, sf_dir))
-    write_raw(raw.select("experiment", "data", "etag"), landing)
+    write_raw(parse_mmcif(document_texts(spark, sf_dir), as_json=True), landing)
     for seen in (work_path(spark, "seen"), work_path(spark, "replay")):
         stream_to_bronze(stream_raw(spark, landing), layout, DOCUMENTS, seen).awaitTermination()
     schema = DOCUMENTS["line"].bronze_schema()

@@ -37,7 +37,7 @@ def land_raw(texts: DataFrame, layout: Layout, registry: Registry, run: str) ->
     """
     spark = texts.sparkSession
     assert_unique(texts, [LINEAGE])
-    raw = parse_mmcif(texts).select(F.upper(LINEAGE).alias(LINEAGE), "data", "etag")
+    raw = parse_mmcif(texts, as_json=True).withColumn(LINEAGE, F.upper(LINEAGE))
     write_raw(raw, layout.raw(run), mode="overwrite")
     landed = read_raw_json(spark, layout.raw(run), registry.names)
     write_category_documents(category_documents(landed, registry), layout.landing)

@@ -4,13 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftspark.operators.reshape import table_rows
 
 
-def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
-    """Raw documents `{experiment, data, etag}`, one JSON line each."""
-    raw.select("experiment", "data", "etag").write.mode(mode).json(path, compression="gzip")
+def write_raw(raw: DataFrame, path: str, mode: str = "append", compression: str = "none") -> None:
+    """Raw documents `{experiment, etag, data}`, one JSON line each.
+
+    `data` is a tree (maps, structs, variants) or the JSON text of one. Uncompressed lines
+    can be read by several tasks per file, which gzip would not allow.
+    """
+    if raw.schema["data"].dataType != T.StringType():
+        documents = raw.select("experiment", "etag", "data")
+        documents.write.mode(mode).json(path, compression=compression)
+        return
+    rest = F.substr(F.to_json(F.struct("experiment", "etag")), F.lit(2))
+    line = F.concat(F.lit('{"data":'), "data", F.lit(","), rest)
+    raw.select(line).write.mode(mode).text(path, compression=compression)
 
 
 def write_category_documents(documents: DataFrame, root: str, mode: str = "overwrite") -> None:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftspark.functions import after_dot
 
+# Workers get this module's functions with the task, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Markup of the attribute list on a dictionary page.
 LIST_CLASS = "list-group"
 ITEM_CLASS = "list-group-item"

@@ -10,44 +10,84 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Workers get this module's functions with the task, so they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DATA_TYPE = "map<string,map<string,variant>>"
 
-# One token of a line: quoted text (a quote closes only before space), a comment, or a word.
-_TOKEN = re.compile(r"""'(.*?)'(?=\s|$)|"(.*?)"(?=\s|$)|(\#.*)|(\S+)""")
-_NEEDS_CARE = re.compile(r"""['"#]|\s_|(?:^|\s)(?:loop_|data_|save_|stop_|global_)""", re.IGNORECASE)
+# Every token that is no plain value starts with one of the first four characters, or is a
+# reserved word, which has an underscore in a known place.
+_MARK = re.compile("""['"#;_]""")
+_RESERVED = {"loop": True, "stop": True, "global": True, "data": False, "save": False}
+_QUOTED = {"'": re.compile(r"'(.*?)'(?=\s|$)"), '"': re.compile(r'"(.*?)"(?=\s|$)')}
+_WORD = re.compile(r"\S+")
+
+
+def _word_start(text: str, underscore: int) -> int:
+    """Where the item name or reserved word with this underscore starts; -1 for neither."""
+    if text[underscore - 1].isspace():
+        return underscore
+    for size in (4, 6):
+        start = underscore - size
+        if start > 0 and text[start - 1].isspace():
+            whole = _RESERVED.get(text[start:underscore].lower())
+            if whole is not None and (not whole or not text[underscore + 1 : underscore + 2].strip()):
+                return start
+    return -1
 
 
 def _tokens(text: str) -> Iterator[tuple[bool, list[str]]]:
-    """Runs of tokens as (may hold keywords or item names, tokens)."""
-    lines = iter(text.replace("\r\n", "\n").split("\n"))
-    for line in lines:
-        if line.startswith(";"):
-            block = [line[1:]]
-            line = ""
-            for inner in lines:
-                if inner.startswith(";"):
-                    line = inner[1:]
-                    break
-                block.append(inner)
-            yield False, ["\n".join(block)]
-        if not _NEEDS_CARE.search(line):
-            words = line.split()
-            if words:
-                yield words[0][0] == "_", words
+    """Tokens in order, as (is it a name or keyword, tokens); values come in runs.
+
+    Between marks the text is split at white space in one go, so the long numeric tables
+    that make up most of an archive cost little Python per value.
+    """
+    text = "\n" + text.replace("\r\n", "\n")
+    at = look = 0  # start of the open run, place to look for the next mark
+    while mark := _MARK.search(text, look):
+        start = mark.start()
+        first = text[start]
+        if first == "_":
+            start = _word_start(text, start)
+        elif not text[start - 1].isspace() or (first == ";" and text[start - 1] != "\n"):
+            start = -1
+        if start < 0:
+            look = mark.end()
             continue
-        for single, double, comment, word in (m.groups() for m in _TOKEN.finditer(line)):
-            if word is not None:
-                yield True, [word]
-            elif comment is None:
-                yield False, [single if single is not None else double]
+        values = text[at:start].split()
+        if values:
+            yield False, values
+        if first == ";":  # text field, up to the next line that starts with ';'
+            at = text.find("\n;", start)
+            if at < 0:
+                yield False, [text[start + 1 :]]
+                return
+            yield False, [text[start + 1 : at]]
+            at += 2
+        elif first == "#":  # comment
+            at = text.find("\n", start)
+            if at < 0:
+                return
+        elif quoted := first in _QUOTED and _QUOTED[first].match(text, start):
+            yield False, [quoted[1]]
+            at = quoted.end()
+        else:  # also a quote that is never closed
+            word = _WORD.match(text, start)
+            yield first not in _QUOTED, [word[0]]
+            at = word.end()
+        look = at
+    values = text[at:].split()
+    if values:
+        yield False, values
 
 
 def parse_text(text: str) -> tuple[str | None, dict[str, dict]]:
@@ -68,53 +108,52 @@ def parse_text(text: str) -> tuple[str | None, dict[str, dict]]:
                 put(full, values[i :: len(loop)])
         loop, values = None, []
 
-    for may_be_name, words in _tokens(text):
-        if not may_be_name and loop:
-            values.extend(words)
-            continue
-        for word in words:
-            lower = word.lower() if may_be_name else ""
-            if lower.startswith("data_"):
-                close()
-                if name is not None:
-                    return name, block
-                name, item = word[5:], None
-            elif lower == "loop_":
-                close()
-                loop, item = [], None
-            elif may_be_name and word.startswith("_"):
-                if loop is None or values:
-                    close()
-                    item = word
-                else:
-                    loop.append(word)
-            elif loop:
-                values.append(word)
+    for special, words in _tokens(text):
+        if not special:
+            if loop:
+                values.extend(words)
             elif item is not None:
-                put(item, word)
+                put(item, words[0])
                 item = None
+            continue
+        word = words[0]
+        lower = word.lower()
+        if word[0] == "_":
+            if loop is None or values:
+                close()
+                item = word
+            else:
+                loop.append(word)
+        elif lower == "loop_":
+            close()
+            loop, item = [], None
+        elif lower.startswith("data_"):
+            close()
+            if name is not None:
+                return name, block
+            name, item = word[5:], None
     close()
     return name, block
 
 
-def parse_mmcif(texts: DataFrame, text: str = "text") -> DataFrame:
+def parse_mmcif(texts: DataFrame, text: str = "text", as_json: bool = False) -> DataFrame:
     """Add `block` (name of the first data block) and `data` to rows that carry a text.
 
-    The other columns are kept; the text is not.
+    The other columns are kept; the text is not. `data` is a map category -> attribute ->
+    leaf, or with `as_json` its JSON text, which `write_raw` puts into documents as it is.
     """
     kept = [f for f in texts.schema.fields if f.name != text]
-    schema = T.StructType(list(kept)).add("block", "string").add("_json", "string")
+    schema = T.StructType(list(kept)).add("block", "string").add("data", "string")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parsed = [parse_text(t) if t is not None else (None, {}) for t in batch.pop(text)]
             batch["block"] = [name for name, _ in parsed]
-            batch["_json"] = [json.dumps(block) for _, block in parsed]
+            batch["data"] = [json.dumps(block, ensure_ascii=False) for _, block in parsed]
             yield batch
 
-    return texts.mapInPandas(parse, schema).select(
-        *[f.name for f in kept], "block", F.from_json("_json", DATA_TYPE).alias("data")
-    )
+    parsed = texts.mapInPandas(parse, schema)
+    return parsed if as_json else parsed.withColumn("data", F.from_json("data", DATA_TYPE))
 
 
 def read_mmcif(spark: SparkSession, path: str, pattern: str = "*.cif*") -> DataFrame:

@@ -60,6 +60,8 @@ def test_truncated_and_odd_texts():
     assert parse_text("data_A\n_c.a '_not.a_name'\n_c.b \"loop_\"\n")[1] == {
         "_c": {"a": "_not.a_name", "b": "loop_"}
     }
+    odd = "DATA_A\nLoop_\n_c.a\n5' a_b loop_x 'un_closed\n#end\n;\n;\nglobal_\n"
+    assert parse_text(odd)[1] == {"_c": {"a": ["5'", "a_b", "loop_x", "'un_closed", ""]}}
     assert parse_text("data_A\n_c.a 1 _c.b 2 loop_ _d.x 1 2 _c.e 3")[1] == {
         "_c": {"a": "1", "b": "2", "e": "3"},
         "_d": {"x": ["1", "2"]},
