@@ -25,6 +25,9 @@ class Layout:
     def landing(self) -> str:
         return f"{self.root}/landing"
 
+    def arrivals(self, batch: int) -> str:
+        return f"{self.root}/arrivals/batch={batch}"
+
     @property
     def scope(self) -> str:
         return f"{self.root}/current_run_categories"

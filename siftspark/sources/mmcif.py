@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -90,8 +90,13 @@ def _tokens(text: str) -> Iterator[tuple[bool, list[str]]]:
         yield False, values
 
 
-def parse_text(text: str) -> tuple[str | None, dict[str, dict]]:
-    """First data block of a text: its name and {category: {attribute: value or values}}."""
+def parse_text(
+    text: str, categories: frozenset[str] | None = None
+) -> tuple[str | None, dict[str, dict]]:
+    """First data block of a text: its name and {category: {attribute: value or values}}.
+
+    With categories (without underscore) only these are kept.
+    """
     name, block = None, {}
     loop: list[str] | None = None  # item names of the open loop
     values: list[str] = []
@@ -99,13 +104,13 @@ def parse_text(text: str) -> tuple[str | None, dict[str, dict]]:
 
     def put(full: str, value) -> None:
         cat, _, attribute = full.partition(".")
-        block.setdefault(cat, {})[attribute] = value
+        if categories is None or cat.removeprefix("_") in categories:
+            block.setdefault(cat, {})[attribute] = value
 
     def close() -> None:
         nonlocal loop, values
-        if loop:
-            for i, full in enumerate(loop):
-                put(full, values[i :: len(loop)])
+        for i, full in enumerate(loop or ()):
+            put(full, values[i :: len(loop)])
         loop, values = None, []
 
     for special, words in _tokens(text):
@@ -136,18 +141,25 @@ def parse_text(text: str) -> tuple[str | None, dict[str, dict]]:
     return name, block
 
 
-def parse_mmcif(texts: DataFrame, text: str = "text", as_json: bool = False) -> DataFrame:
+def parse_mmcif(
+    texts: DataFrame,
+    text: str = "text",
+    as_json: bool = False,
+    categories: Iterable[str] | None = None,
+) -> DataFrame:
     """Add `block` (name of the first data block) and `data` to rows that carry a text.
 
     The other columns are kept; the text is not. `data` is a map category -> attribute ->
     leaf, or with `as_json` its JSON text, which `write_raw` puts into documents as it is.
+    Categories that are not named, if any are, do not leave the Python worker.
     """
+    wanted = None if categories is None else frozenset(categories)
     kept = [f for f in texts.schema.fields if f.name != text]
     schema = T.StructType(list(kept)).add("block", "string").add("data", "string")
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parsed = [parse_text(t) if t is not None else (None, {}) for t in batch.pop(text)]
+            parsed = [parse_text(t, wanted) if t is not None else (None, {}) for t in batch.pop(text)]
             batch["block"] = [name for name, _ in parsed]
             batch["data"] = [json.dumps(block, ensure_ascii=False) for _, block in parsed]
             yield batch
@@ -156,12 +168,17 @@ def parse_mmcif(texts: DataFrame, text: str = "text", as_json: bool = False) ->
     return parsed if as_json else parsed.withColumn("data", F.from_json("data", DATA_TYPE))
 
 
-def read_mmcif(spark: SparkSession, path: str, pattern: str = "*.cif*") -> DataFrame:
+def read_mmcif(
+    spark: SparkSession,
+    path: str,
+    pattern: str = "*.cif*",
+    categories: Iterable[str] | None = None,
+) -> DataFrame:
     """Every matching file below the path as (experiment, block, data)."""
     files = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.cif(\.gz)?$", "")
     texts = files.select(F.upper(stem).alias("experiment"), F.col("value").alias("text"))
-    return parse_mmcif(texts)
+    return parse_mmcif(texts, categories=categories)
 
 
 __all__ = ["DATA_TYPE", "parse_mmcif", "parse_text", "read_mmcif"]

@@ -67,7 +67,7 @@ def stream_to_bronze(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        landing = f"{layout.landing}/batch={batch_id}"
+        landing = layout.arrivals(batch_id)
         write_category_documents(category_documents(_latest(batch), registry), landing)
         landed = spark.read.schema(LANDING).parquet(landing)
         held = {row["category"] for row in landed.select("category").distinct().collect()}

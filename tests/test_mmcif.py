@@ -77,7 +77,11 @@ def test_read_plain_and_gzip(spark, tmp_path):
     rows = {r["experiment"]: r for r in raw.selectExpr("experiment", "block", "to_json(data) d").collect()}
     assert set(rows) == {"100D", "4HHB"}
     assert json.loads(rows["100D"]["d"]) == parse_text(TEXT)[1]
-    docs = category_documents(raw, default_registry()).collect()
+    registry = default_registry()
+    docs = category_documents(raw, registry).collect()
+    pruned = read_mmcif(spark, str(tmp_path), categories=registry.names)
+    assert pruned.selectExpr("array_sort(map_keys(data)) k").orderBy("k").first()["k"] == ["_entity", "_exptl"]
+    assert sorted(category_documents(pruned, registry).collect(), key=repr) == sorted(docs, key=repr)
     found = {(r["experiment"], r["category"]): r["attributes"] for r in docs}
     assert set(found) == {("100D", "entity"), ("100D", "exptl"), ("4HHB", "exptl")}
     assert found["4HHB", "exptl"] == {"entry_id": ["4HHB"], "method": ["SOLUTION NMR"]}
