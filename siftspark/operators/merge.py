@@ -12,9 +12,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.operators.keys import distinct_keys
+
 
 def _without_keys(target: DataFrame, keys_of: DataFrame, keys: list[str], null_safe: bool):
-    taken = keys_of.select(*[F.col(k).alias(f"_s_{k}") for k in keys]).distinct()
+    taken = distinct_keys(keys_of.select(*[F.col(k).alias(f"_s_{k}") for k in keys]))
 
     def same(k: str):
         left, right = F.col(k), F.col(f"_s_{k}")

@@ -3,7 +3,8 @@
 No join here is hinted unseen: Catalyst broadcasts the key side when its size statistics are under
 `spark.sql.autoBroadcastJoinThreshold` (AQE re-checks with the measured size), and beyond
 that joins by shuffle, where AQE splits a hot experiment on the data side over many tasks.
-The key side is made distinct first, which combines copies before they are shuffled.
+The key side is made distinct first, which combines copies before they are shuffled; see
+`distinct_keys` for how that leaves the split possible.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.operators.keys import distinct_keys
+
 
 MAX_BROADCAST_BYTES = 128 << 20
 
@@ -32,7 +35,7 @@ def in_scope(
     """Rows whose experiment the run lists, for one category or for any."""
     if category is not None:
         scope = scope.filter(F.col("category") == category)
-    return df.join(scope.select(key).distinct(), key, "left_semi")
+    return df.join(distinct_keys(scope.select(key)), key, "left_semi")
 
 
 def build_scope(documents: DataFrame) -> DataFrame:
@@ -44,7 +47,7 @@ def changed(
     manifest: DataFrame, present: DataFrame, key: str = "experiment", version: str = "etag"
 ) -> DataFrame:
     """Manifest rows that are missing from `present` or held in another version."""
-    return manifest.join(present.select(key, version).distinct(), [key, version], "left_anti")
+    return manifest.join(distinct_keys(present.select(key, version)), [key, version], "left_anti")
 
 
 def latest_versions(
