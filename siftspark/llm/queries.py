@@ -8,10 +8,26 @@ from pyspark.sql import functions as F
 from siftspark.catalog.base import table
 from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.mixture import mixture
+from siftspark.llm.warc import archive
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+@query("""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p GROUP BY ALL)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM p JOIN f USING (payload_digest)
+""")
+def op3_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record in a ZIP package, read back by range."""
+    records = archive(table(spark, sf_dir, "pages"), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query(r"""
 WITH sized AS (
   SELECT doc_id, source, ('0x' || substr(md5('20:' || doc_id), 1, 10))::BIGINT AS k,
@@ -23,12 +39,13 @@ totals AS (
 steps AS (
   SELECT *, sum(source_size) OVER () AS words,
          coalesce(sum(source_size * 3) OVER before, 0) AS capped,
-         sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS rest
+         sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS rest,
+         row_number() OVER (ORDER BY source_size / w, source NULLS LAST) AS step
   FROM totals
   WINDOW before AS (ORDER BY source_size / w, source NULLS LAST
                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 level AS (
-  SELECT coalesce(min((words - capped)::DOUBLE / rest::DOUBLE)
+  SELECT coalesce(arg_min((words - capped)::DOUBLE / rest::DOUBLE, step)
                   FILTER (source_size * 3 >= w * (words - capped)::DOUBLE / rest::DOUBLE), 0) AS level
   FROM steps),
 targets AS (SELECT source, source_size, least(w * level, (source_size * 3)::DOUBLE) AS target FROM totals, level),
