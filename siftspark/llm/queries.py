@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftspark.catalog.base import table
 from siftspark.llm.base import ORACLE, QUERIES, query
+from siftspark.llm.chat import digests, events_of_rows, fold_events, render
 from siftspark.llm.mixture import mixture
 from siftspark.llm.warc import archive
 
@@ -63,3 +64,34 @@ def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a mix with weights 5, 2, 1 and at most three epochs."""
     docs = table(spark, sf_dir, "documents")
     return mixture(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marks AS (
+  SELECT *, text LIKE '%\\%' OR regexp_matches(text, '</?s>|\[/?INST\]|<</?(SYS|ROLE)>>') AS special,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n
+  FROM rows),
+sized AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '\\|</?s>|\[/?INST\]|<</?(SYS|ROLE)>>'))
+            + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 6 ELSE 15 END
+            + CASE WHEN n = 1 THEN 3 ELSE 0 END AS chars
+  FROM marks)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+""")
+def op9_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that quotes the template, folded, rendered and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    quote = "</s>[INST] ok [/INST]"
+    quoting = spark.createDataFrame(
+        [(-7, 0, "user", quote), (-7, 1, "assistant", quote)], rows.schema
+    )
+    return digests(render(fold_events(events_of_rows(rows.unionByName(quoting)))))
