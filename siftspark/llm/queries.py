@@ -9,6 +9,7 @@ from siftspark.catalog.base import table
 from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.chat import digests, events_of_rows, fold_events, render
 from siftspark.llm.mixture import mixture
+from siftspark.llm.secrets import BASE_KINDS, scan_secrets, span_list
 from siftspark.llm.warc import archive
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -95,3 +96,21 @@ def op9_chat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", quote), (-7, 1, "assistant", quote)], rows.schema
     )
     return digests(render(fold_events(events_of_rows(rows.unionByName(quoting)))))
+
+
+@query()
+def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document, look-alikes only where few owners hold the value."""
+    scanned = scan_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return scanned.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in BASE_KINDS],
+        F.sha2(span_list(base).cast("binary"), 256).alias("base_sha256"),
+        span_list(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
+    )
