@@ -227,10 +227,11 @@ RECORD_SCHEMA = (
 )
 
 
-def read_records(ranges: DataFrame, payloads: bool = True) -> DataFrame:
+def read_records(ranges: DataFrame, tasks: int, payloads: bool = True) -> DataFrame:
     """The records at the given ranges; revisits have no payload of their own.
 
-    A response's digest is computed from what was read and must equal its header's.
+    A response's digest is computed from what was read and must equal its header's. The number of
+    tasks is stated: a range is a few bytes to Spark, whatever the record it stands for.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,13 +282,19 @@ def read_records(ranges: DataFrame, payloads: bool = True) -> DataFrame:
         if file is not None:
             file.close()
 
-    spread = ranges.repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    spread = ranges.repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset")
     return spread.mapInArrow(read, RECORD_SCHEMA)
 
 
-def archive(pages: DataFrame, min_bytes: int = 100, payloads: bool = True) -> DataFrame:
-    """Write every page as a record of a package, and read all records back."""
+def archive(
+    pages: DataFrame, min_bytes: int = 100, payloads: bool = True, task_bytes: int = 4 << 20
+) -> DataFrame:
+    """Write every page as a record of a package, and read all records back.
+
+    A reading task gets about `task_bytes` of packed records.
+    """
     spark = pages.sparkSession
     folder = work_path(spark, "packages")
     packages = staged(write_packages(with_record_types(pages, min_bytes), folder), "written")
-    return read_records(record_ranges(packages), payloads)
+    packed = packages.agg(F.sum("bytes")).first()[0] or 0
+    return read_records(record_ranges(packages), packed // task_bytes + 1, payloads)
