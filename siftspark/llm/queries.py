@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from siftspark.catalog.base import table
 from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.chat import digests, events_of_rows, fold_events, render
+from siftspark.llm.common import held_out
 from siftspark.llm.mixture import mixture
 from siftspark.llm.secrets import BASE_KINDS, scan_secrets, span_list
+from siftspark.llm.toxicity import learn as learn_toxicity
+from siftspark.llm.toxicity import score_toxicity
 from siftspark.llm.warc import archive
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -114,3 +117,16 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
         span_list(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: s["live"])).cast("long").alias("n_live"),
     )
+
+
+@query()
+def op8_pattern_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of being toxic for every document, from its matched clauses."""
+    docs = table(spark, sf_dir, "documents")
+    model = learn_toxicity(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model, ["doc_id"]).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
