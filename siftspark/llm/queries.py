@@ -10,6 +10,8 @@ from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.chat import digests, events_of_rows, fold_events, render
 from siftspark.llm.common import held_out
 from siftspark.llm.mixture import mixture
+from siftspark.llm.quality_model import learn as learn_quality
+from siftspark.llm.quality_model import score_quality
 from siftspark.llm.secrets import BASE_KINDS, scan_secrets, span_list
 from siftspark.llm.toxicity import learn as learn_toxicity
 from siftspark.llm.toxicity import score_toxicity
@@ -130,3 +132,16 @@ def op8_pattern_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op2_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of good quality for every document."""
+    docs = table(spark, sf_dir, "documents")
+    weights = learn_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, weights, ["doc_id"]).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
