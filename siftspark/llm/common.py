@@ -30,8 +30,13 @@ def word_count(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """The words as an array; blank texts have none."""
-    bare = F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, GAP))
+    # A text that begins or ends with a gap gives an empty first or last piece.
+    return F.array_remove(F.split(text, GAP), "")
+
+
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:

@@ -12,6 +12,7 @@ from siftspark.llm.common import held_out
 from siftspark.llm.mixture import mixture
 from siftspark.llm.quality_model import learn as learn_quality
 from siftspark.llm.quality_model import score_quality
+from siftspark.llm.quality_rules import judge_quality
 from siftspark.llm.secrets import BASE_KINDS, scan_secrets, span_list
 from siftspark.llm.toxicity import learn as learn_toxicity
 from siftspark.llm.toxicity import score_toxicity
@@ -145,3 +146,9 @@ def op2_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op7_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and the verdict by divergence from the language, for every document."""
+    return judge_quality(table(spark, sf_dir, "documents"))
