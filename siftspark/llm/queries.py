@@ -9,6 +9,7 @@ from siftspark.catalog.base import table
 from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.chat import digests, events_of_rows, fold_events, render
 from siftspark.llm.common import held_out
+from siftspark.llm.decontaminate import find_passages
 from siftspark.llm.mixture import mixture
 from siftspark.llm.quality_model import learn as learn_quality
 from siftspark.llm.quality_model import score_quality
@@ -152,3 +153,27 @@ def op2_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base measures and the verdict by divergence from the language, for every document."""
     return judge_quality(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+WITH plain AS (
+  SELECT doc_id, string_split_regex(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\x20\x09-\x0d]+', '', 'g'),
+                                    '[\x20\x09-\x0d]+') AS words FROM documents),
+d AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i
+      FROM (SELECT doc_id, list_filter(words, lambda x: x <> '') AS w FROM plain)),
+items AS (
+  SELECT item_id, list_filter(string_split_regex(
+           regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\x20\x09-\x0d]+', '', 'g'),
+           '[\x20\x09-\x0d]+'), lambda x: x <> '') AS w FROM benchmark),
+b AS (SELECT item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM items),
+m AS (SELECT doc_id, item_id, n, i - j AS shift, j FROM d JOIN b USING (word)),
+dense AS (SELECT * FROM m QUALIFY count(*) OVER (PARTITION BY doc_id, item_id, shift) >= 5),
+w AS (SELECT doc_id, item_id, n, count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY j
+             RANGE BETWEEN CURRENT ROW AND 11 FOLLOWING) AS c FROM dense)
+SELECT doc_id, item_id, max(c)::INT AS best_window FROM w
+WHERE c * 12 >= least(n, 12) * 10 GROUP BY doc_id, item_id
+""")
+def op1_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a benchmark item, with the words in place in the best window."""
+    found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "best_window")
