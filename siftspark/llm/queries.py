@@ -10,6 +10,7 @@ from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.chat import digests, events_of_rows, fold_events, render
 from siftspark.llm.common import held_out
 from siftspark.llm.decontaminate import find_passages
+from siftspark.llm.jaccard import similarity_components
 from siftspark.llm.mixture import mixture
 from siftspark.llm.quality_model import learn as learn_quality
 from siftspark.llm.quality_model import score_quality
@@ -177,3 +178,28 @@ def op1_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     """Documents with a passage of a benchmark item, with the words in place in the best window."""
     found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "best_window")
+
+
+@query(r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0d]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM w),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+      FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM c WHERE 100 * k >= 80 * (na + nb - k)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION
+                SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM s JOIN reach r ON r.a = s.doc_id GROUP BY ALL
+""")
+def op10_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact near-duplicate components of all documents at Jaccard similarity 0.8."""
+    found = similarity_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
