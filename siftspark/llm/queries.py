@@ -16,6 +16,7 @@ from siftspark.llm.quality_model import learn as learn_quality
 from siftspark.llm.quality_model import score_quality
 from siftspark.llm.quality_rules import judge_quality
 from siftspark.llm.secrets import BASE_KINDS, scan_secrets, span_list
+from siftspark.llm.suffix_dedup import remove_repeats
 from siftspark.llm.toxicity import learn as learn_toxicity
 from siftspark.llm.toxicity import score_toxicity
 from siftspark.llm.warc import archive
@@ -203,3 +204,12 @@ def op10_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact near-duplicate components of all documents at Jaccard similarity 0.8."""
     found = similarity_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes each document loses to strings of 50 bytes in documents with smaller ids."""
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
