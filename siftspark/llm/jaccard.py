@@ -402,3 +402,27 @@ def _within_triangles(pairs: DataFrame, checked: DataFrame, percent: int) -> Dat
         .distinct()
     )
     return pairs.join(far, ["a", "b"], "left_anti")
+
+
+def keep_representatives(docs: DataFrame, **options) -> DataFrame:
+    """The document with the smallest id of each component, and every document without words.
+
+    Of rows under one id one stays. Components name their smallest id, so what goes is a list of ids.
+    """
+    found = similarity_components(docs, **options)
+    gone = staged(
+        found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(),
+        "near-copies",
+    )
+    kept = docs.join(broadcast_if_small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    return _one_of_each_id(kept)
+
+
+def _one_of_each_id(docs: DataFrame) -> DataFrame:
+    """Rows whose id comes once, and one row of each other id; only the latter are moved."""
+    often = docs.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1 AND _id IS NOT NULL")
+    often = broadcast_if_small(staged(often.select("_id"), "repeated-ids"))
+    same = F.col("doc_id") == F.col("_id")
+    return docs.join(often, same, "left_anti").unionByName(
+        docs.join(often, same, "left_semi").dropDuplicates(["doc_id"])
+    )

@@ -138,8 +138,8 @@ def mixture(
 
 def first_words(text: Column, n: Column) -> Column:
     """The text up to the end of its n-th word."""
-    pattern = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){"), n.cast("string"), F.lit("}"))
-    return F.regexp_extract(text, pattern, 0)
+    pieces = F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:

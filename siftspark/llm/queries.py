@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from siftspark.catalog.base import table
 from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.chat import digests, events_of_rows, fold_events, render
@@ -213,3 +214,9 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through the stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
