@@ -31,7 +31,8 @@ TOXIC_FROM = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose matched clauses make them less likely toxic than not."""
     model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score_toxicity(docs, model).filter(F.col("score") < TOXIC_FROM).select(docs.columns)
+    scored = score_toxicity(docs, model, name="_toxicity")
+    return scored.filter(F.col("_toxicity") < TOXIC_FROM).drop("_toxicity")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

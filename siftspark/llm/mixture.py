@@ -75,7 +75,7 @@ def mixture(
     seed: int = 20,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken; and the columns to carry.
+    """doc_id, source, size, source_size, target, taken; and the columns to carry, as _carry_NAME.
 
     `weights` repeat along the sources in code point order and share the words of all
     documents; no source gives more than `cap` times its words.
@@ -132,7 +132,7 @@ def mixture(
         "source_size",
         "target",
         (epochs * F.col("size") + cut).alias("taken"),
-        *[F.col(f"_carry_{c}").alias(c) for c in carry],
+        *[F.col(f"_carry_{c}") for c in carry],
     )
 
 
@@ -146,9 +146,10 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: a row for each epoch of a document, with doc columns, epoch and words.
 
     All rows but a source's last are whole documents; the one in which the budget ends is cut there.
-    Documents without words are in no budget and appear once.
+    Documents without words are in no budget and appear once. Columns of the names epoch and
+    words are replaced.
     """
-    names = [c for c in docs.columns if c not in ("doc_id", "source")]
+    names = [c for c in docs.columns if c not in ("epoch", "words")]
     taken = mixture(docs, carry=tuple(names), **options)
     size = F.greatest("size", F.lit(1))
     copies = F.when(F.col("size") == 0, 1).otherwise(F.ceil(F.col("taken") / size)).cast("int")
@@ -157,7 +158,10 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     ).withColumn(
         "words", F.least(F.col("size"), F.col("taken") - (F.col("epoch") - 1) * F.col("size"))
     )
-    cut = F.when(F.col("words") < F.col("size"), first_words(F.col("text"), F.col("words")))
-    text = F.coalesce(cut, F.col("text"))
-    kept = rows.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return kept.select(*docs.columns, "epoch", "words")
+    whole = F.col("_carry_text")
+    cut = F.when(F.col("words") < F.col("size"), first_words(whole, F.col("words")))
+    columns = {c: F.col(f"_carry_{c}") for c in names}
+    columns["text"] = F.coalesce(cut, whole)
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(cut.isNull(), columns["n_chars"]).otherwise(F.length(cut))
+    return rows.select(*[v.alias(c) for c, v in columns.items()], "epoch", "words")

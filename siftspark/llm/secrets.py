@@ -191,8 +191,10 @@ def redact(docs: DataFrame, max_owners: int = 3) -> DataFrame:
     marks = staged(scanned.select(F.col("row").alias("_at"), F.col("spans").alias("_spans")), "marks")
     joined = numbered.join(broadcast_if_small(marks), F.col("_row") == F.col("_at"), "left")
     with_text = joined.withColumn("text", _replace(F.col("text"), F.col("_spans")))
-    size = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-    return with_text.withColumn("n_chars", size.cast("long")).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
+        with_text = with_text.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
+    return with_text.select(*docs.columns)
 
 
 def _replace(text, spans):

@@ -203,7 +203,7 @@ def learn_stems(
 
 
 def clause_weights(rows: DataFrame, stems: dict[str, float], keep: list[str]) -> DataFrame:
-    """The kept columns and `weight`, the sum over a text's matched clauses."""
+    """The kept columns and `_weight`, the sum over a text's matched clauses."""
     names = [f.name for f in rows.select(*keep).schema]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,10 +211,10 @@ def clause_weights(rows: DataFrame, stems: dict[str, float], keep: list[str]) ->
         for batch in batches:
             weights = [scorer(cell.as_py()) for cell in batch["text"]]
             columns = [batch[c] for c in names] + [pa.array(weights, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, "weight"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "_weight"])
 
     inputs = rows.select(*keep) if "text" in keep else rows.select(*keep, "text")
-    schema = rows.select(*keep).schema.add("weight", "double")
+    schema = rows.select(*keep).schema.add("_weight", "double")
     return inputs.mapInArrow(score, schema)
 
 
@@ -240,14 +240,16 @@ def learn(
     y = np.array([float(r["y"]) for r in seen])
     if not 0 < y.sum() < len(y):
         return Model(stems, -3.0, 1.0)
-    x = np.log1p([r["weight"] for r in seen])
+    x = np.log1p([r["_weight"] for r in seen])
     share = labels.filter(~held_out(F.col("doc_id"))).agg(F.avg(F.col(label))).first()[0]
     w = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     return Model(stems, *fit_logistic(x, y, w))
 
 
-def score_toxicity(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (all, unless named) and `score`, the probability of being toxic."""
-    weighed = clause_weights(docs, model.stems, keep or docs.columns)
-    logit = F.lit(model.bias) + F.lit(model.slope) * F.log1p("weight")
-    return weighed.withColumn("score", 1 / (1 + F.exp(-logit))).drop("weight")
+def score_toxicity(
+    docs: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score"
+) -> DataFrame:
+    """The kept columns (all, unless named) and the probability of being toxic as `name`."""
+    weighed = clause_weights(docs, model.stems, docs.columns if keep is None else keep)
+    logit = F.lit(model.bias) + F.lit(model.slope) * F.log1p("_weight")
+    return weighed.withColumn(name, 1 / (1 + F.exp(-logit))).drop("_weight")
