@@ -147,9 +147,10 @@ def frequent_shingles(docs: DataFrame, buckets: int, most: int, least: int = 3)
 
 
 def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> DataFrame:
-    """region, doc_id, n: the members of every shingle region with two or more of them.
+    """region, doc_id, n, place: the members of every shingle region with two or more of them.
 
-    Regions with the same members are one. The members of one region meet in a task, but for
+    `place` is where the shingle stands in the document's order. Regions with the same members
+    are one, that of the earliest shingle. The members of one region meet in a task, but for
     shingles known to be in more than `hot` documents: their members are left as rows, dealt at
     random, and Spark's joins take them from there.
     """
@@ -177,12 +178,14 @@ def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> Dat
             sizes = [len(p[0]) for p in parts]
             docs_ = np.repeat(np.array([p[2] for p in parts], np.int64), sizes)
             ns = np.repeat(np.array([p[3] for p in parts], np.int32), sizes)
+            places = np.concatenate([np.arange(size, dtype=np.int32) for size in sizes])
             is_hot = ranks > hot
             where = (keys % np.uint64(buckets)).astype(np.int64)
             # Hot members go anywhere: buckets from `buckets` on only pass them on.
             where[is_hot] = buckets + docs_[is_hot] % buckets
             by = np.argsort(where, kind="stable")
             keys, docs_, ns, where = keys[by], docs_[by], ns[by], where[by]
+            places, ranks = places[by], ranks[by].astype(np.int32)
             ends = np.searchsorted(where, np.arange(2 * buckets + 1))
             used = [b for b in range(2 * buckets) if ends[b] < ends[b + 1]]
             cut = lambda a, b: a[ends[b] : ends[b + 1]]
@@ -192,17 +195,24 @@ def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> Dat
                     "keys": pa.array([pack(cut(keys, b)) for b in used], pa.binary()),
                     "docs": pa.array([cut(docs_, b).tobytes() for b in used], pa.binary()),
                     "ns": pa.array([cut(ns, b).tobytes() for b in used], pa.binary()),
+                    "places": pa.array([cut(places, b).tobytes() for b in used], pa.binary()),
+                    "ranks": pa.array([cut(ranks, b).tobytes() for b in used], pa.binary()),
                 }
             )
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
         keys = unpack(b"".join(rows["keys"]))
         docs_ = np.frombuffer(b"".join(rows["docs"]), np.int64)
-        ns = np.frombuffer(b"".join(rows["ns"]), np.int32)
+        ns, places, ranks = (
+            np.frombuffer(b"".join(rows[c]), np.int32) for c in ("ns", "places", "ranks")
+        )
         if rows["bucket"].iloc[0] >= buckets:
-            return pd.DataFrame({"region": keys.astype(np.int64), "doc_id": docs_, "n": ns})
-        by = np.lexsort((docs_, keys))
-        keys, docs_, ns = keys[by], docs_[by], ns[by]
+            return pd.DataFrame(
+                {"region": keys.astype(np.int64), "doc_id": docs_, "n": ns, "place": places}
+            )
+        # In the order of the shingles, so that the first of equal regions is the earliest.
+        by = np.lexsort((docs_, keys, ranks))
+        keys, docs_, ns, places = keys[by], docs_[by], ns[by], places[by]
         start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         size = np.diff(np.r_[start, len(keys)])
         mixed = (docs_.astype(np.uint64) + PRIME) * FINAL
@@ -219,14 +229,16 @@ def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> Dat
                 "region": np.repeat(name, size)[members].astype(np.int64),
                 "doc_id": docs_[members],
                 "n": ns[members],
+                "place": places[members],
             }
         )
 
     sent = docs.select("doc_id", "text").mapInArrow(
-        send, "bucket long, keys binary, docs binary, ns binary"
+        send,
+        "bucket long, keys binary, docs binary, ns binary, places binary, ranks binary",
     )
-    met = sent.groupBy("bucket").applyInPandas(meet, "region long, doc_id long, n int")
-    return met.distinct()
+    met = sent.groupBy("bucket").applyInPandas(meet, "region long, doc_id long, n int, place int")
+    return met.groupBy("region", "doc_id", "n").agg(F.min("place").alias("place"))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -266,7 +278,7 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 def similarity_components(
     docs: DataFrame,
     percent: int = 80,
-    rounds: int = 2,
+    rounds: int = 3,
     order_size: int = 1 << 19,
     bucket_shingles: int = 1 << 21,
     hot: int = 5000,
@@ -296,6 +308,7 @@ def similarity_components(
         broadcast_if_small(others), F.col("doc_id") == F.col("_other"), "left_anti"
     )
     members = staged(regions(single, order, buckets, percent, hot), "regions")
+    members = staged(_with_centres(members), "centred")
 
     labels, links, checked = None, None, None
     for turn in range(rounds + 1):
@@ -325,83 +338,91 @@ def similarity_components(
     )
 
 
+def _with_centres(members: DataFrame) -> DataFrame:
+    """The members with `weight`, in how many regions a document lies, and the region's `centre`.
+
+    The text that others were copied from shares shingles with all of them, so it lies in more
+    regions than any copy. Joins on hot documents and regions are left to AQE to split.
+    """
+    weights = members.groupBy(F.col("doc_id").alias("_doc")).agg(F.count(F.lit(1)).alias("weight"))
+    weighed = members.join(weights, F.col("doc_id") == F.col("_doc")).drop("_doc")
+    centre = F.min(F.struct(-F.col("weight"), F.col("doc_id").alias("centre")))
+    centres = weighed.groupBy(F.col("region").alias("_r")).agg(centre.alias("_c"))
+    centred = weighed.join(centres, F.col("region") == F.col("_r"))
+    return centred.select(*members.columns, "weight", F.col("_c.centre").alias("centre"))
+
+
 def _open_pairs(
     members: DataFrame, labels: DataFrame | None, checked: DataFrame | None, percent: int, turn: int | None
 ) -> DataFrame:
     """Pairs (a, b), a < b, that share a region but no component and were not compared yet.
 
-    In a round these are a pivot and the others; a region's pivot is its smallest id first, then
-    the member that a hash of the round picks. With `turn` None they are all pairs that
-    sizes and distances to a common pivot allow.
+    In a round these are a pivot and the others: the region's centre first, then the member of
+    most weight outside the centre's component. With `turn` None they are all pairs that sizes, places
+    and the distances to the centre allow.
     """
-    if labels is None:
+    if turn == 0:
         rows = members.withColumn("component", F.col("doc_id"))
     else:
-        known = labels.withColumnRenamed("doc_id", "_doc")
-        rows = (
-            members.join(known, F.col("doc_id") == F.col("_doc"), "left")
-            .drop("_doc")
-            .withColumn("component", F.coalesce("component", "doc_id"))
-        )
+        rows = _labelled(members, labels)
+    rows = rows.withColumn("_home", F.when(F.col("doc_id") == F.col("centre"), F.col("component")))
     open_ = rows.groupBy("region").agg(
         F.min("component").alias("_low"),
         F.max("component").alias("_high"),
-        F.min(
-            F.struct(
-                (F.col("doc_id") if not turn else F.xxhash64(F.lit(turn), "doc_id")).alias("by"),
-                F.col("doc_id").alias("pivot"),
-                F.col("n").alias("pivot_n"),
-                F.col("component").alias("pivot_component"),
-            )
-        ).alias("_p"),
+        F.max("_home").alias("_home_component"),
     )
-    open_ = open_.filter("_low < _high").select("region", "_p.*")
-    if turn is not None:
-        met = rows.join(open_, "region").filter("doc_id <> pivot AND component <> pivot_component")
-        other, other_n = F.col("pivot"), F.col("pivot_n")
+    open_ = open_.filter("_low < _high").select("region", "_home_component")
+    rows = rows.drop("_home").join(open_, "region")
+    if turn is None:
+        rows = _with_distances(rows, checked)
+        others, columns = rows, ["doc_id", "n", "place", "component", "distance"]
     else:
-        rows = rows.join(open_.select("region"), "region", "left_semi")
-        more = rows.select(
-            "region",
-            F.col("doc_id").alias("pivot"),
-            F.col("n").alias("pivot_n"),
-            F.col("component").alias("pivot_component"),
-        )
-        met = rows.join(more, "region").filter("doc_id > pivot AND component <> pivot_component")
-        other, other_n = F.col("pivot"), F.col("pivot_n")
-    fit = F.least("n", other_n) * 100 >= F.greatest("n", other_n) * percent
-    pairs = (
-        met.filter(fit)
-        .select(F.least("doc_id", other).alias("a"), F.greatest("doc_id", other).alias("b"))
-        .distinct()
-    )
+        at = rows if turn == 0 else rows.filter(F.col("component") != F.col("_home_component"))
+        if turn == 0:
+            at = at.filter("doc_id = centre")
+        columns = ["doc_id", "n", "place", "component"]
+        pick = F.min(F.struct(-F.col("weight"), *columns))
+        others = at.groupBy("region").agg(pick.alias("_p")).select("region", *[f"_p.{c}" for c in columns])
+    others = others.select("region", *[F.col(c).alias(f"_{c}") for c in columns])
+    met = rows.join(others, "region").filter("component <> _component")
+    # A link shares 100 * both >= percent * either, so both >= percent / (100 + percent) of the sum.
+    rest = F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
+    met = met.filter(F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent)
+    met = met.filter(rest * (100 + percent) >= (F.col("n") + F.col("_n")) * percent)
+    if turn is None:
+        apart = F.abs(F.col("distance") - F.col("_distance")) > 1 - percent / 100 + 1e-9
+        met = met.filter("doc_id < _doc_id").filter(~F.coalesce(apart, F.lit(False)))
+    pairs = met.select(
+        F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b")
+    ).distinct()
     if checked is None:
         return pairs
-    pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-    if turn is not None:
-        return pairs
-    return _within_triangles(pairs, checked, percent)
+    return pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+
+
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return members.withColumn("component", F.col("doc_id"))
+    known = labels.withColumnRenamed("doc_id", "_doc")
+    return (
+        members.join(known, F.col("doc_id") == F.col("_doc"), "left")
+        .drop("_doc")
+        .withColumn("component", F.coalesce("component", "doc_id"))
+    )
 
 
-def _within_triangles(pairs: DataFrame, checked: DataFrame, percent: int) -> DataFrame:
-    """Drop pairs whose distances to some pivot differ by more than a link allows."""
-    distance = 1 - F.col("both") / F.col("either")
-    measured = checked.select("a", "b", distance.alias("d"))
-    measured = measured.unionByName(measured.select(F.col("b").alias("a"), F.col("a").alias("b"), "d"))
-    ends = pairs.select(F.col("a").alias("_e")).unionByName(pairs.select(F.col("b").alias("_e")))
-    measured = staged(
-        measured.join(ends.distinct(), F.col("a") == F.col("_e"), "left_semi"), "distances"
+def _with_distances(rows: DataFrame, checked: DataFrame) -> DataFrame:
+    """The rows with `distance` to the region's centre, NULL where it was not computed."""
+    measured = checked.select(
+        F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("both") / F.col("either")).alias("_d")
     )
-    from_a = measured.select("a", F.col("b").alias("pivot"), F.col("d").alias("d_a"))
-    from_b = measured.select(F.col("a").alias("b"), F.col("b").alias("pivot"), F.col("d").alias("d_b"))
-    far = (
-        pairs.join(from_a, "a")
-        .join(from_b, ["b", "pivot"])
-        .filter(F.abs(F.col("d_a") - F.col("d_b")) > 1 - percent / 100 + 1e-9)
-        .select("a", "b")
-        .distinct()
+    pair = (F.least("doc_id", "centre") == F.col("_a")) & (F.greatest("doc_id", "centre") == F.col("_b"))
+    own = F.when(F.col("doc_id") == F.col("centre"), F.lit(0.0))
+    return (
+        rows.join(measured, pair, "left")
+        .withColumn("distance", F.coalesce(own, "_d"))
+        .drop("_a", "_b", "_d")
     )
-    return pairs.join(far, ["a", "b"], "left_anti")
 
 
 def keep_representatives(docs: DataFrame, **options) -> DataFrame:
