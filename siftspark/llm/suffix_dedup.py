@@ -33,7 +33,7 @@ from siftspark.llm.induced import sort_suffixes
 from siftspark.llm.jaccard import pack, unpack
 from siftspark.operators.scope import broadcast_if_small
 
-GRAM = 24
+GRAM = 32
 CHUNK = 2 << 20  # bytes looked at together
 PLACE_BITS = np.uint64(24)
 PLACE_MASK = np.uint64((1 << 24) - 1)
@@ -233,16 +233,12 @@ def pieces_of(texts: DataFrame, span: int, gram: int) -> DataFrame:
 
 
 def sorted_shards(distinct: DataFrame, span: int, shards: int, memory: int) -> DataFrame:
-    """doc_id, start, length: what the smallest holder of each piece loses to smaller documents.
+    """name, offset, length: what a piece's smallest holder loses to smaller documents.
 
-    `distinct` has one row per piece: key, piece, doc_id, start. Pieces of a key meet in a shard.
+    `distinct` has one row per piece: name, key, piece, first. Pieces of a key meet in a shard.
     """
 
     def sort(rows: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"doc_id": [], "start": [], "length": []}).astype(np.int64)
-        rows = rows[rows.groupby("key")["doc_id"].transform("size") > 1]
-        if rows.empty:
-            return none
         lengths = rows["piece"].map(len).to_numpy()
         data = np.frombuffer(b"\0".join(rows["piece"]) + b"\0" * 8, np.uint8)
         begin = np.r_[0, np.cumsum(lengths + 1)[:-1]]
@@ -254,68 +250,91 @@ def sorted_shards(distinct: DataFrame, span: int, shards: int, memory: int) -> D
         whole = inside <= lengths[owner] - span
         order = sort_suffixes(symbols, span, memory)
         order = order[whole[order]]
-        # Neighbours in order: the common prefix is followed for `span` bytes, eight at a time.
+        # Neighbours in order: their common prefix is followed for `span` bytes, eight at a time.
         words = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
         joined = np.zeros(len(order), bool)
         left = np.arange(1, len(order))
         for k in [*range(0, span - 8, 8), span - 8]:
             a, b = words[order[left - 1] + k], words[order[left] + k]
-            left = left[(np.ascontiguousarray(a).view("<u8") == np.ascontiguousarray(b).view("<u8")).ravel()]
+            a, b = (np.ascontiguousarray(x).view("<u8").ravel() for x in (a, b))
+            left = left[a == b]
         joined[left] = True
         start = np.flatnonzero(~joined)
-        docs = rows["doc_id"].to_numpy()[owner[order]]
+        docs = rows["first"].to_numpy()[owner[order]]
         least = np.repeat(np.minimum.reduceat(docs, start), np.diff(np.r_[start, len(docs)]))
-        lost = order[docs > least]
-        lost.sort()
-        if not len(lost):
-            return none
-        new = np.r_[True, (np.diff(lost) > 1) | (np.diff(owner[lost]) != 0)]
+        lost = np.sort(order[docs > least])
+        new = np.r_[True, (np.diff(lost) > 1) | (np.diff(owner[lost]) != 0)][: len(lost)]
         first = np.flatnonzero(new)
-        last = np.r_[first[1:] - 1, len(lost) - 1]
-        at = rows["start"].to_numpy()[owner[lost[first]]] + inside[lost[first]]
+        last = np.r_[first[1:], len(lost)].astype(np.int64)[: len(first)] - 1
         return pd.DataFrame(
             {
-                "doc_id": rows["doc_id"].to_numpy()[owner[lost[first]]],
-                "start": at,
+                "name": rows["name"].to_numpy()[owner[lost[first]]],
+                "offset": inside[lost[first]],
                 "length": lost[last] - lost[first] + span,
             }
         )
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(sort, "doc_id long, start long, length long")
+    return dealt.groupBy("shard").applyInPandas(sort, "name binary, offset long, length long")
 
 
 def repeated_spans(docs: DataFrame, span: int, gram: int, shard_bytes: int, memory: int) -> DataFrame:
-    """doc_id, spans: where documents lose bytes, as overlapping (start, length) pairs."""
+    """doc_id, spans: where documents lose bytes, as (start, length) pairs that may overlap."""
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "data")
     texts = texts.filter(F.octet_length("data") >= span)
     total = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = int(max(8, total // (16 << 20)))
-    shared = shared_grams(texts, span, gram, buckets).groupBy("doc_id")
+    shared = shared_grams(texts, span, gram, buckets).groupBy(F.col("doc_id").alias("_id"))
     shared = staged(shared.agg(F.collect_list("keys").alias("shared")), "shared-grams")
-    keyed = shared.withColumnRenamed("doc_id", "_id")
-    wanted = texts.join(keyed, F.col("doc_id") == F.col("_id"))
+    wanted = texts.join(shared, F.col("doc_id") == F.col("_id"))
     pieces = staged(pieces_of(wanted.select("doc_id", "data", "shared"), span, gram), "pieces")
-    holder = F.min(F.struct("doc_id", "start", "key", "piece"))
-    distinct = staged(pieces.groupBy("name").agg(holder.alias("_h")), "distinct-pieces")
-    shards = int(max(8, (total >> 4) // shard_bytes))
-    own = sorted_shards(distinct.select("_h.*"), span, shards, memory)
-    first = distinct.select("name", F.col("_h.doc_id").alias("_first"))
-    copies = (
-        pieces.select("name", "doc_id", "start", F.octet_length("piece").cast("long").alias("length"))
-        .join(first, "name")
-        .filter("doc_id > _first")
-        .select("doc_id", "start", "length")
+
+    names = pieces.groupBy("name").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("most"), F.min("key").alias("key")
+    )
+    names = staged(names, "piece-names")
+    # Only where a gram has different pieces can a string be in two of them.
+    several = names.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    unsure = names.join(several, F.col("key") == F.col("_key")).select(
+        F.col("name").alias("_name"), "first"
+    )
+    distinct = (
+        pieces.join(unsure, (F.col("name") == F.col("_name")) & (F.col("doc_id") == F.col("first")))
+        .groupBy("name", "key", "first")
+        .agg(F.first("piece").alias("piece"))
+    )
+    distinct = staged(distinct, "distinct-pieces")
+    size = distinct.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
+    own = sorted_shards(distinct, span, int(max(8, size // shard_bytes)), memory)
+    lost = own.groupBy(F.col("name").alias("_own")).agg(
+        F.collect_list(F.struct("offset", "length")).alias("_ranges")
+    )
+    verdicts = names.join(lost, F.col("name") == F.col("_own"), "left").filter(
+        "first < most OR _ranges IS NOT NULL"
+    )
+    verdicts = verdicts.select(F.col("name").alias("_name"), "first", "_ranges")
+    held = pieces.select(
+        "name", "doc_id", "start", F.octet_length("piece").cast("long").alias("length")
+    )
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("offset"), "length"))
+    ranges = F.when(F.col("doc_id") > F.col("first"), whole).otherwise(F.col("_ranges"))
+    return (
+        held.join(verdicts, F.col("name") == F.col("_name"))
+        .select("doc_id", "start", F.explode(ranges).alias("_r"))
+        .groupBy("doc_id")
+        .agg(
+            F.collect_list(
+                F.struct((F.col("start") + F.col("_r.offset")).alias("start"), F.col("_r.length"))
+            ).alias("spans")
+        )
     )
-    lost = own.unionByName(copies)
-    return lost.groupBy("doc_id").agg(F.collect_list(F.struct("start", "length")).alias("spans"))
 
 
 def remove_repeats(
     docs: DataFrame,
     span: int = 50,
     gram: int = GRAM,
-    shard_bytes: int = 4 << 20,
+    shard_bytes: int = 2 << 20,
     memory: int = 128 << 20,
 ) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept: one row per document, `kept` as bytes."""
