@@ -45,7 +45,8 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = work_path(spark, "raw")
     layout = Layout(work_path(spark, "archive"), BUCKETS)
     write_raw(parse_mmcif(document_texts(spark, sf_dir), as_json=True), landing)
+    stream = stream_raw(spark, landing, categories=DOCUMENTS.names)
     for seen in (work_path(spark, "seen"), work_path(spark, "replay")):
-        stream_to_bronze(stream_raw(spark, landing), layout, DOCUMENTS, seen).awaitTermination()
+        stream_to_bronze(stream, layout, DOCUMENTS, seen).awaitTermination()
     schema = DOCUMENTS["line"].bronze_schema()
     return read_table(spark, layout.bronze("line"), schema, BUCKETS)

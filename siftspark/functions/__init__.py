@@ -1,6 +1,7 @@
 from siftspark.functions.text import (
     after_dot,
     bucket,
+    experiment_of_code_file,
     experiment_of_file,
     null_if_token,
     right_strip,
@@ -12,6 +13,7 @@ __all__ = [
     "after_dot",
     "attribute_arrays",
     "bucket",
+    "experiment_of_code_file",
     "experiment_of_file",
     "leaf_array",
     "leaf_kind",

@@ -31,6 +31,11 @@ def experiment_of_file(path: Column) -> Column:
     return F.left(F.right(path, F.lit(9)), F.lit(4))
 
 
+def experiment_of_code_file(name: Column) -> Column:
+    """The code of a file name that is nothing but `CODE.json`, NULL for any other name."""
+    return F.when(name.rlike(r"^[0-9A-Za-z]{4}\.json$"), experiment_of_file(name))
+
+
 def after_dot(c: Column) -> Column:
     """The attribute of an item name `_category.attribute`."""
     return F.split_part(c, F.lit("."), F.lit(2))

@@ -24,7 +24,11 @@ def broadcast_if_small(keys: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> Dat
     For a written key list beside rows too heavy to shuffle, such as whole texts. A row is
     counted with 64 bytes on top of its text, which is more than a hashed row takes.
     """
-    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in keys.columns]
+    def text(field):
+        arrays = field.dataType.typeName() in ("array", "map", "struct")
+        return F.to_json(F.struct(field.name)) if arrays else F.col(field.name).cast("string")
+
+    texts = [F.coalesce(F.octet_length(text(f)), F.lit(0)) for f in keys.schema.fields]
     size = keys.agg(F.sum(sum(texts, F.lit(64))).alias("bytes")).first()["bytes"]
     return F.broadcast(keys) if size is None or size <= limit else keys
 

@@ -1,7 +1,15 @@
 from siftspark.plans.bronze import build_bronze
-from siftspark.plans.ingest import land_raw, plan_ingest, read_scope, read_versions, record_versions
+from siftspark.plans.ingest import (
+    land_raw,
+    plan_ingest,
+    read_landed,
+    read_scope,
+    read_versions,
+    record_versions,
+)
 from siftspark.plans.layout import Layout
 from siftspark.plans.legacy import explode_category
+from siftspark.plans.quarantine import read_quarantine
 from siftspark.plans.refine import refine
 from siftspark.plans.schema import build_registry, write_registry
 from siftspark.plans.silver import audit, build_silver
@@ -15,6 +23,8 @@ __all__ = [
     "explode_category",
     "land_raw",
     "plan_ingest",
+    "read_landed",
+    "read_quarantine",
     "read_scope",
     "read_versions",
     "record_versions",

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from siftspark.operators.constraints import require_rows
 from siftspark.operators.reshape import arrays_to_rows, conform, null_tokens
+from siftspark.plans.ingest import last_run, read_landed
 from siftspark.plans.layout import Layout
+from siftspark.plans.quarantine import set_aside
 from siftspark.registry import LINEAGE, Category, Registry
 from siftspark.sinks.buckets import replace_experiments
-from siftspark.sources.documents import read_category
 
 
 def bronze_rows(documents: DataFrame, category: Category) -> DataFrame:
@@ -20,23 +21,32 @@ def bronze_rows(documents: DataFrame, category: Category) -> DataFrame:
 
 
 def build_bronze(
-    spark: SparkSession, layout: Layout, registry: Registry, category: str, scope: DataFrame
+    spark: SparkSession,
+    layout: Layout,
+    registry: Registry,
+    category: str,
+    scope: DataFrame,
+    run: str | None = None,
 ) -> None:
-    """Replace the run's experiments in the bronze table.
+    """Replace the scope's experiments in the bronze table, by documents of one run or the last ones.
 
     Documents whose attributes differ in length are set aside with the reason, and what the
     table holds of their experiments stays.
     """
     spec = registry[category]
-    documents = read_category(spark, layout.landing, category, scope)
+    documents = read_landed(spark, layout, category, scope, run)
     require_rows(documents, f"no experiment of this run holds {category}")
-    uneven = documents.filter(F.col("n_rows").isNull())
-    uneven.withColumn("reason", F.lit("ragged")).write.mode("overwrite").parquet(
-        layout.quarantine(category)
-    )
+    set_aside_uneven(documents, layout, spec, run or last_run(spark, layout.landing()))
     replace_documents(spark, layout, spec, documents)
 
 
+def set_aside_uneven(documents: DataFrame, layout: Layout, spec: Category, run: str) -> None:
+    """Keep documents whose attributes differ in length in the quarantine."""
+    uneven = documents.filter(F.col("n_rows").isNull())
+    document = F.to_json("attributes")
+    set_aside(uneven, layout, run, f"bronze-{spec.name}", F.lit("ragged"), document, spec.name)
+
+
 def replace_documents(
     spark: SparkSession, layout: Layout, spec: Category, documents: DataFrame
 ) -> None:

@@ -21,9 +21,9 @@ class Layout:
     def versions(self, run: str | None = None) -> str:
         return f"{self.root}/versions" + (f"/run={run}" if run else "")
 
-    @property
-    def landing(self) -> str:
-        return f"{self.root}/landing"
+    def landing(self, run: str | None = None) -> str:
+        """Category documents stay per run, so those of older runs can be read again."""
+        return f"{self.root}/landing" + (f"/run={run}" if run else "")
 
     def arrivals(self, batch: int) -> str:
         return f"{self.root}/arrivals/batch={batch}"
@@ -35,8 +35,9 @@ class Layout:
     def bronze(self, category: str) -> str:
         return f"{self.root}/bronze/{category}"
 
-    def quarantine(self, category: str) -> str:
-        return f"{self.root}/quarantine/{category}"
+    def quarantine(self, run: str | None = None, step: str | None = None) -> str:
+        """What a run, or a batch of a stream, set aside in one of its steps."""
+        return f"{self.root}/quarantine" + (f"/run={run}/step={step}" if run else "")
 
     def silver(self, category: str) -> str:
         return f"{self.root}/silver/{category}"

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftspark.operators.keys import distinct_keys
 from siftspark.operators.scope import broadcast_if_small
 from siftspark.plans.bronze import build_bronze
-from siftspark.plans.ingest import land_raw, plan_ingest, read_versions, record_versions
+from siftspark.plans.ingest import last_run, land_raw, plan_ingest, read_versions, record_versions
 from siftspark.plans.layout import Layout
+from siftspark.plans.quarantine import read_quarantine
 from siftspark.plans.silver import build_silver
 from siftspark.registry import LINEAGE, Registry
 from siftspark.session import work_path
@@ -22,14 +24,19 @@ def refine(
     run: str,
     changed_only: bool = True,
     scope_sync: bool = False,
+    on_clash: str = "set aside",
 ) -> DataFrame:
     """Refine the listed experiments whose text (experiment, etag, text) is new or changed.
 
-    Runs are named so that later ones sort after earlier ones. Returns the run's plan
-    (experiment, etag, status). Versions are noted last, so a run that broke is taken up
-    again by the next one.
+    Runs are named so that later ones sort after earlier ones, which is checked; a run may be
+    repeated under its name. Returns the run's plan (experiment, etag, status). Versions are
+    noted last, so a run that broke is taken up again by the next one, and not at all for
+    experiments that were set aside, so the next run tries them again.
     """
     spark = texts.sparkSession
+    before = last_run(spark, layout.versions())
+    if before is not None and run < before:
+        raise ValueError(f"run {run!r} must sort after {before!r}")
     plan = plan_ingest(
         ids, texts.select(LINEAGE, "etag"), read_versions(spark, layout), changed_only
     )
@@ -46,7 +53,8 @@ def refine(
     held = {row["category"] for row in scope.select("category").distinct().collect()}
     for name in registry.names:
         if name in held:
-            build_bronze(spark, layout, registry, name, scope)
-            build_silver(spark, layout, registry, name, scope, scope_sync)
-    record_versions(plan, layout, run)
+            build_bronze(spark, layout, registry, name, scope, run)
+            build_silver(spark, layout, registry, name, scope, scope_sync, run, on_clash)
+    aside = distinct_keys(read_quarantine(spark, layout, run).select(LINEAGE))
+    record_versions(plan.join(aside, LINEAGE, "left_anti"), layout, run)
     return plan

@@ -180,9 +180,6 @@ _SPARK_TYPES = {
 LINEAGE = "experiment"
 REASONS = "reject_reasons"
 
-# A registry becomes literals inside query plans, so its size must stay bounded.
-MAX_REGISTRY_ROWS = 20_000
-
 
 @dataclass(frozen=True)
 class Column:
@@ -309,14 +306,10 @@ def registry_from_frame(attributes: DataFrame) -> Registry:
     """Registry from rows (category, attribute, ordinal), e.g. those of `build_registry`.
 
     Types, rules and keys of known attributes are taken from the fixed values above;
-    unknown attributes become plain strings. The rows end up in query plans as literals,
-    so an unexpectedly large dictionary is refused rather than pulled to the driver.
+    unknown attributes become plain strings. A registry is metadata on the driver, as a
+    schema is; plans get the columns of one category at a time, or join with its rows.
     """
-    rows = (
-        attributes.select("category", "attribute", "ordinal").limit(MAX_REGISTRY_ROWS + 1).collect()
-    )
-    if len(rows) > MAX_REGISTRY_ROWS:
-        raise ValueError(f"registry has more than {MAX_REGISTRY_ROWS} attributes")
+    rows = attributes.select("category", "attribute", "ordinal").collect()
     by_category: dict[str, list[str]] = {}
     for row in sorted(rows, key=lambda r: (r["category"], r["ordinal"], r["attribute"])):
         names = by_category.setdefault(row["category"], [LINEAGE])

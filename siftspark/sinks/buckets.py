@@ -1,9 +1,10 @@
 """Parquet tables that can be updated by experiment.
 
 A table is partitioned by a hash bucket of its experiment. A merge or replacement reads
-and rewrites only the buckets the run touches, with one dynamic partition overwrite: new
-files are complete before old ones are swapped out, tasks may be retried at any time, and a
-rerun after a failed swap gives the same table. The number of buckets is part of the
+and rewrites only the buckets the run touches. Their new content is first written beside
+the table and marked as complete, and a dynamic partition overwrite then swaps it in. If that
+breaks off, buckets may be missing, but the marked copy is still there: whoever reads or
+changes the table next swaps it in again before anything else, so no row is lost. The number of buckets is part of the
 partition column's name (`bucket_64`), so a table cannot be opened with another number.
 
 Within the write, REBALANCE splits a bucket that a hot experiment has made large over as
@@ -30,8 +31,45 @@ def bucket_column(n: int = BUCKETS) -> str:
     return f"bucket_{n}"
 
 
+def _beside(path: str) -> str:
+    return path.rstrip("/") + ".swap"
+
+
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system and path, which know every store that Spark can write to."""
+    jvm = spark._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    store, where = _folder(spark, path)
+    return store.exists(where)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    store, where = _folder(spark, path)
+    store.delete(where, True)
+
+
+def _swap_in(spark: SparkSession, path: str, name: str) -> None:
+    """Overwrite the buckets of a complete copy beside the table; the copy goes last."""
+    beside = _beside(path)
+    _overwrite(spark.read.parquet(beside), path, name)
+    _delete(spark, beside)
+
+
+def recover(spark: SparkSession, path: str, n: int = BUCKETS) -> bool:
+    """Finish a swap that broke off, if there is one; an unfinished copy is no use and goes."""
+    if _exists(spark, f"{_beside(path)}/_SUCCESS"):
+        _swap_in(spark, path, bucket_column(n))
+        return True
+    return False
+
+
 def _stored(spark: SparkSession, path: str, schema: T.StructType, n: int) -> DataFrame | None:
     name = bucket_column(n)
+    recover(spark, path, n)
     try:
         found = spark.read.parquet(path).columns
     except AnalysisException as error:
@@ -45,15 +83,25 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType, n: int) -> Dat
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType, n: int = BUCKETS
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    n: int = BUCKETS,
+    of: DataFrame | None = None,
 ) -> DataFrame:
-    """The table's rows without the bucket; none if it has not been written yet."""
+    """The table's rows without the bucket; none if it has not been written yet.
+
+    With `of`, a list of experiments, only the buckets they fall into are scanned.
+    """
     stored = _stored(spark, path, schema, n)
-    empty = spark.createDataFrame([], schema)
-    return empty if stored is None else stored.select(*schema.fieldNames())
+    if stored is None:
+        return spark.createDataFrame([], schema)
+    if of is not None:
+        stored = stored.filter(F.col(bucket_column(n)).isin(sorted(_buckets_of(of, n))))
+    return stored.select(*schema.fieldNames())
 
 
-def _write(df: DataFrame, path: str, name: str) -> None:
+def _overwrite(df: DataFrame, path: str, name: str) -> None:
     (
         df.hint("rebalance", name)
         .write.mode("overwrite")
@@ -63,10 +111,17 @@ def _write(df: DataFrame, path: str, name: str) -> None:
     )
 
 
+def _write(df: DataFrame, path: str, name: str) -> None:
+    """Bring in the rows' buckets by way of a complete copy beside the table."""
+    beside = _beside(path)
+    df.hint("rebalance", name).write.mode("overwrite").partitionBy(name).parquet(beside)
+    _swap_in(df.sparkSession, path, name)
+
+
 def write_table(df: DataFrame, path: str, n: int = BUCKETS) -> None:
     """First load: the rows become the content of their buckets."""
     name = bucket_column(n)
-    _write(df.withColumn(name, bucket(F.col(LINEAGE), n)), path, name)
+    _overwrite(df.withColumn(name, bucket(F.col(LINEAGE), n)), path, name)
 
 
 def _buckets_of(df: DataFrame, n: int) -> set[int]:

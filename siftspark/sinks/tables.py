@@ -23,7 +23,8 @@ def create_table(
     """Parquet table with the schema's columns, NOT NULL where the schema says so.
 
     Spark does not enforce NOT NULL or a key on files; `null_violations` and
-    `assert_unique` check them.
+    `assert_unique` check them. `replace` drops the table and then creates it, so a failure in
+    between leaves none; what an external table's folder holds stays either way.
     """
     if replace:
         drop_table(spark, table)
@@ -32,7 +33,10 @@ def create_table(
         for f in schema.fields
     )
     exists = "IF NOT EXISTS " if if_not_exists else ""
-    location = f" LOCATION '{path}'" if path else ""
+    location = ""
+    if path:
+        literal = path.replace("\\", "\\\\").replace("'", "\\'")
+        location = f" LOCATION '{literal}'"
     spark.sql(f"CREATE TABLE {exists}{_quoted(table)} ({columns}) USING parquet{location}")
 
 

@@ -7,6 +7,7 @@ from siftspark.sources.documents import (
     raw_schema,
     read_category,
     read_raw_json,
+    unread_raw_json,
     raw_versions,
 )
 from siftspark.sources.mmcif import parse_mmcif, read_mmcif
@@ -27,4 +28,5 @@ __all__ = [
     "read_id_list",
     "read_mmcif",
     "read_raw_json",
+    "unread_raw_json",
 ]

@@ -8,8 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftspark.functions import attribute_arrays, experiment_of_file, leaf_array, strip_prefix
-from siftspark.operators.scope import in_scope
+from siftspark.functions import (
+    attribute_arrays,
+    experiment_of_code_file,
+    leaf_array,
+    strip_prefix,
+)
+from siftspark.operators.scope import broadcast_if_small, in_scope
 from siftspark.registry import Registry
 from siftspark.sources.mmcif import DATA_TYPE
 
@@ -17,6 +22,9 @@ from siftspark.sources.mmcif import DATA_TYPE
 # attributes of unequal length.
 LANDING = "experiment string, attributes map<string,array<string>>, n_rows int, category string"
 
+# What the JSON parser could not read, as it stands in the file.
+CORRUPT = "_corrupt_record"
+
 _ATTRIBUTES = T.MapType(T.StringType(), T.VariantType())
 
 
@@ -31,12 +39,25 @@ def raw_schema(categories: Iterable[str] | None = None) -> T.StructType:
         data = T.StructType(
             [T.StructField(p + c, _ATTRIBUTES) for c in categories for p in ("_", "")]
         )
-    return (
-        T.StructType().add("experiment", T.StringType()).add("data", data).add("etag", T.StringType())
-    )
+    schema = T.StructType().add("experiment", T.StringType()).add("data", data)
+    return schema.add("etag", T.StringType()).add(CORRUPT, T.StringType())
+
+
+def named_experiment() -> Column:
+    """The experiment written in the document, or else the code its file is named by.
+
+    NULL if a document names none and its file's name is no code.
+    """
+    named = experiment_of_code_file(F.col("_metadata.file_name"))
+    return F.upper(F.coalesce("experiment", named))
+
 
+def _scan(spark: SparkSession, path: str, names: list[str] | None) -> DataFrame:
+    reader = spark.read.schema(raw_schema(names)).option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.json(path, recursiveFileLookup=True)
 
-def _as_map(data: Column, categories: Iterable[str]) -> Column:
+
+def as_map(data: Column, categories: Iterable[str]) -> Column:
     pairs = [
         part
         for c in categories
@@ -51,17 +72,26 @@ def read_raw_json(
     """Raw documents as (experiment, etag, data).
 
     The experiment is the one written in the document; documents that do not name it take
-    the code in their file name.
+    the code their file is named by. Lines that are no JSON, and documents without either,
+    are not among them: `unread_raw_json` lists those.
     """
     names = None if categories is None else list(categories)
-    raw = spark.read.schema(raw_schema(names)).json(path, recursiveFileLookup=True)
-    data = F.col("data") if names is None else _as_map(F.col("data"), names)
-    return raw.select(
-        F.upper(
-            F.coalesce("experiment", experiment_of_file(F.col("_metadata.file_name")))
-        ).alias("experiment"),
-        "etag",
-        data.alias("data"),
+    raw = _scan(spark, path, names).withColumn("_named", named_experiment())
+    data = F.col("data") if names is None else as_map(F.col("data"), names)
+    return raw.filter(F.col(CORRUPT).isNull() & F.col("_named").isNotNull()).select(
+        F.col("_named").alias("experiment"), "etag", data.alias("data")
+    )
+
+
+def unread_raw_json(spark: SparkSession, path: str) -> DataFrame:
+    """(file, reason, document) of what `read_raw_json` leaves out: corrupt lines with their
+    text, and documents of no known experiment."""
+    raw = _scan(spark, path, None).withColumn("_named", named_experiment())
+    corrupt = F.col(CORRUPT).isNotNull()
+    return raw.filter(corrupt | F.col("_named").isNull()).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.when(corrupt, "corrupt").otherwise("no experiment").alias("reason"),
+        F.coalesce(CORRUPT, F.to_json("data")).alias("document"),
     )
 
 
@@ -75,30 +105,27 @@ def json_path(spark: SparkSession, path: str) -> DataFrame:
     return spark.sql("SELECT * FROM json.`" + path.replace("`", "``") + "`")
 
 
-def _known_attributes(registry: Registry) -> Column:
-    """Literal map category -> attributes; bounded by the registry."""
-    return F.create_map(
-        *[p for c in registry for p in (F.lit(c.name), F.array(*map(F.lit, c.attributes)))]
-    )
-
-
 def category_documents(raw: DataFrame, registry: Registry) -> DataFrame:
     """Raw documents to one row (experiment, category, attributes) per registered category.
 
     Category names lose their leading underscore, unregistered categories and attributes
-    are pruned, and a category with nothing left is no document. Narrow: no shuffle.
+    are pruned, and a category with nothing left is no document. The registry is joined as
+    rows, of measured size; broadcast, as it is at any size a dictionary has, it moves no
+    document.
     """
-    known = _known_attributes(registry)
+    spark = raw.sparkSession
+    known = spark.createDataFrame(
+        [(c.name, c.attributes) for c in registry], "category string, _known array<string>"
+    )
     return (
         raw.select("experiment", F.explode("data").alias("_name", "_raw"))
         .select("experiment", strip_prefix(F.col("_name")).alias("category"), "_raw")
-        .filter(F.col("category").isin(registry.names))
+        .join(broadcast_if_small(known), "category")
         .select(
             "experiment",
             "category",
             F.map_filter(
-                "_raw",
-                lambda name, _: F.array_contains(F.element_at(known, F.col("category")), name),
+                "_raw", lambda name, _: F.array_contains(F.col("_known"), name)
             ).alias("_raw"),
         )
         .filter(F.size("_raw") > 0)
@@ -142,4 +169,5 @@ __all__ = [
     "raw_versions",
     "read_category",
     "read_raw_json",
+    "unread_raw_json",
 ]

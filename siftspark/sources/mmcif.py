@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,6 +141,17 @@ def parse_text(
     return name, block
 
 
+def text_problem(text: Column) -> Column:
+    """Why a text can't be taken, NULL if it can: it is empty, or it ends inside a text field.
+
+    Lines that begin with a semicolon open and close text fields in turn, so their number is even.
+    """
+    marks = F.regexp_count(text, F.lit(r"(?m)^;"))
+    return F.when(F.trim(F.coalesce(text, F.lit(""))) == "", F.lit("empty text")).when(
+        marks % 2 == 1, F.lit("text field not closed")
+    )
+
+
 def parse_mmcif(
     texts: DataFrame,
     text: str = "text",
@@ -181,4 +192,4 @@ def read_mmcif(
     return parse_mmcif(texts, categories=categories)
 
 
-__all__ = ["DATA_TYPE", "parse_mmcif", "parse_text", "read_mmcif"]
+__all__ = ["DATA_TYPE", "parse_mmcif", "parse_text", "read_mmcif", "text_problem"]

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from siftspark.functions import experiment_of_file
-from siftspark.plans.bronze import replace_documents
+from siftspark.plans.bronze import replace_documents, set_aside_uneven
 from siftspark.plans.layout import Layout
+from siftspark.plans.quarantine import set_aside
 from siftspark.registry import LINEAGE, Registry
 from siftspark.sinks.documents import write_category_documents
-from siftspark.sources.documents import LANDING, category_documents, raw_schema
+from siftspark.sources.documents import (
+    CORRUPT,
+    LANDING,
+    as_map,
+    category_documents,
+    named_experiment,
+    raw_schema,
+)
 
 
 def stream_files(
@@ -32,28 +42,42 @@ def stream_files(
     )
 
 
-def stream_raw(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Raw documents as they arrive: (experiment, etag, data, landed_at, file)."""
+def stream_raw(
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int = 1000,
+    categories: Iterable[str] | None = None,
+) -> DataFrame:
+    """Raw documents as they arrive: (experiment, etag, data, corrupt, landed_at, file).
+
+    With categories named, the JSON parser skips all others. Corrupt lines come as they stand in
+    `corrupt`; the experiment is NULL where neither the document nor its file names it.
+    """
+    names = None if categories is None else list(categories)
     files = stream_files(
-        spark, path, raw_schema(), files_per_batch=files_per_batch, recursiveFileLookup="true"
+        spark,
+        path,
+        raw_schema(names),
+        files_per_batch=files_per_batch,
+        recursiveFileLookup="true",
+        columnNameOfCorruptRecord=CORRUPT,
     )
     return files.select(
-        F.upper(
-            F.coalesce(LINEAGE, experiment_of_file(F.col("_metadata.file_name")))
-        ).alias(LINEAGE),
+        named_experiment().alias(LINEAGE),
         "etag",
-        "data",
+        (F.col("data") if names is None else as_map(F.col("data"), names)).alias("data"),
+        F.col(CORRUPT).alias("corrupt"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
         F.col("_metadata.file_path").alias("file"),
     )
 
 
 def _latest(documents: DataFrame) -> DataFrame:
-    """The last document of each experiment in a batch."""
-    arrival = F.struct("landed_at", "file")
-    last = documents.groupBy(LINEAGE).agg(F.max(arrival).alias("_last"))
-    chosen = last.select(LINEAGE, "_last.landed_at", "_last.file")
-    return documents.join(chosen, [LINEAGE, "landed_at", "file"], "left_semi")
+    """The last document of each experiment in a batch: by time, file and place in the file."""
+    arrival = ["landed_at", "file", "place"]
+    last = documents.groupBy(LINEAGE).agg(F.max(F.struct(*arrival)).alias("_last"))
+    chosen = last.select(LINEAGE, *[f"_last.{c}" for c in arrival])
+    return documents.join(chosen, [LINEAGE, *arrival], "left_semi")
 
 
 def stream_to_bronze(
@@ -62,19 +86,29 @@ def stream_to_bronze(
     """Bring every new raw document into the bronze tables; stops when all are in.
 
     Each micro-batch replaces its experiments, so a batch replayed after a failure leaves
-    the same tables.
+    the same tables. What can't be taken is set aside under the stream's name and the batch:
+    corrupt lines, documents of no experiment, and documents of uneven length.
     """
+    name = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        landing = layout.arrivals(batch_id)
-        write_category_documents(category_documents(_latest(batch), registry), landing)
+        landing, run = layout.arrivals(batch_id), f"stream-{name}-{batch_id}"
+        corrupt = F.col("corrupt").isNotNull()
+        unread = batch.filter(corrupt | F.col(LINEAGE).isNull())
+        reason = F.when(corrupt, "corrupt").otherwise("no experiment")
+        set_aside(unread, layout, run, "files", reason, F.coalesce("corrupt", F.to_json("data")))
+        # Places grow along a file; the scan is the same wherever they are computed.
+        read = batch.withColumn("place", F.monotonically_increasing_id())
+        read = read.filter(~corrupt & F.col(LINEAGE).isNotNull())
+        write_category_documents(category_documents(_latest(read), registry), landing)
         landed = spark.read.schema(LANDING).parquet(landing)
         held = {row["category"] for row in landed.select("category").distinct().collect()}
         for spec in registry:
             if spec.name not in held:
                 continue
             documents = landed.filter(F.col("category") == spec.name)
+            set_aside_uneven(documents, layout, spec, run)
             replace_documents(spark, layout, spec, documents)
 
     return (

@@ -5,7 +5,16 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from siftspark.plans import Layout, audit, build_bronze, build_silver, read_versions, refine
+from siftspark.plans import (
+    Layout,
+    audit,
+    build_bronze,
+    build_silver,
+    read_landed,
+    read_quarantine,
+    read_versions,
+    refine,
+)
 from siftspark.registry import Registry, default_registry
 from siftspark.sinks import read_table
 
@@ -23,9 +32,9 @@ _entity.pdbx_ec
 _entity.pdbx_mutation
 _entity.pdbx_fragment
 _entity.details
-1 polymer     syn "DNA/RNA (5'-R(*CP*)-D(*CP*GP*GP*CP*GP*CP*CP*GP*)-R(*G)-3')" 3078.980 2  ? ? ? ?
-2 non-polymer syn SPERMINE 202.340 1 ? ? ? ?
-3 water       nat water 18.015 67 ? ? ? ?
+1 polymer     man "chain of 5'-ends (test)" 1234.500 2  ? ? ? ?
+2 non-polymer syn 'SOME LIGAND' 88.250 1 ? ? ? ?
+3 water       nat solvent 18.020 41 ? ? ? ?
 """
 
 
@@ -94,7 +103,7 @@ def test_full_run_and_reruns(spark, tmp_path):
     entity = table(spark, layout, "silver", "entity").orderBy("id").collect()
     assert [r["id"] for r in entity] == ["1", "2", "3"]
     assert entity[0]["pdbx_number_of_molecules"] == 2 and entity[0]["pdbx_ec"] is None
-    assert entity[0]["formula_weight"] == pytest.approx(3078.98)
+    assert entity[0]["formula_weight"] == pytest.approx(1234.5)
     bad = table(spark, layout, "rejected", "entity").collect()
     assert len(bad) == 1 and bad[0]["formula_weight"] == "abc"
     assert set(bad[0]["reject_reasons"]) == {"id:required", "formula_weight:castable", "type:allowed"}
@@ -157,17 +166,51 @@ def test_ragged_document_keeps_old_rows(spark, tmp_path):
            layout, REG, "r2")
     found = {(r["experiment"], r["id"]) for r in table(spark, layout, "bronze", "entity").collect()}
     assert found == {("1AAA", "1"), ("1AAA", "2"), ("1BBB", "7")}
-    held = spark.read.parquet(layout.quarantine("entity")).collect()
-    assert [(r["experiment"], r["reason"]) for r in held] == [("1AAA", "ragged")]
+    held = [("1AAA", "entity", "ragged", "r2")]
+    kept = ("experiment", "category", "reason", "run")
+    assert rows(read_quarantine(spark, layout).select(*kept)) == held
+    # It is not taken for held: another run tries it again, and what was set aside stays listed.
+    assert rows(read_versions(spark, layout)) == [("1AAA", "1"), ("1BBB", "2")]
+    mended = [("1AAA", "2", cif("1AAA", "_entity.id 8\n")), ("1BBB", "2", cif("1BBB", "_entity.id 9\n"))]
+    plan = refine(ids(spark, ["1AAA", "1BBB"]), texts(spark, mended), layout, REG, "r3")
+    assert rows(plan) == [("1AAA", "2", "changed")]
+    found = {(r["experiment"], r["id"]) for r in table(spark, layout, "bronze", "entity").collect()}
+    assert found == {("1AAA", "8"), ("1BBB", "7")}
+    assert rows(read_quarantine(spark, layout).select(*kept)) == held
+    # Landed documents of the first run can still be read.
+    first = read_landed(spark, layout, "entity", run="r1")
+    assert sorted(r["experiment"] for r in first.collect()) == ["1AAA", "1BBB"]
+
+
+def test_unreadable_texts_are_set_aside(spark, tmp_path):
+    layout = Layout(str(tmp_path / "archive"), buckets=2)
+    data = [("1AAA", "1", None), ("1BBB", "1", "data_1BBB\n_entity.details\n;cut"), ("1ccc", "1", cif("1CCC", "_entity.id 1\n"))]
+    refine(ids(spark, ["1AAA", "1BBB", "1CCC"]), texts(spark, data), layout, REG, "r1")
+    why = {r["experiment"]: r["reason"] for r in read_quarantine(spark, layout, "r1").collect()}
+    assert why == {"1AAA": "empty text", "1BBB": "text field not closed"}
+    assert rows(read_versions(spark, layout)) == [("1CCC", "1")]
+    with pytest.raises(ValueError, match="must sort after"):
+        refine(ids(spark, ["1AAA"]), texts(spark, data), layout, REG, "r0")
+    with pytest.raises(ValueError, match="several source rows"):
+        refine(ids(spark, ["1DDD"]), texts(spark, [("1ddd", "1", "data_x"), ("1DDD", "1", "data_y")]), layout, REG, "r2")
 
 
 def test_duplicate_key_is_refused_and_named(spark, tmp_path):
     layout = Layout(str(tmp_path / "archive"), buckets=2)
     body = "loop_\n_chem_comp.id\n_chem_comp.type\n_chem_comp.name\nALA other a\nALA other b\n"
     with pytest.raises(ValueError, match="experiment='1AAA', id='ALA'"):
-        refine(ids(spark, ["1AAA"]), texts(spark, [("1AAA", "1", cif("1AAA", body))]), layout, REG, "r1")
+        refine(ids(spark, ["1AAA"]), texts(spark, [("1AAA", "1", cif("1AAA", body))]), layout, REG, "r1",
+               on_clash="raise")
     assert rows(table(spark, layout, "silver", "chem_comp")) == []
     assert rows(read_versions(spark, layout)) == []
+    # By default only the experiment with the clash waits.
+    other = cif("1BBB", "_chem_comp.id GLY\n_chem_comp.type other\n")
+    both = texts(spark, [("1AAA", "1", cif("1AAA", body)), ("1BBB", "1", other)])
+    refine(ids(spark, ["1AAA", "1BBB"]), both, layout, REG, "r2")
+    assert [r["id"] for r in table(spark, layout, "silver", "chem_comp").collect()] == ["GLY"]
+    held = read_quarantine(spark, layout, "r2").select("experiment", "reason", "document")
+    assert rows(held) == [("1AAA", "duplicate key", '{"experiment":"1AAA","id":"ALA"}')]
+    assert rows(read_versions(spark, layout)) == [("1BBB", "1")]
 
 
 def test_missing_category_and_audit(spark, tmp_path):
