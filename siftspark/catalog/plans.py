@@ -15,6 +15,8 @@ from siftspark.plans import (
     build_silver,
     explode_category,
     land_raw,
+    read_landed,
+    read_quarantine,
     read_versions,
     refine,
 )
@@ -134,6 +136,87 @@ def refine_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SOURCED = Registry(
+    {
+        "document": category(
+            "document",
+            ["experiment", "lang", "source"],
+            required=["experiment"],
+            keys=["experiment"],
+        )
+    }
+)
+
+
+def sourced_texts(documents: DataFrame, second=None, etag=None) -> DataFrame:
+    """Each document's lang and source as a table of one row; where `second` is a column that is
+    not NULL, its text follows as a second row, whole or cut."""
+    head = F.lit("\nloop_\n_document.lang\n_document.source\n")
+    more = F.lit("") if second is None else F.coalesce(F.concat(second, F.lit("\n")), F.lit(""))
+    experiment = F.col("doc_id").cast("string")
+    return documents.select(
+        experiment.alias("experiment"),
+        (F.md5("text") if etag is None else etag).alias("etag"),
+        F.concat(
+            *[F.lit("data_"), experiment, head, "lang", F.lit(" "), "source", F.lit("\n"), more]
+        ).alias("text"),
+    )
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS experiment, lang, source,
+      CASE WHEN lang = 'fr' THEN 'run2' ELSE 'run1' END AS run
+    FROM documents"""
+)
+def refine_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """French texts are ragged in the first run and mended, under the same etag, in the second."""
+    layout = Layout(work_path(spark, "archive"), BUCKETS)
+    documents = table(spark, sf_dir, "documents")
+    ids = documents.select(F.col("doc_id").cast("string").alias("experiment"))
+    ragged = F.when(F.col("lang") == "fr", F.col("lang"))
+    refine(ids, sourced_texts(documents, ragged), layout, SOURCED, "run1")
+    refine(ids, sourced_texts(documents), layout, SOURCED, "run2")
+    versions = spark.read.schema("experiment string, run string").parquet(layout.versions())
+    silver = SOURCED["document"].silver_schema()
+    return read_table(spark, layout.silver("document"), silver, BUCKETS).join(versions, "experiment")
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS experiment, lang,
+      CASE WHEN lang IN ('de', 'fr') THEN 'second' ELSE source END AS source
+    FROM documents"""
+)
+def landing_of_two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run lands French and, again, German documents; those of the first stay."""
+    layout = Layout(work_path(spark, "archive"), BUCKETS)
+    documents = table(spark, sf_dir, "documents")
+    land_raw(sourced_texts(documents.filter("lang <> 'fr'")), layout, SOURCED, "run1")
+    again = documents.filter("lang IN ('de', 'fr')").withColumn("source", F.lit("second"))
+    land_raw(sourced_texts(again), layout, SOURCED, "run2")
+    landed = read_landed(spark, layout, "document")
+    first = [F.get(F.col("attributes")[a], F.lit(0)).alias(a) for a in ("lang", "source")]
+    return landed.select("experiment", *first)
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS experiment, lang, source, CAST(NULL AS VARCHAR) AS reason
+    FROM documents WHERE lang <> 'de'
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL, NULL, 'duplicate key'
+    FROM documents WHERE lang = 'de'"""
+)
+def silver_with_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """German documents hold two rows of one key: they wait, all others are merged."""
+    layout = Layout(work_path(spark, "archive"), BUCKETS)
+    documents = table(spark, sf_dir, "documents")
+    ids = documents.select(F.col("doc_id").cast("string").alias("experiment"))
+    clash = F.when(F.col("lang") == "de", F.lit("de other"))
+    refine(ids, sourced_texts(documents, clash), layout, SOURCED, "run1")
+    silver = SOURCED["document"].silver_schema()
+    merged = read_table(spark, layout.silver("document"), silver, BUCKETS)
+    waiting = read_quarantine(spark, layout, "run1").select("experiment", "reason")
+    return merged.unionByName(waiting, allowMissingColumns=True)
+
+
 @query(
     r"""WITH links AS (
       SELECT lang, CAST(i - 1 AS INTEGER) AS ordinal, items[i] AS attribute FROM (

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftspark.catalog.base import query, table
-from siftspark.catalog.plans import BUCKETS
+from siftspark.catalog.plans import BUCKETS, SOURCED, sourced_texts
 from siftspark.catalog.sources import DOCUMENTS, document_texts
-from siftspark.plans import Layout
+from siftspark.plans import Layout, read_quarantine
 from siftspark.session import work_path
 from siftspark.sinks import read_table, write_raw
-from siftspark.sources import parse_mmcif
+from siftspark.sources import parse_mmcif, unread_raw_json
 from siftspark.streaming import stream_files, stream_raw, stream_to_bronze
 
 
@@ -50,3 +50,58 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream_to_bronze(stream, layout, DOCUMENTS, seen).awaitTermination()
     schema = DOCUMENTS["line"].bronze_schema()
     return read_table(spark, layout.bronze("line"), schema, BUCKETS)
+
+
+def _broken(documents: DataFrame) -> DataFrame:
+    """One line of JSON per document, cut off in the middle."""
+    start = F.concat(F.lit('{"experiment": "'), F.col("doc_id").cast("string"), F.lit('", "data": {'))
+    return documents.select(start)
+
+
+@query(
+    """SELECT 'corrupt' AS reason, '{"experiment": "' || doc_id || '", "data": {' AS document
+    FROM documents WHERE lang = 'fr'"""
+)
+def corrupt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Among good documents, the French ones are lines cut off in the middle."""
+    landing, documents = work_path(spark, "raw"), table(spark, sf_dir, "documents")
+    good = parse_mmcif(sourced_texts(documents.filter("lang <> 'fr'")), as_json=True)
+    write_raw(good, landing)
+    _broken(documents.filter("lang = 'fr'")).write.mode("append").text(landing)
+    return unread_raw_json(spark, landing).select("reason", "document")
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS experiment, 'ragged' AS reason FROM documents WHERE lang = 'de'
+    UNION ALL SELECT NULL, 'corrupt' FROM documents WHERE lang = 'fr'
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), NULL FROM documents WHERE lang NOT IN ('de', 'fr')"""
+)
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """German documents of uneven length and corrupt French lines, each set aside by the stream."""
+    landing, documents = work_path(spark, "raw"), table(spark, sf_dir, "documents")
+    layout = Layout(work_path(spark, "archive"), BUCKETS)
+    ragged = F.when(F.col("lang") == "de", F.col("lang"))
+    write_raw(parse_mmcif(sourced_texts(documents.filter("lang <> 'fr'"), ragged), as_json=True), landing)
+    _broken(documents.filter("lang = 'fr'")).write.mode("append").text(landing)
+    stream = stream_raw(spark, landing, categories=SOURCED.names)
+    stream_to_bronze(stream, layout, SOURCED, work_path(spark, "seen")).awaitTermination()
+    schema = SOURCED["document"].bronze_schema()
+    taken = read_table(spark, layout.bronze("document"), schema, BUCKETS).select("experiment")
+    aside = read_quarantine(spark, layout).select("experiment", "reason")
+    # The parser may have read a corrupt line's experiment before it broke off.
+    name = F.when(F.col("reason") != "corrupt", F.col("experiment"))
+    return aside.select(name.alias("experiment"), "reason").unionByName(
+        taken, allowMissingColumns=True
+    )
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS experiment, lang, 'second' AS source FROM documents")
+def stream_latest_in_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of each document as neighbours in one file: the later line stands."""
+    landing, documents = work_path(spark, "raw"), table(spark, sf_dir, "documents")
+    layout = Layout(work_path(spark, "archive"), BUCKETS)
+    versions = documents.withColumn("source", F.explode(F.array("source", F.lit("second"))))
+    write_raw(parse_mmcif(sourced_texts(versions), as_json=True), landing)
+    stream = stream_raw(spark, landing, categories=SOURCED.names)
+    stream_to_bronze(stream, layout, SOURCED, work_path(spark, "seen")).awaitTermination()
+    return read_table(spark, layout.bronze("document"), SOURCED["document"].bronze_schema(), BUCKETS)
