@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from siftspark.catalog.base import query, table
 from siftspark.operators import accepted, conform, in_scope, merge_upsert, rejected
 from siftspark.registry import default_registry
+from siftspark.session import staged
 
 REGISTRY = default_registry()
 
@@ -48,7 +49,8 @@ class _Case:
     def silver(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = REGISTRY[self.category]
         target = accepted(self.bronze(spark, sf_dir, held=True), spec)
-        merged = merge_upsert(target, accepted(self.scoped(spark, sf_dir), spec), spec.keys)
+        source = staged(accepted(self.scoped(spark, sf_dir), spec), "source")
+        merged = merge_upsert(target, source, spec.keys)
         return merged.select(
             *[
                 F.col(c.name).cast("double").alias(c.name) if c.type == "float" else F.col(c.name)
@@ -59,7 +61,7 @@ class _Case:
     def reject(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = REGISTRY[self.category]
         target = rejected(self.bronze(spark, sf_dir, held=True), spec)
-        source = rejected(self.scoped(spark, sf_dir), spec)
+        source = staged(rejected(self.scoped(spark, sf_dir), spec), "source")
         merged = merge_upsert(target, source, spec.keys, null_safe=True)
         return merged.select(*spec.names, (F.size("reject_reasons") > 0).alias("has_reasons"))
 

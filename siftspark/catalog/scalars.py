@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siftspark.catalog.base import query, table
 from siftspark.catalog.sources import raw_documents
 from siftspark.functions import after_dot, experiment_of_file, leaf_kind, right_strip
-from siftspark.session import work_path
+from siftspark.session import staged, work_path
 from siftspark.sinks import write_raw
 from siftspark.sources import read_raw_json
 
@@ -77,9 +77,15 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT o_orderkey, TRUE AS stamped, CAST(NULL AS TIMESTAMP) AS finished_ts FROM orders")
 def ledger_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger entries with the time they were added and none of being finished."""
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.current_timestamp().isNotNull().alias("stamped"),
-        F.lit(None).cast("timestamp_ntz").alias("finished_ts"),
+    """Ledger entries, written and read again: added between the start and the end of this."""
+    before = spark.sql("SELECT current_timestamp()").first()[0]
+    ledger = staged(
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey",
+            F.current_timestamp().alias("added_ts"),
+            F.lit(None).cast("timestamp_ntz").alias("finished_ts"),
+        ),
+        "ledger",
     )
+    stamped = F.col("added_ts").between(F.lit(before), F.current_timestamp())
+    return ledger.select("o_orderkey", stamped.alias("stamped"), "finished_ts")

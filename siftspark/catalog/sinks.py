@@ -12,7 +12,7 @@ from siftspark.catalog.base import query, table
 from siftspark.catalog.sources import raw_documents
 from siftspark.operators import replace_by_key, transpose_broadcast
 from siftspark.plans import write_registry
-from siftspark.registry import Registry, category
+from siftspark.registry import Registry, category, registry_from_frame
 from siftspark.session import work_path
 from siftspark.sinks import (
     append_by_name,
@@ -22,6 +22,7 @@ from siftspark.sinks import (
     drop_table,
     read_table,
     replace_experiments,
+    truncate,
     truncate_reload,
     write_category_documents,
     write_raw,
@@ -224,6 +225,33 @@ def registry_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.json(f"{path}/full_schema_dict").select("category", "attribute", "link")
 
 
+@query(
+    """SELECT lang AS category, list(source ORDER BY source) AS attributes
+    FROM (SELECT DISTINCT lang, source FROM documents) GROUP BY lang"""
+)
+def registry_carcass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The empty document: languages stand for categories, their sources for attributes."""
+    path = work_path(spark, "registry")
+    pairs = table(spark, sf_dir, "documents").select(
+        F.col("lang").alias("category"), F.col("source").alias("attribute")
+    )
+    attributes = pairs.distinct().withColumn("ordinal", F.lit(0)).withColumn("link", F.lit(""))
+    write_registry(attributes, registry_from_frame(attributes), path)
+    carcass = spark.read.schema("category string, attributes array<string>")
+    return carcass.json(f"{path}/schema_carcass")
+
+
+@query("SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance FROM customer")
+def truncate_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filled table is emptied, and then takes other rows."""
+    customer, supplier = _accounts(spark, sf_dir)
+    with scratch_table(spark, ACCOUNT) as target:
+        append_positional(supplier.select("key", "name", "balance"), target.name)
+        truncate(spark, target.name)
+        append_positional(customer, target.name)
+        return target.rows()
+
+
 @query(
     """SELECT CAST(doc_id AS VARCHAR) AS experiment, CAST(i - 1 AS INTEGER) AS line,
       string_split(text, chr(10))[i] AS content, lang, source

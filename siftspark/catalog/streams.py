@@ -12,7 +12,7 @@ from siftspark.plans import Layout, read_quarantine
 from siftspark.session import work_path
 from siftspark.sinks import read_table, write_raw
 from siftspark.sources import parse_mmcif, unread_raw_json
-from siftspark.streaming import stream_files, stream_raw, stream_to_bronze
+from siftspark.streaming import stream_files, stream_inferred, stream_raw, stream_to_bronze
 
 
 @query("SELECT event_id, event_type, value FROM events")
@@ -105,3 +105,27 @@ def stream_latest_in_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = stream_raw(spark, landing, categories=SOURCED.names)
     stream_to_bronze(stream, layout, SOURCED, work_path(spark, "seen")).awaitTermination()
     return read_table(spark, layout.bronze("document"), SOURCED["document"].bronze_schema(), BUCKETS)
+
+
+@query(
+    """SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS user_id
+    FROM events"""
+)
+def stream_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schema is inferred from the first arrival; a column of the second is rescued."""
+    landing, out, seen, kept = (work_path(spark, n) for n in ("landing", "stream", "seen", "schema"))
+    events = table(spark, sf_dir, "events")
+
+    def run() -> None:
+        stream = stream_inferred(spark, landing, kept)
+        sink = stream.writeStream.format("parquet").option("checkpointLocation", seen)
+        sink.trigger(availableNow=True).start(out).awaitTermination()
+
+    events.filter("event_type = 'click'").select("event_id", "event_type").write.json(landing)
+    run()
+    more = events.filter("event_type <> 'click'").select("event_id", "event_type", "user_id")
+    more.write.mode("append").json(landing)
+    run()
+    return spark.read.parquet(out).select(
+        "event_id", "event_type", F.get_json_object("_rescued", "$.user_id").cast("long").alias("user_id")
+    )

@@ -98,6 +98,10 @@ def split(df: DataFrame, category: Category) -> DataFrame:
     both = df.select(*raw, is_valid(category).alias(ACCEPTED)).select(
         ACCEPTED,
         F.when(ok, F.struct(*typed_columns(category))).alias("silver"),
-        F.when(~ok, F.struct(*raw, reasons(rules(category)).alias(REASONS))).alias("rejected"),
+        *[F.when(~ok, F.col(n)).alias(n) for n in category.names],
+    )
+    # Equal rows break the same rules, so copies are merged before reasons are spelled out.
+    why = F.struct(*raw, reasons(rules(category)).alias(REASONS))
+    return _distinct(both, category).select(
+        ACCEPTED, "silver", F.when(~ok, why).alias("rejected")
     )
-    return _distinct(both, category)

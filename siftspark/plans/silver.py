@@ -13,7 +13,7 @@ from siftspark.plans.ingest import last_run
 from siftspark.plans.layout import Layout
 from siftspark.plans.quarantine import set_aside
 from siftspark.registry import LINEAGE, Registry
-from siftspark.session import work_path
+from siftspark.session import discard, work_path
 from siftspark.sinks.buckets import merge_into, read_table, replace_experiments
 
 
@@ -77,6 +77,7 @@ def build_silver(
             replace_experiments(spark, path, schema, rows, listed, n=layout.buckets)
         else:
             merge_into(spark, path, schema, rows, spec.keys, null_safe, layout.buckets)
+    discard(spark, staged_at)
 
 
 def audit(

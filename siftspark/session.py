@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -31,3 +31,27 @@ def shared_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for one staged table or stream checkpoint."""
     return f"{shared_dir(spark)}/siftspark/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once under the shared folder and read back: lineage ends there."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    """Hadoop's file system and path, which know every store that Spark can write to."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _folder(spark, path)
+    return store.exists(where)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table, once nothing depends on it any more."""
+    store, where = _folder(spark, path)
+    store.delete(where, True)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from siftspark.functions import bucket
 from siftspark.operators.merge import merge_upsert, replace_by_key
 from siftspark.registry import LINEAGE
+from siftspark.session import discard, exists
 
 BUCKETS = 64
 
@@ -35,33 +36,16 @@ def _beside(path: str) -> str:
     return path.rstrip("/") + ".swap"
 
 
-def _folder(spark: SparkSession, path: str):
-    """Hadoop's file system and path, which know every store that Spark can write to."""
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    store, where = _folder(spark, path)
-    return store.exists(where)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    store, where = _folder(spark, path)
-    store.delete(where, True)
-
-
 def _swap_in(spark: SparkSession, path: str, name: str) -> None:
     """Overwrite the buckets of a complete copy beside the table; the copy goes last."""
     beside = _beside(path)
     _overwrite(spark.read.parquet(beside), path, name)
-    _delete(spark, beside)
+    discard(spark, beside)
 
 
 def recover(spark: SparkSession, path: str, n: int = BUCKETS) -> bool:
     """Finish a swap that broke off, if there is one; an unfinished copy is no use and goes."""
-    if _exists(spark, f"{_beside(path)}/_SUCCESS"):
+    if exists(spark, f"{_beside(path)}/_SUCCESS"):
         _swap_in(spark, path, bucket_column(n))
         return True
     return False

@@ -1,3 +1,9 @@
-from siftspark.streaming.files import stream_files, stream_raw, stream_to_bronze
+from siftspark.streaming.files import (
+    kept_schema,
+    stream_files,
+    stream_inferred,
+    stream_raw,
+    stream_to_bronze,
+)
 
-__all__ = ["stream_files", "stream_raw", "stream_to_bronze"]
+__all__ = ["kept_schema", "stream_files", "stream_inferred", "stream_raw", "stream_to_bronze"]

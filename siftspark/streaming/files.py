@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from siftspark.plans.bronze import replace_documents, set_aside_uneven
 from siftspark.plans.layout import Layout
 from siftspark.plans.quarantine import set_aside
 from siftspark.registry import LINEAGE, Registry
+from siftspark.session import discard, exists
 from siftspark.sinks.documents import write_category_documents
 from siftspark.sources.documents import (
     CORRUPT,
@@ -42,6 +44,40 @@ def stream_files(
     )
 
 
+def kept_schema(spark: SparkSession, path: str, kept_at: str) -> T.StructType:
+    """The schema of a folder of JSON lines, inferred once from all of it and kept as a file.
+
+    Later runs of a stream use what was kept, so its output keeps one schema.
+    """
+    if exists(spark, kept_at):
+        text = "".join(r["value"] for r in spark.read.text(kept_at).collect())
+        return T.StructType.fromJson(json.loads(text))
+    schema = spark.read.json(path, recursiveFileLookup=True).schema
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(kept_at)
+    return schema
+
+
+def stream_inferred(
+    spark: SparkSession, path: str, kept_at: str, files_per_batch: int = 1000
+) -> DataFrame:
+    """JSON lines of unknown shape as they arrive, in the kept schema, and `_rescued`.
+
+    A line with fields that the kept schema doesn't have, or one that is no JSON object, is in
+    `_rescued` as it stands in the file; NULL there means that the columns say all.
+    """
+    schema = kept_schema(spark, path, kept_at)
+    text = T.StructType().add("value", "string")
+    lines = stream_files(
+        spark, path, text, "text", files_per_batch, recursiveFileLookup="true"
+    )
+    keys = F.json_object_keys("value")
+    known = F.array(*[F.lit(f.name) for f in schema]).cast("array<string>")
+    unknown = keys.isNull() | (F.size(F.array_except(keys, known)) > 0)
+    return lines.select(
+        F.from_json("value", schema).alias("_row"), F.when(unknown, F.col("value")).alias("_rescued")
+    ).select("_row.*", "_rescued")
+
+
 def stream_raw(
     spark: SparkSession,
     path: str,
@@ -110,6 +146,7 @@ def stream_to_bronze(
             documents = landed.filter(F.col("category") == spec.name)
             set_aside_uneven(documents, layout, spec, run)
             replace_documents(spark, layout, spec, documents)
+        discard(spark, landing)
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -29,7 +29,7 @@ def test_a_swap_that_broke_off_is_finished(spark, tmp_path, monkeypatch):
     # The copy is complete, the touched bucket is already gone, and the driver dies.
     def die(spark, path, name):
         touched = spark.read.parquet(path + ".swap").select(name).first()[0]
-        sink._delete(spark, f"{path}/{name}={touched}")
+        sink.discard(spark, f"{path}/{name}={touched}")
         raise RuntimeError("gone")
 
     with monkeypatch.context() as patched:
