@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.session import work_path
+from siftspark.session import staged
+
+__all__ = ["GAP", "WORD", "held_out", "let", "slices", "staged", "text_of", "word_count", "words_of"]
 
 # Fixed value: a word is a run of characters that are neither blank nor TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once under the shared folder and read back: lineage ends there."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what a task holds beside the texts stays small.
+
+    A Python worker lives on after its task: what Arrow kept for reuse is given back at the end.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
 
 
 def text_of(column: str = "text") -> Column:

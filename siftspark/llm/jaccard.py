@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.common import staged
+from siftspark.llm.common import slices, staged
 from siftspark.llm.components import components
 from siftspark.operators.scope import broadcast_if_small
 
@@ -44,7 +44,7 @@ class WordHashes(dict):
     """word -> 64-bit hash, bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 250_000:
+        if len(self) >= 100_000:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found
@@ -74,13 +74,6 @@ class Shingles:
         return np.unique(h)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, so that what a task holds beside the texts stays small."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
-
-
 def pack(keys: np.ndarray) -> bytes:
     return np.ascontiguousarray(keys, "<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
 
@@ -100,7 +93,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
-        for batch in batches:
+        for batch in slices(batches):
             sizes, marks = [], []
             for cell in batch["text"]:
                 found = shingles(cell.as_py())
@@ -122,7 +115,7 @@ def frequent_shingles(docs: DataFrame, buckets: int, most: int, least: int = 3)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
-        for batch in _slices(batches):
+        for batch in slices(batches):
             found = [key_of(shingles(cell.as_py())) for cell in batch["text"]]
             keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
             where = (keys % np.uint64(buckets)).astype(np.int64)
@@ -164,7 +157,7 @@ def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> Dat
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         frequent, counts = order.value
-        for batch in _slices(batches):
+        for batch in slices(batches):
             parts = []
             for doc, cell in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 keys = key_of(shingles(cell.as_py()))
@@ -253,7 +246,7 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, held, own = Shingles(), None, None
-        for batch in _slices(batches):
+        for batch in slices(batches):
             both, either = [], []
             for a, text_a, text_b in zip(
                 batch["a"].to_pylist(), batch["text_a"], batch["text_b"]

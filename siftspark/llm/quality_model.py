@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.common import held_out, staged, text_of
+from siftspark.llm.common import held_out, slices, staged, text_of
 
 BITS = 18
 BIAS = 1 << BITS  # its own slot after the buckets
@@ -169,7 +169,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, keep: list[str] | None =
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, w = Features(), table.value
-        for batch in batches:
+        for batch in slices(batches):
             scores = []
             for cell in batch["text"]:
                 buckets, words = features(cell.as_py())

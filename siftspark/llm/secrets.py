@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.common import staged
+from siftspark.llm.common import slices, staged
 from siftspark.operators.scope import broadcast_if_small
 
 # The kinds, in the order in which spans with one start are listed.
@@ -93,7 +93,7 @@ def candidates(docs: DataFrame, owner: str = "source", repository: str = "source
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [
                 [
                     {

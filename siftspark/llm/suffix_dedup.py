@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftspark.llm.common import staged, text_of
+from siftspark.llm.common import slices, staged, text_of
 from siftspark.llm.induced import sort_suffixes
 from siftspark.llm.jaccard import pack, unpack
 from siftspark.operators.scope import broadcast_if_small
@@ -137,7 +137,7 @@ def shared_grams(texts: DataFrame, span: int, gram: int, buckets: int) -> DataFr
     """doc_id, keys: the grams of a document that another document has too."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids = np.array(batch["doc_id"].to_pylist(), np.int64)
             for number, _, _, key in runs(_bytes_of(batch["data"]), span, gram):
                 if not len(key):
@@ -205,7 +205,7 @@ def pieces_of(texts: DataFrame, span: int, gram: int) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts_ = batch["doc_id"].to_pylist(), _bytes_of(batch["data"])
             wanted = [
                 np.uint64(i) << np.uint64(40) | unpack(b"".join(keys))
@@ -340,7 +340,7 @@ def remove_repeats(
     """doc_id, n_bytes, n_removed, n_spans, kept: one row per document, `kept` as bytes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc, data, copy, spans in zip(*(batch[c].to_pylist() for c in ("doc_id", "data", "copy", "spans"))):
                 n = len(data)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftspark.llm import grammar
-from siftspark.llm.common import held_out, staged, text_of, words_of
+from siftspark.llm.common import held_out, slices, staged, text_of, words_of
 
 # Function words of four languages that the transducers listen to.
 PERSONS = "you your yours he she they him her them du dich dir ihr euch sie tu te toi vous lui eux usted ustedes ti".split()
@@ -138,7 +138,7 @@ def stem_counts(rows: DataFrame, only: frozenset[str] | None = None) -> DataFram
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, tokens = Counter(), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 found = Counter()
                 for word, n in Counter(TOKEN.findall((text or "").lower())).items():
@@ -208,7 +208,7 @@ def clause_weights(rows: DataFrame, stems: dict[str, float], keep: list[str]) ->
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(stems)
-        for batch in batches:
+        for batch in slices(batches):
             weights = [scorer(cell.as_py()) for cell in batch["text"]]
             columns = [batch[c] for c in names] + [pa.array(weights, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "_weight"])
