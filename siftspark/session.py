@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,10 +35,18 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once under the shared folder and read back: lineage ends there."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows written once under the shared folder and read back: lineage ends there.
+
+    Nothing needs the write's shuffle files after it, so Spark is told to remove them then.
+    """
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _folder(spark: SparkSession, path: str):
