@@ -141,7 +141,8 @@ def frequent_shingles(docs: DataFrame, buckets: int, most: int, least: int = 3)
 
     sent = docs.select("text").mapInArrow(send, "bucket long, keys binary")
     # At most `most` rows of two numbers come to the driver.
-    top = sent.groupBy("bucket").applyInPandas(count, "key long, count long").toPandas()
+    counted = sent.groupBy("bucket").applyInPandas(count, "key long, count long")
+    top = staged(counted, "frequent-shingles").toPandas()
     top = top.sort_values("key")
     return top["key"].to_numpy(np.uint64), top["count"].to_numpy(np.int64)
 

@@ -33,7 +33,7 @@ from siftspark.llm.induced import sort_suffixes
 from siftspark.llm.jaccard import pack, unpack
 from siftspark.operators.scope import broadcast_if_small
 
-GRAM = 32
+GRAM = 24
 CHUNK = 2 << 20  # bytes looked at together
 PLACE_BITS = np.uint64(24)
 PLACE_MASK = np.uint64((1 << 24) - 1)
