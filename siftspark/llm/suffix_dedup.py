@@ -183,32 +183,44 @@ def shared_grams(texts: DataFrame, span: int, gram: int, buckets: int) -> DataFr
         several = docs[start] != docs[end - 1]
         kept = np.repeat(several, end - start)
         keys, docs = keys[kept], docs[kept]
-        by = np.argsort(docs, kind="stable")
-        keys, docs = keys[by], docs[by]
-        start = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]]) if len(docs) else []
-        end = [*start[1:], len(docs)]
+        part = (docs.astype(np.uint64) * FINAL >> np.uint64(33)).astype(np.int64) % buckets
+        by = np.lexsort((docs, part))
+        keys, docs, part = keys[by], docs[by], part[by]
+        ends = np.searchsorted(part, np.arange(buckets + 1))
+        used = [p for p in range(buckets) if ends[p] < ends[p + 1]]
         return pd.DataFrame(
             {
-                "doc_id": docs[start] if len(docs) else np.zeros(0, np.int64),
-                "keys": [pack(np.unique(keys[a:b])) for a, b in zip(start, end)],
+                "part": pd.Series(used, dtype=np.int64),
+                "docs": [docs[ends[p] : ends[p + 1]].tobytes() for p in used],
+                "keys": [pack(keys[ends[p] : ends[p + 1]]) for p in used],
             }
         )
 
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        docs, keys = np.frombuffer(b"".join(rows["docs"]), np.int64), unpack(b"".join(rows["keys"]))
+        by = np.lexsort((keys, docs))
+        docs, keys = docs[by], keys[by]
+        start = np.flatnonzero(np.r_[True, docs[1:] != docs[:-1]])
+        end = [*start[1:], len(docs)]
+        found = [pack(keys[a:b]) for a, b in zip(start, end)]
+        return pd.DataFrame({"doc_id": docs[start], "keys": found})
+
     sent = texts.mapInArrow(send, "bucket long, keys binary, index binary, docs binary")
-    return sent.groupBy("bucket").applyInPandas(meet, "doc_id long, keys binary")
+    met = sent.groupBy("bucket").applyInPandas(meet, "part long, docs binary, keys binary")
+    return met.groupBy("part").applyInPandas(gather, "doc_id long, keys binary")
 
 
 def pieces_of(texts: DataFrame, span: int, gram: int) -> DataFrame:
     """key, piece, name, doc_id, start: the stretches around shared grams.
 
-    Takes doc_id, data and `shared`, the list of the document's shared keys.
+    Takes doc_id, data and `shared`, the document's shared keys.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids, texts_ = batch["doc_id"].to_pylist(), _bytes_of(batch["data"])
             wanted = [
-                np.uint64(i) << np.uint64(40) | unpack(b"".join(keys))
+                np.uint64(i) << np.uint64(40) | unpack(keys)
                 for i, keys in enumerate(batch["shared"].to_pylist())
             ]
             wanted = np.sort(np.concatenate(wanted)) if wanted else np.zeros(0, np.uint64)
@@ -284,8 +296,8 @@ def repeated_spans(docs: DataFrame, span: int, gram: int, shard_bytes: int, memo
     texts = texts.filter(F.octet_length("data") >= span)
     total = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = int(max(8, total // (16 << 20)))
-    shared = shared_grams(texts, span, gram, buckets).groupBy(F.col("doc_id").alias("_id"))
-    shared = staged(shared.agg(F.collect_list("keys").alias("shared")), "shared-grams")
+    shared = shared_grams(texts, span, gram, buckets).toDF("_id", "shared")
+    shared = staged(shared, "shared-grams")
     wanted = texts.join(shared, F.col("doc_id") == F.col("_id"))
     pieces = staged(pieces_of(wanted.select("doc_id", "data", "shared"), span, gram), "pieces")
 
@@ -312,7 +324,8 @@ def repeated_spans(docs: DataFrame, span: int, gram: int, shard_bytes: int, memo
     verdicts = names.join(lost, F.col("name") == F.col("_own"), "left").filter(
         "first < most OR _ranges IS NOT NULL"
     )
-    verdicts = verdicts.select(F.col("name").alias("_name"), "first", "_ranges")
+    # Written down, so that the join below shuffles both sides and AQE can split hot pieces.
+    verdicts = staged(verdicts.select(F.col("name").alias("_name"), "first", "_ranges"), "verdicts")
     held = pieces.select(
         "name", "doc_id", "start", F.octet_length("piece").cast("long").alias("length")
     )
