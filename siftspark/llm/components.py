@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from siftspark.llm.common import staged
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """Number of edges and the sum of their hashes: equal for equal sets of edges."""
+    hashes = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
+    return tuple(edges.agg(F.count(F.lit(1)), hashes).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """doc_id, component (the smallest id reachable) for every end of an edge (a, b).
 
@@ -18,6 +24,7 @@ def components(edges: DataFrame) -> DataFrame:
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     ).distinct()
     stars = staged(stars, "edges")
+    before = _mark(stars)
     while True:
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
@@ -33,9 +40,10 @@ def components(edges: DataFrame) -> DataFrame:
         hung = small.select("b", "least").filter("b <> least").toDF("a", "b")
         hung = hung.unionByName(small.select("a", F.col("least").alias("b"))).distinct()
         following = staged(hung, "small-star")
-        if stars.exceptAll(following).isEmpty() and following.exceptAll(stars).isEmpty():
+        after = _mark(following)
+        stars, changed, before = following, after != before, after
+        if not changed:
             break
-        stars = following
     roots = stars.select(F.col("b").alias("doc_id"), F.col("b").alias("component")).distinct()
     leaves = stars.groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("component"))
     return leaves.unionByName(roots)
