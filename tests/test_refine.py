@@ -3,13 +3,11 @@
 import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from siftspark.plans import (
     Layout,
     audit,
     build_bronze,
-    build_silver,
     read_landed,
     read_quarantine,
     read_versions,
