@@ -7,7 +7,7 @@ from siftspark.functions.text import (
     right_strip,
     strip_prefix,
 )
-from siftspark.functions.variant import attribute_arrays, leaf_array, leaf_kind
+from siftspark.functions.variant import attribute_arrays, has_nested_leaf, leaf_array, leaf_kind
 
 __all__ = [
     "after_dot",
@@ -15,6 +15,7 @@ __all__ = [
     "bucket",
     "experiment_of_code_file",
     "experiment_of_file",
+    "has_nested_leaf",
     "leaf_array",
     "leaf_kind",
     "null_if_token",

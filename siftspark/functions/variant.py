@@ -18,6 +18,11 @@ def _is_object(leaf: Column) -> Column:
     return F.try_variant_get(leaf, "$", "map<string,variant>").isNotNull()
 
 
+def has_nested_leaf(data: Column) -> Column:
+    """Whether any attribute of any category holds an object, which is no value."""
+    return F.exists(F.map_values(data), lambda c: F.exists(F.map_values(c), _is_object))
+
+
 def leaf_array(leaf: Column) -> Column:
     """An array leaf as it is, any other leaf as an array of one."""
     return F.coalesce(_as_list(leaf), F.array(_as_text(leaf)))

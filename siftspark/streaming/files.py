@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from siftspark.functions import has_nested_leaf
 from siftspark.plans.bronze import replace_documents, set_aside_uneven
 from siftspark.plans.layout import Layout
 from siftspark.plans.quarantine import set_aside
@@ -123,20 +124,24 @@ def stream_to_bronze(
 
     Each micro-batch replaces its experiments, so a batch replayed after a failure leaves
     the same tables. What can't be taken is set aside under the stream's name and the batch:
-    corrupt lines, documents of no experiment, and documents of uneven length.
+    corrupt lines, documents of no experiment, with nested objects, or of uneven length.
     """
     name = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         landing, run = layout.arrivals(batch_id), f"stream-{name}-{batch_id}"
-        corrupt = F.col("corrupt").isNotNull()
-        unread = batch.filter(corrupt | F.col(LINEAGE).isNull())
-        reason = F.when(corrupt, "corrupt").otherwise("no experiment")
-        set_aside(unread, layout, run, "files", reason, F.coalesce("corrupt", F.to_json("data")))
+        nested = F.coalesce(has_nested_leaf(F.col("data")), F.lit(False))
+        problem = (
+            F.when(F.col("corrupt").isNotNull(), "corrupt")
+            .when(F.col(LINEAGE).isNull(), "no experiment")
+            .when(nested, "nested")
+        )
+        document = F.coalesce("corrupt", F.to_json("data"))
+        set_aside(batch.filter(problem.isNotNull()), layout, run, "files", problem, document)
         # Places grow along a file; the scan is the same wherever they are computed.
         read = batch.withColumn("place", F.monotonically_increasing_id())
-        read = read.filter(~corrupt & F.col(LINEAGE).isNotNull())
+        read = read.filter(problem.isNull())
         write_category_documents(category_documents(_latest(read), registry), landing)
         landed = spark.read.schema(LANDING).parquet(landing)
         held = {row["category"] for row in landed.select("category").distinct().collect()}

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siftspark.plans import Layout, build_registry, write_registry
+from siftspark.plans import Layout, build_registry, read_quarantine, write_registry
 from siftspark.registry import REQUIREMENTS, Registry, default_registry, registry_from_frame
 from siftspark.sinks import (
     append_by_name,
@@ -156,5 +156,10 @@ def test_stream_takes_the_last_document_and_new_files_only(spark, tmp_path):
     put("c.json", "B", "EPR", 1_000_000)
     assert run() == [("A", "x", "SOLUTION NMR"), ("B", "x", "EPR")]
     put("d.json", "B", "FIBER DIFFRACTION", 1_000_100)
+    put("nest.json", "B", {"not": "a value"}, 1_000_200)
+    put("long-name.json", None, "EPR", 1_000_200)
+    (landing / "e.json").write_text('{"experiment": "C", "da')
     assert run() == [("A", "x", "SOLUTION NMR"), ("B", "x", "FIBER DIFFRACTION")]
+    aside = read_quarantine(spark, layout).select("reason", "step")
+    assert rows(aside) == [("corrupt", "files"), ("nested", "files"), ("no experiment", "files")]
     assert run() == [("A", "x", "SOLUTION NMR"), ("B", "x", "FIBER DIFFRACTION")]
