@@ -311,12 +311,17 @@ def similarity_components(
     members = staged(regions(single, order, buckets, percent, hot), "regions")
     members = staged(_with_centres(members), "centred")
 
-    labels, links, checked = None, None, None
+    labels, links, checked, tried = None, None, None, None
     for turn in range(rounds + 1):
-        pairs = _open_pairs(members, labels, checked, percent, None if turn == rounds else turn)
-        pairs = staged(pairs, "pairs")
+        pivots = None
+        if turn < rounds:
+            pivots = staged(_pivots(members, labels, tried, turn), "pivots-of-regions")
+            used = pivots.select("region", "_doc_id")
+            tried = used if tried is None else tried.unionByName(used)
+        pairs = staged(_open_pairs(members, labels, checked, percent, pivots), "pairs")
         if pairs.isEmpty():
-            break
+            # Pivots that have no one to meet say nothing about the pairs of other documents.
+            continue
         sizes = staged(verify(pairs, single, percent), "verified")
         found = sizes.filter(F.col("both") * 100 >= F.col("either") * percent).select("a", "b")
         links = found if links is None else links.unionByName(found)
@@ -353,19 +358,9 @@ def _with_centres(members: DataFrame) -> DataFrame:
     return centred.select(*members.columns, "weight", F.col("_c.centre").alias("centre"))
 
 
-def _open_pairs(
-    members: DataFrame, labels: DataFrame | None, checked: DataFrame | None, percent: int, turn: int | None
-) -> DataFrame:
-    """Pairs (a, b), a < b, that share a region but no component and were not compared yet.
-
-    In a round these are a pivot and the others: the region's centre first, then the member of
-    most weight outside the centre's component. With `turn` None they are all pairs that sizes, places
-    and the distances to the centre allow.
-    """
-    if turn == 0:
-        rows = members.withColumn("component", F.col("doc_id"))
-    else:
-        rows = _labelled(members, labels)
+def _open_rows(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The labelled members of regions in several components, with the centre's `_home_component`."""
+    rows = _labelled(members, labels)
     rows = rows.withColumn("_home", F.when(F.col("doc_id") == F.col("centre"), F.col("component")))
     open_ = rows.groupBy("region").agg(
         F.min("component").alias("_low"),
@@ -373,24 +368,55 @@ def _open_pairs(
         F.max("_home").alias("_home_component"),
     )
     open_ = open_.filter("_low < _high").select("region", "_home_component")
-    rows = rows.drop("_home").join(open_, "region")
-    if turn is None:
-        rows = _with_distances(rows, checked)
-        others, columns = rows, ["doc_id", "n", "place", "component", "distance"]
+    return rows.drop("_home").join(open_, "region")
+
+
+def _pivots(
+    members: DataFrame, labels: DataFrame | None, tried: DataFrame | None, turn: int
+) -> DataFrame:
+    """A pivot for each open region: region, _doc_id, _n, _place, _component.
+
+    The region's centre comes first, then the member of most weight outside the centre's
+    component that was no pivot of the region (`tried`) before.
+    """
+    rows = _open_rows(members, labels)
+    if turn == 0:
+        at = rows.filter("doc_id = centre")
+    else:
+        at = rows.filter(F.col("component") != F.col("_home_component"))
+        if turn > 1:
+            before = tried.withColumnRenamed("_doc_id", "doc_id")
+            at = at.join(before, ["region", "doc_id"], "left_anti")
+    columns = ["doc_id", "n", "place", "component"]
+    pick = F.min(F.struct(-F.col("weight"), *columns))
+    picked = at.groupBy("region").agg(pick.alias("_p"))
+    return picked.select("region", *[F.col(f"_p.{c}").alias(f"_{c}") for c in columns])
+
+
+def _open_pairs(
+    members: DataFrame,
+    labels: DataFrame | None,
+    checked: DataFrame | None,
+    percent: int,
+    pivots: DataFrame | None,
+) -> DataFrame:
+    """Pairs (a, b), a < b, that share a region but no component and were not compared yet.
+
+    In a round these are the region's pivot and the others. Without `pivots` they are all pairs that
+    sizes, places and the distances to the centre allow.
+    """
+    if pivots is None:
+        rows = _with_distances(_open_rows(members, labels), checked)
+        columns = ["doc_id", "n", "place", "component", "distance"]
+        others = rows.select("region", *[F.col(c).alias(f"_{c}") for c in columns])
     else:
-        at = rows if turn == 0 else rows.filter(F.col("component") != F.col("_home_component"))
-        if turn == 0:
-            at = at.filter("doc_id = centre")
-        columns = ["doc_id", "n", "place", "component"]
-        pick = F.min(F.struct(-F.col("weight"), *columns))
-        others = at.groupBy("region").agg(pick.alias("_p")).select("region", *[f"_p.{c}" for c in columns])
-    others = others.select("region", *[F.col(c).alias(f"_{c}") for c in columns])
+        rows, others = _labelled(members, labels), pivots
     met = rows.join(others, "region").filter("component <> _component")
     # A link shares 100 * both >= percent * either, so both >= percent / (100 + percent) of the sum.
     rest = F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
     met = met.filter(F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent)
     met = met.filter(rest * (100 + percent) >= (F.col("n") + F.col("_n")) * percent)
-    if turn is None:
+    if pivots is None:
         apart = F.abs(F.col("distance") - F.col("_distance")) > 1 - percent / 100 + 1e-9
         met = met.filter("doc_id < _doc_id").filter(~F.coalesce(apart, F.lit(False)))
     pairs = met.select(
@@ -412,13 +438,15 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
 
 
-def _with_distances(rows: DataFrame, checked: DataFrame) -> DataFrame:
+def _with_distances(rows: DataFrame, checked: DataFrame | None) -> DataFrame:
     """The rows with `distance` to the region's centre, NULL where it was not computed."""
+    own = F.when(F.col("doc_id") == F.col("centre"), F.lit(0.0))
+    if checked is None:
+        return rows.withColumn("distance", own)
     measured = checked.select(
         F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("both") / F.col("either")).alias("_d")
     )
     pair = (F.least("doc_id", "centre") == F.col("_a")) & (F.greatest("doc_id", "centre") == F.col("_b"))
-    own = F.when(F.col("doc_id") == F.col("centre"), F.lit(0.0))
     return (
         rows.join(measured, pair, "left")
         .withColumn("distance", F.coalesce(own, "_d"))
