@@ -9,6 +9,7 @@ the other grams travel. Equal pieces are one, kept for its smallest id, whose co
 all of it, so a group of copies of any size costs its pieces once. What is left of a shard is
 one text; its suffixes are sorted by induction (`induced`), neighbours with `span` bytes in
 common form groups, and within a group every document but the smallest loses the string.
+A gram whose distinct pieces are more than a shard is not sorted: its strings are grouped as rows.
 
 Documents equal to one with a smaller id are settled before all this and take no part in it.
 
@@ -290,6 +291,44 @@ def sorted_shards(distinct: DataFrame, span: int, shards: int, memory: int) -> D
     return dealt.groupBy("shard").applyInPandas(sort, "name binary, offset long, length long")
 
 
+def grouped_strings(distinct: DataFrame, span: int) -> DataFrame:
+    """What `sorted_shards` gives, one row per lost string, found without sorting a shard.
+
+    Each string of the pieces is a row, at most span - gram + 1 of a piece, and Spark's
+    aggregate and join bring equal ones together: they need no task to hold a gram's pieces.
+    """
+    offsets = F.sequence(F.lit(0), F.octet_length("piece") - span)
+    strings = distinct.select("name", "first", "piece", F.explode(offsets).alias("offset")).select(
+        "name",
+        "first",
+        F.col("offset").cast("long").alias("offset"),
+        F.substr("piece", F.col("offset") + 1, F.lit(span)).alias("string"),
+    )
+    least = strings.groupBy(F.col("string").alias("_string")).agg(
+        F.min("first").alias("_least"), F.max("first").alias("_most")
+    )
+    least = staged(least.filter("_least < _most").drop("_most"), "repeated-strings")
+    lost = strings.join(least, F.col("string") == F.col("_string")).filter("first > _least")
+    return lost.select("name", "offset", F.lit(span).cast("long").alias("length"))
+
+
+def lost_ranges(distinct: DataFrame, span: int, shard_bytes: int, memory: int) -> DataFrame:
+    """name, offset, length: pieces in sorted shards, those of a gram too large for one as strings."""
+    grams = distinct.groupBy(F.col("key").alias("_key")).agg(
+        F.sum(F.octet_length("piece")).alias("_bytes")
+    )
+    grams = staged(grams, "gram-sizes")
+    large = grams.filter(F.col("_bytes") > shard_bytes).select("_key")
+    size = grams.filter(F.col("_bytes") <= shard_bytes).agg(F.sum("_bytes")).first()[0] or 0
+    shards = int(max(8, size // shard_bytes))
+    if large.isEmpty():
+        return sorted_shards(distinct, span, shards, memory)
+    large = broadcast_if_small(large)
+    same = F.col("key") == F.col("_key")
+    own = sorted_shards(distinct.join(large, same, "left_anti"), span, shards, memory)
+    return own.unionByName(grouped_strings(distinct.join(large, same, "left_semi"), span))
+
+
 def repeated_spans(docs: DataFrame, span: int, gram: int, shard_bytes: int, memory: int) -> DataFrame:
     """doc_id, spans: where documents lose bytes, as (start, length) pairs that may overlap."""
     texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "data")
@@ -316,8 +355,7 @@ def repeated_spans(docs: DataFrame, span: int, gram: int, shard_bytes: int, memo
         .agg(F.first("piece").alias("piece"))
     )
     distinct = staged(distinct, "distinct-pieces")
-    size = distinct.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    own = sorted_shards(distinct, span, int(max(8, size // shard_bytes)), memory)
+    own = lost_ranges(distinct, span, shard_bytes, memory)
     lost = own.groupBy(F.col("name").alias("_own")).agg(
         F.collect_list(F.struct("offset", "length")).alias("_ranges")
     )

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from siftspark.llm import chat, warc, zipfiles
+from siftspark.llm import chat, suffix_dedup, warc, zipfiles
 from siftspark.llm.induced import sort_suffixes
 from siftspark.llm.jaccard import similarity_components
 from siftspark.llm.queries import QUERIES
@@ -73,6 +73,30 @@ def test_suffix_dedup_of_small_alphabets(spark):
     assert ours == removed([(i, t.encode()) for i, t in docs], 20)
 
 
+def test_suffix_dedup_of_a_gram_larger_than_a_shard(spark, monkeypatch):
+    """A passage in many surroundings: no gram's pieces in a sorted shard exceed its bytes."""
+    rng = np.random.default_rng(4)
+    passage, docs = "common passage of all texts ", []
+    for i in range(80):
+        before, after = ("".join(rng.choice(list("abc"), 30)) for _ in range(2))
+        if i % 4 == 3:
+            before = docs[int(rng.integers(0, i))][1][10:30]
+        docs.append((i, before + passage + after))
+    sizes, sort = [], suffix_dedup.sorted_shards
+
+    def watch(distinct, *args):
+        each = distinct.groupBy("key").agg(F.sum(F.octet_length("piece")).alias("n"))
+        sizes.append(each.agg(F.max("n")).first()[0] or 0)
+        return sort(distinct, *args)
+
+    monkeypatch.setattr(suffix_dedup, "sorted_shards", watch)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = remove_repeats(df, span=20, gram=8, shard_bytes=256).collect()
+    ours = sorted((r.doc_id, r.n_removed, r.n_spans, bytes(r.kept)) for r in found)
+    assert ours == removed([(i, t.encode()) for i, t in docs], 20)
+    assert len(sizes) == 1 and sizes[0] <= 256
+
+
 @needs_tables
 def test_suffix_dedup_of_documents(spark):
     found = remove_repeats(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect()
