@@ -36,7 +36,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 # A first look that each assignment passes, on text in lower case.
 ASSIGN_WORDS = ("passw", "secret", "token", "api_key", "apikey")
-LOOKALIKE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,199}[0-9])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])")
+LOOKALIKE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+")
 MIN_ENTROPY = 3.5
 
 SPAN = "struct<kind:string,start:long,end:long,value_hash:string>"
@@ -61,6 +61,8 @@ def find_spans(text: str) -> list[tuple[str, int, int, str]]:
     taken = sorted((s[1], s[2]) for s in spans)
     for m in LOOKALIKE.finditer(text):
         value = m[0]
+        if not re.search("[0-9]", value):
+            continue
         if any(a < m.end() and m.start() < b for a, b in taken) or entropy(value) < MIN_ENTROPY:
             continue
         if re.search("[a-z]", value) and re.search("[A-Z]", value):

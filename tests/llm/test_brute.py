@@ -167,6 +167,13 @@ def test_secret_spans():
     ]
 
 
+def test_lookalikes_have_no_longest_size():
+    key = "Ab3dE6gH1jK+mN/pQ2sT" * 50
+    for size in (20, 200, 201, 1000):
+        assert find_spans(f"see {key[:size]}, then") == [("lookalike", 4, 4 + size, key[:size])]
+    assert find_spans("see " + "AbcdeFghijKlmno-pqrsT" * 20 + ".") == []
+
+
 @needs_tables
 def test_base_measures(spark):
     found = {r.doc_id: r for r in QUERIES["op7_divergence_rules"](spark, SF_DIR).collect()}
