@@ -9,6 +9,7 @@ import corpus_pipeline
 from siftspark.catalog.base import table
 from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.chat import digests, events_of_rows, fold_events, render
+from siftspark.llm.collocations import collocations
 from siftspark.llm.common import held_out
 from siftspark.llm.decontaminate import find_passages
 from siftspark.llm.jaccard import similarity_components
@@ -216,6 +217,42 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0a-\x0d]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM w, range(1, 6) AS lengths(m)),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.a, k, h.a AS l, t.a AS r, n,
+         ((1000::HUGEINT * cuts.a * n) // (h.a::HUGEINT * t.a))::BIGINT AS score
+  FROM cuts JOIN totals USING (lang)
+  JOIN f h ON h.lang = cuts.lang AND h.phrase = array_to_string(w[1:k], ' ')
+  JOIN f t ON t.lang = cuts.lang AND t.phrase = array_to_string(w[k + 1:], ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT c.lang, array_to_string(w[i:j], ' ') AS phrase, max(a) AS a
+  FROM c, range(1, 6) AS starts(i), range(1, 6) AS ends(j)
+  WHERE j <= m AND j > i AND j - i + 1 < m GROUP BY ALL),
+alone AS (SELECT weakest.* FROM weakest ANTI JOIN inside
+          ON inside.lang = weakest.lang AND inside.phrase = weakest.phrase AND 100 * inside.a >= 100 * weakest.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM alone QUALIFY rank <= 2000
+""")
+def op11_toivonen_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest collocations of each language, from exact counts of all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the stages of the corpus pipeline."""
