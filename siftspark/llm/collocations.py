@@ -1,18 +1,22 @@
 """Collocations per language by Toivonen's sampling: exact counts of frequent phrases in few passes.
 
-1. A sample of the documents proposes phrases: levels of two, three ... words are counted on it with
-   a lowered support, each level only where both shorter parts were frequent there.
-2. One pass over all documents counts the proposed phrases and their negative border exactly. The
-   border are the phrases that were not proposed although both their shorter parts were, so a phrase
-   is counted where the parts it starts and ends with were proposed; all single words are counted.
+1. A sample of the documents proposes phrases: levels of one, two, three ... words are counted on it
+   with a lowered support, each level only where both shorter parts were frequent there.
+2. One pass over all documents counts the proposed phrases and their negative border. The border are
+   the phrases that were not proposed although both their shorter parts were, so a phrase is counted
+   where the parts it starts and ends with were proposed; all single words are counted.
 3. A phrase of the border that turns out frequent may have frequent extensions that nobody counted.
-   Then an expansion pass counts every phrase not counted so far whose counted parts are all
-   frequent. A part that is itself counted only now is taken as possibly frequent, so all levels
-   close in this pass: what it leaves out has a part that is known to be rare.
+   The expansion pass counts every phrase not counted so far whose counted parts are all frequent.
+   A part that is itself counted only now is taken as possibly frequent, so all levels close in
+   this pass: what it leaves out has a part that is known to be rare.
 
-Tasks know the proposed and the frequent phrases as a bitmap of their hashes, of at most 32 MB. A
-phrase that is in it by chance is counted for nothing, so a bitmap too small for its phrases
-costs time; the counts are added up by the phrases themselves.
+The border is far larger than the result, so the second step sends hashes of 48 bits, packed by
+ranges, and their counts. That a hash reaches the support proves nothing about the phrases behind it,
+but one that doesn't is rare for sure. The third step therefore counts the phrases of all hashes that
+reached it by their words, in the same pass as the expansion; the result comes from these counts.
+
+Tasks know proposed and frequent hashes as a bitmap of at most 32 MB. A phrase that is in it by
+chance is counted for nothing: a bitmap too small for its phrases costs time, not results.
 
 Defined results: NULL texts count as empty, a NULL language is `und`; empty texts and pieces
 without words give nothing; rows repeated whole count each time; an empty table gives no rows.
@@ -24,13 +28,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftspark.llm.common import slices, staged, text_of
+from siftspark.llm.common import WORD, slices, staged, text_of
 
 LONGEST = 5
 END = 0  # the number of the mark between pieces
@@ -40,9 +45,11 @@ PLAIN = bytes.maketrans(
 )
 PRIME = np.uint64(0x9E3779B185EBCA87)
 FINAL = np.uint64(0xC2B2AE3D27D4EB4F)
-BLOCK_BYTES = 8 << 20  # of text that a task counts at once
+BLOCK_BYTES = 8 << 20  # of text that a task takes at once
 MOST_WORDS = 1 << 20  # that a task keeps numbers for
-COUNTS = "lang string, m int, phrase string, key long, n long"
+MOST_KEYS = 8 << 20  # that a task adds up before it sends them
+KEY_BITS, KEY_BYTES = 48, 6
+BUCKET_KEYS = 1 << 22  # occurrences for each group in which counts meet
 
 
 class Words(dict):
@@ -52,6 +59,11 @@ class Words(dict):
         super().__init__({b".": END})
         self.texts, self.hashes = [b"."], [0]
 
+    def forget(self) -> None:
+        """Start anew, so that memory stays bounded; numbers of words change."""
+        self.clear()
+        self.__init__()
+
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self.texts)
         self.texts.append(word)
@@ -66,6 +78,7 @@ class Phrases:
         plain = b".".join(texts).translate(PLAIN).replace(b".", b" . ")
         self.ids = np.array([words[w] for w in plain.split()], np.int64)
         self.hashes = np.array(words.hashes, np.uint64)[self.ids]
+        self.lang = lang
         self.seed = np.uint64(xxhash.xxh3_64_intdigest(lang))
 
     def single(self) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +95,8 @@ class Phrases:
         key = (raw ^ self.seed) * PRIME + np.uint64(m)
         key ^= key >> np.uint64(32)
         key *= FINAL
-        return key ^ (key >> np.uint64(29))
+        key ^= key >> np.uint64(29)
+        return key >> np.uint64(64 - KEY_BITS)
 
 
 class Bitmap:
@@ -97,13 +111,13 @@ class Bitmap:
         return (bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _bitmap(phrases: DataFrame, most_bits: int) -> Bitmap:
-    """A bitmap of the phrases' keys, put together by Spark in pieces of 4 KB, at most `most_bits` / 8 bytes."""
-    bits = 1 << 20
-    while bits < most_bits and bits < 64 * phrases.count():
+def _bitmap(keys: DataFrame, most_bits: int) -> Bitmap:
+    """A bitmap of the keys, put together by Spark in pieces of 4 KB, at most `most_bits` / 8 bytes."""
+    bits, wanted = 1 << 20, min(most_bits, 64 * keys.count())
+    while bits < wanted:
         bits *= 2
     place = F.col("key").bitwiseAND(F.lit(bits - 1)) + 1
-    pieces = phrases.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(
+    pieces = keys.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
     )
     whole = bytearray(bits // 8)
@@ -112,88 +126,127 @@ def _bitmap(phrases: DataFrame, most_bits: int) -> Bitmap:
     return Bitmap(bytes(whole))
 
 
-def _proposed(text: Phrases, proposed: Bitmap, levels: range) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """m, places and hashes of the phrases both whose parts were proposed, that is of the
-    proposed ones and of their border."""
+def _proposed(text: Phrases, proposed: Bitmap, levels: range) -> Iterator[np.ndarray]:
+    """Hashes of the phrases both whose parts were proposed: of the proposed ones and of their border."""
     at, raw = text.single()
     for m in range(2, levels.stop):
         kept = proposed(text.keys(raw, m - 1))
         _, at, raw = text.longer(at[kept], raw[kept], m)
         if m in levels:
-            yield m, at, raw
+            yield text.keys(raw, m)
 
 
-def _left_out(
-    text: Phrases, proposed: Bitmap, frequent: Bitmap, levels: range
+def _possible(
+    text: Phrases, proposed: Bitmap, frequent: Bitmap, longest: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The same for phrases that `_proposed` leaves out, if no counted part of them is rare."""
+    """m, places and hashes of phrases that `_proposed` found frequent, and of those it left out
+    although no part of them is known to be rare."""
     at, raw = text.single()
     counted = np.ones(len(at), bool)
-    for m in range(2, levels.stop):
-        key = text.keys(raw, m - 1)
-        possible = ~counted | frequent(key)
-        extended = (counted & proposed(key))[possible]  # `_proposed` went on from here
-        first, at, raw = text.longer(at[possible], raw[possible], m)
-        counted = extended[first] & extended[first + 1]
-        yield m, at[~counted], raw[~counted]
+    for m in range(1, longest + 1):
+        if m > 1:
+            first, at, raw = text.longer(at, raw, m)
+            counted = extended[first] & extended[first + 1]
+        key = text.keys(raw, m)
+        good = ~counted | frequent(key)
+        at, raw, key, counted = at[good], raw[good], key[good], counted[good]
+        yield m, at, key
+        extended = counted & proposed(key)  # `_proposed` went on from here
+
+
+def _texts(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[Phrases]:
+    """The rows' texts in blocks of one language."""
+    held, size = {}, 0
+    for batch in slices(batches):
+        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
+            held.setdefault(lang, []).append(text)
+            size += len(text)
+            if size >= BLOCK_BYTES:
+                for key, texts in held.items():
+                    yield Phrases(key, texts, words)
+                held, size = {}, 0
+    for key, texts in held.items():
+        yield Phrases(key, texts, words)
+
+
+def _hash_counts(
+    docs: DataFrame, phrases: Callable[[Phrases], Iterator[np.ndarray]], least: int, occurrences: int
+) -> DataFrame:
+    """key, n of the hashes that `phrases` yields `least` times or more for all texts."""
+    split = max(0, (occurrences // BUCKET_KEYS).bit_length())
+    shift = np.uint64(KEY_BITS - split)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, held, size = Words(), [], 0
+
+        def packed() -> pa.RecordBatch:
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            ends = np.searchsorted(keys >> shift, np.arange((1 << split) + 1, dtype=np.uint64))
+            used = np.flatnonzero(np.diff(ends))
+            short = keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+            n = n.astype("<u4")
+            return pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array(used, pa.int64()),
+                    "keys": pa.array([short[ends[b] : ends[b + 1]].tobytes() for b in used], pa.binary()),
+                    "counts": pa.array([n[ends[b] : ends[b + 1]].tobytes() for b in used], pa.binary()),
+                }
+            )
+
+        for text in _texts(batches, words):
+            for keys in phrases(text):
+                held.append(keys)
+                size += len(keys)
+            if size >= MOST_KEYS:
+                yield packed()
+                held, size = [], 0
+            if len(words) > MOST_WORDS:
+                words.forget()
+        if size:
+            yield packed()
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        short = np.frombuffer(b"".join(rows["keys"]), np.uint8).reshape(-1, KEY_BYTES)
+        keys = np.zeros((len(short), 8), np.uint8)
+        keys[:, :KEY_BYTES] = short
+        keys = keys.view("<u8").ravel()
+        n = np.frombuffer(b"".join(rows["counts"]), "<u4")
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        total = np.add.reduceat(n, first, dtype=np.int64)
+        often = total >= least
+        return pd.DataFrame({"key": keys[first][often].astype(np.int64), "n": total[often]})
+
+    sent = docs.mapInArrow(send, "bucket long, keys binary, counts binary")
+    return sent.groupBy("bucket").applyInPandas(add, "key long, n long")
+
+
+def _phrase_counts(docs: DataFrame, phrases: Callable) -> DataFrame:
+    """lang, m, phrase, n: occurrences of what `phrases` yields, by the phrases themselves, and for
+    each language a row of level 0 with the number of all its words."""
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
 
-def _count(docs: DataFrame, phrases: Callable | None, words_too: bool = True) -> DataFrame:
-    """lang, m, phrase, key, n: occurrences of what `phrases` yields for each `Phrases`, and of words.
+        def rows(lang, m, texts, n) -> pa.RecordBatch:
+            columns = [pa.array([lang] * len(n), pa.string()), pa.array([m] * len(n), pa.int32())]
+            columns += [texts.cast(pa.string()), pa.array(n, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "m", "phrase", "n"])
 
-    With words, level 0 has a row for each language with the number of all its words.
-    """
+        for text in _texts(batches, words):
+            yield rows(text.lang, 0, pa.array([b""]), [int((text.ids != END).sum())])
+            known = pa.array(words.texts, pa.binary())
+            for m, at, keys in phrases(text):
+                _, where, n = np.unique(keys, return_index=True, return_counts=True)
+                if len(n):
+                    parts = [known.take(pa.array(text.ids[at[where] + k])) for k in range(m)]
+                    yield rows(text.lang, m, pc.binary_join_element_wise(*parts, b" "), n)
+            if len(words) > MOST_WORDS:
+                words.forget()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, size = Words(), {}, 0
-        singles: dict[str, np.ndarray] = {}
-
-        def rows(lang, m, texts, keys, n) -> pa.RecordBatch:
-            fixed = [pa.array([lang] * len(n), pa.string()), pa.array([m] * len(n), pa.int32())]
-            columns = [texts.cast(pa.string()), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))]
-            return pa.RecordBatch.from_arrays(fixed + columns, names=["lang", "m", "phrase", "key", "n"])
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, texts in held.items():
-                text = Phrases(lang, texts, words)
-                known = pa.array(words.texts, pa.binary())
-                if words_too:
-                    n = np.bincount(text.ids, minlength=len(words.texts))
-                    before = singles.get(lang, np.zeros(0, np.int64))
-                    n[: len(before)] += before
-                    singles[lang] = n
-                for m, at, raw in phrases(text) if phrases else ():
-                    keys, where, n = np.unique(text.keys(raw, m), return_index=True, return_counts=True)
-                    if len(keys):
-                        parts = [known.take(pa.array(text.ids[at[where] + k])) for k in range(m)]
-                        yield rows(lang, m, pc.binary_join_element_wise(*parts, b" "), keys, n)
-            held.clear()
-
-        def words_seen() -> Iterator[pa.RecordBatch]:
-            for lang, n in singles.items():
-                n[END] = 0
-                used = np.flatnonzero(n)
-                text = Phrases(lang, [], words)
-                raw = np.array(words.hashes, np.uint64)[used]
-                yield rows(lang, 1, pa.array(words.texts, pa.binary()).take(pa.array(used)), text.keys(raw, 1), n[used])
-                yield rows(lang, 0, pa.array([b""]), np.zeros(1, np.uint64), n.sum(keepdims=True))
-            singles.clear()
-
-        for batch in slices(batches):
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
-                held.setdefault(lang, []).append(text)
-                size += len(text)
-                if size >= BLOCK_BYTES:
-                    yield from flush()
-                    size = 0
-                    if len(words) > MOST_WORDS:
-                        yield from words_seen()
-                        words = Words()
-        yield from flush()
-        yield from words_seen()
-
-    counted = docs.mapInArrow(count, COUNTS)
-    return counted.groupBy("lang", "m", "phrase").agg(F.first("key").alias("key"), F.sum("n").alias("n"))
+    counted = docs.mapInArrow(count, "lang string, m int, phrase string, n long")
+    return counted.groupBy("lang", "m", "phrase").agg(F.sum("n").alias("n"))
 
 
 def frequent_phrases(
@@ -204,12 +257,13 @@ def frequent_phrases(
     lowered: float = 0.4,
     most_bits: int = 1 << 28,
 ) -> DataFrame:
-    """lang, m, phrase, key, n of every phrase of up to `longest` words that occurs `support` times
+    """lang, m, phrase, n of every phrase of up to `longest` words that occurs `support` times
     or more; level 0 has the number of all words of each language.
 
     The sample takes one document in `one_in`, by hash; a phrase is proposed from `lowered` times
     the support that is to be expected there. Both change the passes' cost, never the result.
     """
+    share = docs.sparkSession.sparkContext.broadcast
     texts = docs.select(
         "doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_of().alias("text")
     )
@@ -217,26 +271,30 @@ def frequent_phrases(
     sample = staged(texts.filter(chosen).select("lang", "text"), "sample")
     texts = texts.select("lang", "text")
     least = max(2, int(lowered * support / one_in))
+    words = sample.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
+
+    def singles(text: Phrases) -> Iterator[np.ndarray]:
+        yield text.keys(text.single()[1], 1)
 
-    context = docs.sparkSession.sparkContext
-    proposed = staged(_count(sample, None).filter(f"m = 1 AND n >= {least}"), "proposed")
+    proposed = staged(_hash_counts(sample, singles, least, words), "proposed")
     for m in range(2, longest + 1):
-        known = context.broadcast(_bitmap(proposed, most_bits))
-        level = _count(sample, lambda text, known=known, m=m: _proposed(text, known.value, range(m, m + 1)), False)
-        level = staged(level.filter(f"n >= {least}"), "proposed")
+        known = share(_bitmap(proposed, most_bits))
+        one = range(m, m + 1)
+        level = _hash_counts(sample, lambda text: _proposed(text, known.value, one), least, words)
+        level = staged(level, "proposed")
         if level.isEmpty():
             break
         proposed = proposed.unionByName(level)
-    levels = range(2, longest + 1)
-    shared = context.broadcast(_bitmap(proposed, most_bits))
-    counted = _count(texts, lambda text: _proposed(text, shared.value, levels))
-    found = staged(counted.filter(f"m = 0 OR n >= {support}"), "frequent-phrases")
-    failures = found.filter("m > 0").join(proposed.select("lang", "m", "phrase"), ["lang", "m", "phrase"], "left_anti")
-    if not failures.isEmpty():
-        known = context.broadcast(_bitmap(found.filter("m > 0"), most_bits))
-        more = _count(texts, lambda text: _left_out(text, shared.value, known.value, levels), False)
-        found = found.unionByName(staged(more.filter(f"n >= {support}"), "expansion"))
-    return found
+    known, levels = share(_bitmap(proposed, most_bits)), range(2, longest + 1)
+
+    def bordered(text: Phrases) -> Iterator[np.ndarray]:
+        yield from singles(text)
+        yield from _proposed(text, known.value, levels)
+
+    counted = staged(_hash_counts(texts, bordered, support, words * one_in * longest), "counted")
+    often = share(_bitmap(counted, most_bits))
+    exact = _phrase_counts(texts, lambda text: _possible(text, known.value, often.value, longest))
+    return staged(exact.filter(f"m = 0 OR n >= {support}"), "frequent-phrases")
 
 
 def collocations(docs: DataFrame, support: int = 100, top: int = 2000, **options) -> DataFrame:
