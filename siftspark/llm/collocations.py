@@ -222,31 +222,49 @@ def _hash_counts(
     return sent.groupBy("bucket").applyInPandas(add, "key long, n long")
 
 
-def _phrase_counts(docs: DataFrame, phrases: Callable) -> DataFrame:
-    """lang, m, phrase, n: occurrences of what `phrases` yields, by the phrases themselves, and for
-    each language a row of level 0 with the number of all its words."""
+def _phrase_counts(docs: DataFrame, phrases: Callable, least: int, occurrences: int) -> DataFrame:
+    """lang, m, phrase, n: what `phrases` yields `least` times or more, told apart by the phrases
+    themselves, and for each language a row of level 0 with the number of all its words.
+
+    Lists of phrases with their counts travel in ranges of their hashes and are added up there.
+    """
+    split = max(0, (occurrences // BUCKET_KEYS).bit_length())
+    shift, ranges = np.uint64(KEY_BITS - split), np.arange((1 << split) + 1, dtype=np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
 
-        def rows(lang, m, texts, n) -> pa.RecordBatch:
-            columns = [pa.array([lang] * len(n), pa.string()), pa.array([m] * len(n), pa.int32())]
-            columns += [texts.cast(pa.string()), pa.array(n, pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "m", "phrase", "n"])
+        def rows(lang, m, texts, n, ends) -> pa.RecordBatch:
+            used = len(ends) - 1
+            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), x) for x in (texts, n)]
+            columns = [pa.array(np.arange(used)), pa.array([lang] * used, pa.string()), pa.array([m] * used, pa.int32())]
+            return pa.RecordBatch.from_arrays(columns + lists, names=["bucket", "lang", "m", "phrases", "counts"])
 
         for text in _texts(batches, words):
-            yield rows(text.lang, 0, pa.array([b""]), [int((text.ids != END).sum())])
+            n = int((text.ids != END).sum())
+            yield rows(text.lang, 0, pa.array([""]), pa.array([n]), [0, 1])
             known = pa.array(words.texts, pa.binary())
             for m, at, keys in phrases(text):
-                _, where, n = np.unique(keys, return_index=True, return_counts=True)
+                keys, where, n = np.unique(keys, return_index=True, return_counts=True)
                 if len(n):
                     parts = [known.take(pa.array(text.ids[at[where] + k])) for k in range(m)]
-                    yield rows(text.lang, m, pc.binary_join_element_wise(*parts, b" "), n)
+                    texts = pc.binary_join_element_wise(*parts, b" ").cast(pa.string())
+                    yield rows(text.lang, m, texts, pa.array(n, pa.int64()), np.searchsorted(keys >> shift, ranges))
             if len(words) > MOST_WORDS:
                 words.forget()
 
-    counted = docs.mapInArrow(count, "lang string, m int, phrase string, n long")
-    return counted.groupBy("lang", "m", "phrase").agg(F.sum("n").alias("n"))
+    def add(rows: pa.Table) -> pa.Table:
+        lists = rows.combine_chunks()
+        parent = pc.list_parent_indices(lists["phrases"])
+        flat = lists.select(["lang", "m"]).take(parent)
+        flat = flat.append_column("phrase", pc.list_flatten(lists["phrases"]))
+        flat = flat.append_column("n", pc.list_flatten(lists["counts"]))
+        added = flat.group_by(["lang", "m", "phrase"]).aggregate([("n", "sum")])
+        added = added.rename_columns(["lang", "m", "phrase", "n"])
+        return added.filter((pc.field("m") == 0) | (pc.field("n") >= least))
+
+    sent = docs.mapInArrow(count, "bucket long, lang string, m int, phrases array<string>, counts array<long>")
+    return sent.groupBy("bucket").applyInArrow(add, "lang string, m int, phrase string, n long")
 
 
 def frequent_phrases(
@@ -293,8 +311,12 @@ def frequent_phrases(
 
     counted = staged(_hash_counts(texts, bordered, support, words * one_in * longest), "counted")
     often = share(_bitmap(counted, most_bits))
-    exact = _phrase_counts(texts, lambda text: _possible(text, known.value, often.value, longest))
-    return staged(exact.filter(f"m = 0 OR n >= {support}"), "frequent-phrases")
+    occurrences = counted.agg(F.sum("n")).first()[0] or 0
+
+    def possible(text: Phrases) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        yield from _possible(text, known.value, often.value, longest)
+
+    return staged(_phrase_counts(texts, possible, support, occurrences), "frequent-phrases")
 
 
 def collocations(docs: DataFrame, support: int = 100, top: int = 2000, **options) -> DataFrame:
