@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,18 +11,21 @@ from siftspark.catalog.base import table
 from siftspark.llm.base import ORACLE, QUERIES, query
 from siftspark.llm.chat import digests, events_of_rows, fold_events, render
 from siftspark.llm.collocations import collocations
-from siftspark.llm.common import held_out
+from siftspark.llm.common import held_out, staged
 from siftspark.llm.decontaminate import find_passages
 from siftspark.llm.jaccard import similarity_components
 from siftspark.llm.mixture import mixture
 from siftspark.llm.quality_model import learn as learn_quality
 from siftspark.llm.quality_model import score_quality
 from siftspark.llm.quality_rules import judge_quality
+from siftspark.llm.repair import repair_conversations
 from siftspark.llm.secrets import BASE_KINDS, scan_secrets, span_list
 from siftspark.llm.suffix_dedup import remove_repeats
 from siftspark.llm.toxicity import learn as learn_toxicity
 from siftspark.llm.toxicity import score_toxicity
 from siftspark.llm.warc import archive
+from siftspark.llm.wavelet import read_shards, with_starts, write_shards
+from siftspark.session import work_path
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -253,6 +257,24 @@ def op11_toivonen_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op12_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in wavelet matrices, read back from the files."""
+    folder = work_path(spark, "wavelet-shards")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    written = write_shards(table(spark, sf_dir, "documents"), folder, tokenizer)
+    return read_shards(with_starts(staged(written, "shards")))
+
+
+@query()
+def op13_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations with their faults, cheapest edits and repaired digest."""
+    found = repair_conversations(table(spark, sf_dir, "conversations"))
+    return found.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the stages of the corpus pipeline."""
