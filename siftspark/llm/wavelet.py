@@ -17,6 +17,7 @@ files and no rows. Only `doc_id` and `text` are read, so other columns can't cla
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -25,6 +26,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,59 +40,141 @@ HEADER = 5 * 8
 BLOCK_BITS = 1 << 15
 BLOCK_BYTES = BLOCK_BITS // 8
 END_ID = 1
-MOST_WORDS = 1 << 19  # that a task keeps the ids of
+MOST_WORDS = 1 << 20  # that a worker keeps the ids of
+BLOCK_TEXT = 16 << 20  # bytes of text that are encoded at once
+
+
+# Letters that normal form C leaves as they are, and marks that never belong to the word before them.
+SIMPLE = "^(?P<letters>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[.,;:!?#*$%&]*)$"
+
+
+class Pool:
+    """Runs of ids by number."""
+
+    def __init__(self):
+        self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        self.ids = np.concatenate([self.ids, ids])
+        self.starts = np.concatenate([self.starts, starts])
+        self.sizes = np.concatenate([self.sizes, sizes])
+
+    def take(self, which: np.ndarray) -> np.ndarray:
+        """The runs' ids in a row."""
+        starts, sizes = self.starts[which], self.sizes[which]
+        ends = np.cumsum(sizes)
+        return self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
 
 
 class Encoder:
     """Ids of texts, each with the end mark.
 
     The tokenizer's normaliser and its cut into words never look across white space, so runs of other
-    characters are encoded alone, and each but once as long as it is remembered.
+    characters are encoded for themselves. A run of plain letters and marks behind them is at most two
+    words of the tokenizer, which come again in other runs; words are encoded many at a time, their ids
+    end where an id says so, and they are remembered. Other runs are left to the tokenizer as they are,
+    and whole texts are if it doesn't lower letters and cut words so.
     """
 
     def __init__(self, path: str, end: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer = Tokenizer.from_file(path)
-        self.end = end
+        self.tokenizer, self.end = Tokenizer.from_file(path), end
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.by_words = bool(suffix and normal and cut) and (
+            normal.normalize_str("Ab\u00c9\n c") == "ab\u00e9 c"
+            and [x for x, _ in cut.pre_tokenize_str("ab.,c 's")] == ["ab", ".,", "c", "'s"]
+        )
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.numbers = {None: 0}
-        self.ids = np.array([self.end], np.uint32)
-        self.starts, self.sizes = np.array([0]), np.array([1])
+        self.numbers, self.words = {"": 0}, Pool()
+        self.words.add(np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
-    def _learn(self, words: list[bytes]) -> None:
-        texts = [w.decode("utf-8") for w in words]
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in found], np.int64)
-        starts = len(self.ids) + np.cumsum(sizes) - sizes
-        self.numbers.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
-        self.ids = np.concatenate([self.ids, np.array([i for x in found for i in x], np.uint32)])
-        self.starts = np.concatenate([self.starts, starts])
-        self.sizes = np.concatenate([self.sizes, sizes])
+        return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+
+    def _in_rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """ASCII words go straight to the model, whose bytes they are; others through the whole tokenizer."""
+        plain = np.array([w.isascii() for w in words], bool)
+        tokenize = self.tokenizer.model.tokenize
+        found = [[t.id for t in tokenize(w)] for w in words if w.isascii()]
+        ids, sizes = [np.array([i for x in found for i in x], np.uint32)], np.zeros(len(words), np.int64)
+        sizes[plain] = [len(x) for x in found]
+        rest = [w for w in words if not w.isascii()]
+        if rest:
+            rows = [" ".join(rest[i : i + 1000]) for i in range(0, len(rest), 1000)]
+            more, _ = self._alone(rows)
+            last = np.flatnonzero(self.ends[more]) + 1
+            if len(last) == len(rest) and last[-1] == len(more):
+                ids.append(more)
+                sizes[~plain] = np.diff(last, prepend=0)
+            else:
+                more, sizes[~plain] = self._alone(rest)
+                ids.append(more)
+        both, order = Pool(), np.argsort(np.argsort(~plain, kind="stable"))
+        both.add(np.concatenate(ids), sizes[np.argsort(~plain, kind="stable")])
+        return both.take(order), sizes
+
+    def _numbers(self, texts: pa.Array, encode: Callable) -> np.ndarray:
+        """Numbers of words; `encode` gives the ids of those that are new."""
+        coded = texts.dictionary_encode()
+        words, numbers = coded.dictionary.to_pylist(), self.numbers
+        new = [w for w in words if w not in numbers]
+        if new:
+            numbers.update(zip(new, range(len(numbers), len(numbers) + len(new))))
+            self.words.add(*encode(new))
+        return np.array([numbers[w] for w in words], np.int64)[coded.indices.to_numpy()]
 
-    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and where each text's ids end."""
+    def _runs(self, runs: pa.Array) -> Pool:
+        """The ids of distinct runs, and behind them the end mark."""
         if len(self.numbers) > MOST_WORDS:
             self.forget()
-        words = [[*text.split(), None] for text in texts]
-        new = {w for row in words for w in row} - self.numbers.keys()
-        if new:
-            self._learn(sorted(new))
-        numbers = self.numbers
-        which = np.array([numbers[w] for row in words for w in row], np.int64)
-        sizes = self.sizes[which]
-        ends = np.cumsum(sizes)
-        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[which] - (ends - sizes), sizes)
-        last = np.cumsum([len(row) for row in words], dtype=np.int64) - 1
-        return self.ids[place], ends[last]
+        parts = pc.extract_regex(runs, SIMPLE)
+        simple = parts.is_valid()
+        parts, simple, odd = parts.filter(simple), simple.to_numpy(False), runs.filter(pc.invert(simple))
+        pairs = np.zeros((len(runs), 2), np.int64)
+        letters, marks = (pc.struct_field(parts, name) for name in ("letters", "marks"))
+        n = len(parts)
+        both = self._numbers(pa.concat_arrays([pc.utf8_lower(letters), marks]), self._in_rows)
+        pairs[simple, 0], pairs[simple, 1] = both[:n], both[n:]
+        pairs[~simple, 0] = self._numbers(odd, self._alone)
+        found = Pool()
+        found.add(self.words.take(pairs.ravel()), self.words.sizes[pairs].sum(axis=1))
+        found.add(np.array([self.end], np.uint32), np.ones(1, np.int64))
+        return found
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where each text's ids end."""
+        if not self.by_words:
+            ids, sizes = self._alone(texts.to_pylist())
+            last = np.cumsum(sizes)
+            return np.insert(ids, last, self.end), last + 1 + np.arange(len(last))
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        runs, end = self._runs(coded.dictionary), len(coded.dictionary)
+        last = np.cumsum(pc.list_value_length(lists).to_numpy())
+        which = np.insert(coded.indices.to_numpy(), last, end)
+        return runs.take(which), np.cumsum(runs.sizes[which])[last + np.arange(len(last))]
+
+
+@lru_cache(1)
+def encoder_of(path: str, end: int) -> Encoder:
+    """The encoder of a Python worker, which goes on from task to task with the words it remembers."""
+    return Encoder(path, end)
 
 
 def bit_planes(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     for bit in range(bits - 1, -1, -1):
-        plane = (ids >> bit & 1).astype(bool)
+        plane = (ids & ids.dtype.type(1 << bit)) != 0
         yield plane
-        ids = np.concatenate([ids[~plane], ids[plane]])
+        ids = np.concatenate([ids.take(np.flatnonzero(~plane)), ids.take(np.flatnonzero(plane))])
 
 
 def to_bytes(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray) -> Iterator[bytes]:
@@ -100,7 +185,7 @@ def to_bytes(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray) -> It
     block where it ends in the file. A block as long as it would be raw is raw.
     """
     n, bits = len(ids), max(1, int(ids.max(initial=0)).bit_length())
-    blocks = -(-n // BLOCK_BITS)
+    blocks, compress = -(-n // BLOCK_BITS), zstandard.ZstdCompressor(level=1).compress
     ones, data = np.zeros((bits, blocks + 1), "<u8"), []
     for p, plane in enumerate(bit_planes(ids.astype(np.uint16 if bits <= 16 else np.uint32), bits)):
         raw = np.packbits(plane, bitorder="little")
@@ -108,7 +193,7 @@ def to_bytes(ids: np.ndarray, doc_ids: list[int | None], ends: np.ndarray) -> It
         ones[p, 1:] = np.cumsum(np.bitwise_count(raw).sum(axis=1, dtype=np.uint64))
         for block in raw:
             block = block.tobytes()
-            packed = zlib.compress(block, 1)
+            packed = compress(block)
             data.append(packed if len(packed) < BLOCK_BYTES else block)
     valid = np.array([x is not None for x in doc_ids], np.uint8)
     numbers = np.array([x or 0 for x in doc_ids], "<i8")
@@ -146,7 +231,7 @@ class Matrix:
         return ids, np.frombuffer(data, "<u8", n, 9 * n).astype(np.int64)
 
     def _unpack(self, data: bytes) -> np.ndarray:
-        return np.frombuffer(data if len(data) == BLOCK_BYTES else zlib.decompress(data), np.uint8)
+        return np.frombuffer(data if len(data) == BLOCK_BYTES else zstandard.decompress(data), np.uint8)
 
     def _load(self, plane: int, block: int) -> np.ndarray:
         k = plane * self.blocks + block
@@ -226,12 +311,21 @@ class Matrix:
             raw = np.concatenate(raw) if raw else np.zeros(0, np.uint8)
             ones = np.unpackbits(raw, count=self.n, bitorder="little").astype(bool)
             zeros, ids = self._zeros(plane), np.empty(self.n, kind)
-            ids[~ones] = low[:zeros]
-            ids[ones] = low[zeros:] | kind(1 << (self.bits - 1 - plane))
+            ids[np.flatnonzero(~ones)] = low[:zeros]
+            ids[np.flatnonzero(ones)] = low[zeros:] | kind(1 << (self.bits - 1 - plane))
             low = ids
         return low
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with about BLOCK_TEXT bytes of text or a single row."""
+    for batch in slices(batches, 10_000):
+        block = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64) // BLOCK_TEXT
+        cuts = np.flatnonzero(np.diff(block, prepend=-1, append=np.iinfo(np.int64).max)) if len(block) else []
+        for at, end in zip(cuts, cuts[1:]):
+            yield batch.slice(at, end - at)
+
+
 def write_shards(
     docs: DataFrame, folder: str, tokenizer: str, shard_ids: int = 1 << 22, end: int = END_ID
 ) -> DataFrame:
@@ -241,7 +335,7 @@ def write_shards(
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, made = Encoder(tokenizer, end), TaskContext.get().partitionId(), []
+        encoder, part, made = encoder_of(tokenizer, end), TaskContext.get().partitionId(), []
         doc_ids, ids, ends, size = [], [], [], 0
 
         def close() -> None:
@@ -255,8 +349,8 @@ def write_shards(
                 {"path": f"{folder}/{name}", "part": part, "place": len(made), "docs": len(doc_ids), "ids": size}
             )
 
-        for batch in slices(batches, 500):
-            found, stops = encoder(batch["text"].cast(pa.binary()).to_pylist())
+        for batch in by_bytes(batches):
+            found, stops = encoder(batch["text"])
             doc_ids += batch["doc_id"].to_pylist()
             ids.append(found)
             ends.append(stops + size)
