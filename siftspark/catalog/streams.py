@@ -107,25 +107,48 @@ def stream_latest_in_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout.bronze("document"), SOURCED["document"].bronze_schema(), BUCKETS)
 
 
+# What each kind of event says in the second arrival, as JSON text and as the columns that take it.
+_DRIFTED = {
+    # A new column.
+    "view": """concat('{"event_id": ', event_id, ', "detail": {"user": ', user_id, '}, "ts": "', event_type, '"}')""",
+    # A new field two levels down, and one in an element of an array.
+    "error": """concat('{"event_id": ', event_id, ', "detail": {"user": ', user_id, ', "host": {"port": 1, "up": ',
+      event_id, '}}, "tags": [{"name": "a"}, {"name": "b", "rank": ', event_id, '}]}')""",
+    # A value that is no such number.
+    "signup": """concat('{"event_id": "E', event_id, '", "detail": {"user": ', user_id, '}}')""",
+    # A number with digits that its type doesn't hold, and a text where an object was.
+    "purchase": """concat('{"event_id": ', event_id, '.25, "detail": "', user_id, '"}')""",
+}
+_FIRST = """concat('{"event_id": ', event_id, ', "detail": {"user": ', user_id, ', "host": {"port": 1}}, "tags": [{"name": "',
+  event_type, '"}]}')"""
+
+
 @query(
-    """SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS user_id
-    FROM events"""
+    f"""WITH lines AS (SELECT event_id, user_id, event_type, CASE event_type
+      {" ".join(f"WHEN '{kind}' THEN {text}" for kind, text in _DRIFTED.items())} ELSE {_FIRST} END AS line FROM events)
+    SELECT CASE WHEN event_type NOT IN ('signup', 'purchase') THEN event_id END AS event_id,
+      CASE WHEN event_type <> 'purchase' THEN user_id END AS user_id,
+      CASE event_type WHEN 'error' THEN 2 WHEN 'click' THEN 1 END AS tags,
+      CASE WHEN event_type <> 'click' THEN line END AS rescued
+    FROM lines"""
 )
 def stream_inferred_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The schema is inferred from the first arrival; a column of the second is rescued."""
+    """The schema is inferred from the clicks; what the other events say beyond it is rescued."""
     landing, out, seen, kept = (work_path(spark, n) for n in ("landing", "stream", "seen", "schema"))
     events = table(spark, sf_dir, "events")
+    drifted = F.lit(None).cast("string")
+    for kind, text in _DRIFTED.items():
+        drifted = F.when(F.col("event_type") == kind, F.expr(text)).otherwise(drifted)
 
     def run() -> None:
         stream = stream_inferred(spark, landing, kept)
         sink = stream.writeStream.format("parquet").option("checkpointLocation", seen)
         sink.trigger(availableNow=True).start(out).awaitTermination()
 
-    events.filter("event_type = 'click'").select("event_id", "event_type").write.json(landing)
+    events.filter("event_type = 'click'").select(F.expr(_FIRST)).write.text(landing)
     run()
-    more = events.filter("event_type <> 'click'").select("event_id", "event_type", "user_id")
-    more.write.mode("append").json(landing)
+    events.filter("event_type <> 'click'").select(drifted).write.mode("append").text(landing)
     run()
     return spark.read.parquet(out).select(
-        "event_id", "event_type", F.get_json_object("_rescued", "$.user_id").cast("long").alias("user_id")
+        "event_id", F.col("detail.user").alias("user_id"), F.size("tags").alias("tags"), F.col("_rescued").alias("rescued")
     )

@@ -7,7 +7,7 @@ from siftspark.functions.text import (
     right_strip,
     strip_prefix,
 )
-from siftspark.functions.variant import attribute_arrays, has_nested_leaf, leaf_array, leaf_kind
+from siftspark.functions.variant import attribute_arrays, has_nested_leaf, leaf_array, leaf_kind, not_held
 
 __all__ = [
     "after_dot",
@@ -18,6 +18,7 @@ __all__ = [
     "has_nested_leaf",
     "leaf_array",
     "leaf_kind",
+    "not_held",
     "null_if_token",
     "right_strip",
     "strip_prefix",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _as_list(leaf: Column) -> Column:
@@ -54,3 +55,32 @@ def attribute_arrays(attributes: Column) -> Column:
             F.array(_as_text(leaf)),
         ),
     )
+
+
+def not_held(leaf: Column, value: Column, kind: T.DataType) -> Column:
+    """Whether a JSON variant says anything that `value`, what a parser made of it as `kind`, does not.
+
+    Objects are compared field by field, arrays element by element, to any depth: a field that the
+    type lacks, a value the parser gave up, and a number that lost digits. A JSON null says nothing.
+    """
+    if isinstance(kind, T.StructType):
+        fields = F.try_variant_get(leaf, "$", "map<string,variant>")
+        known = F.array(*[F.lit(f.name) for f in kind]).cast("array<string>")
+        lost = F.size(F.array_except(F.map_keys(fields), known)) > 0
+        for f in kind:
+            lost = lost | not_held(F.try_element_at(fields, F.lit(f.name)), value.getField(f.name), f.dataType)
+    elif isinstance(kind, T.ArrayType):
+        # One pass with the place of each element: the parsed one stands at the same place.
+        elements = F.try_variant_get(leaf, "$", "array<variant>")
+        flags = F.transform(elements, lambda x, i: not_held(x, F.get(value, i), kind.elementType))
+        lost = (F.size(elements) != F.size(value)) | F.exists(flags, lambda flag: flag)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        # Fractions are rounded as any decimal number is; whole numbers must come back as they were.
+        whole = F.try_variant_get(leaf, "$", "decimal(38,0)")
+        lost = (F.abs(whole) >= 2**24) & (value.cast("decimal(38,0)") != whole)
+    elif isinstance(kind, T.DecimalType):
+        lost = F.try_variant_get(leaf, "$", "decimal(38,18)") != value
+    else:
+        lost = F.lit(False)
+    said = leaf.isNotNull() & ~F.is_variant_null(leaf)
+    return said & (value.isNull() | F.coalesce(lost, F.lit(False)))

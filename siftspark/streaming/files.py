@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from siftspark.functions import has_nested_leaf
+from siftspark.functions import has_nested_leaf, not_held
 from siftspark.plans.bronze import replace_documents, set_aside_uneven
 from siftspark.plans.layout import Layout
 from siftspark.plans.quarantine import set_aside
@@ -63,20 +63,21 @@ def stream_inferred(
 ) -> DataFrame:
     """JSON lines of unknown shape as they arrive, in the kept schema, and `_rescued`.
 
-    A line with fields that the kept schema doesn't have, or one that is no JSON object, is in
-    `_rescued` as it stands in the file; NULL there means that the columns say all.
+    A line that says more than the columns hold is in `_rescued` as it stands in the file: one with a
+    field at any depth that the kept schema doesn't have, with a value that doesn't fit its type or
+    loses digits in it, and one that is no JSON object. NULL there means that the columns say all.
     """
     schema = kept_schema(spark, path, kept_at)
     text = T.StructType().add("value", "string")
     lines = stream_files(
         spark, path, text, "text", files_per_batch, recursiveFileLookup="true"
     )
-    keys = F.json_object_keys("value")
-    known = F.array(*[F.lit(f.name) for f in schema]).cast("array<string>")
-    unknown = keys.isNull() | (F.size(F.array_except(keys, known)) > 0)
-    return lines.select(
-        F.from_json("value", schema).alias("_row"), F.when(unknown, F.col("value")).alias("_rescued")
-    ).select("_row.*", "_rescued")
+    said, row = F.try_parse_json("value"), F.col("_row")
+    unread = F.try_variant_get(said, "$", "map<string,variant>").isNull()
+    parsed = lines.withColumn("_row", F.from_json("value", schema))
+    return parsed.select(
+        "_row.*", F.when(unread | not_held(said, row, schema), F.col("value")).alias("_rescued")
+    )
 
 
 def stream_raw(
@@ -106,15 +107,15 @@ def stream_raw(
         F.col(CORRUPT).alias("corrupt"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
         F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("part_of_file"),
     )
 
 
 def _latest(documents: DataFrame) -> DataFrame:
     """The last document of each experiment in a batch: by time, file and place in the file."""
-    arrival = ["landed_at", "file", "place"]
-    last = documents.groupBy(LINEAGE).agg(F.max(F.struct(*arrival)).alias("_last"))
-    chosen = last.select(LINEAGE, *[f"_last.{c}" for c in arrival])
-    return documents.join(chosen, [LINEAGE, *arrival], "left_semi")
+    arrival = F.struct("landed_at", "file", "part_of_file", "place")
+    last = documents.groupBy(LINEAGE).agg(F.max_by(F.struct("etag", "data"), arrival).alias("_last"))
+    return last.select(LINEAGE, "_last.*")
 
 
 def stream_to_bronze(
@@ -139,7 +140,7 @@ def stream_to_bronze(
         )
         document = F.coalesce("corrupt", F.to_json("data"))
         set_aside(batch.filter(problem.isNotNull()), layout, run, "files", problem, document)
-        # Places grow along a file; the scan is the same wherever they are computed.
+        # Numbers grow along each part of a file that one task reads; they only ever order.
         read = batch.withColumn("place", F.monotonically_increasing_id())
         read = read.filter(problem.isNull())
         write_category_documents(category_documents(_latest(read), registry), landing)
