@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -64,3 +65,44 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table, once nothing depends on it any more."""
     store, where = _folder(spark, path)
     store.delete(where, True)
+
+
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    store, where = _folder(spark, path)
+    if not store.exists(where):
+        return []
+    return sorted(status.getPath().getName() for status in store.listStatus(where))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as a whole."""
+    store, where = _folder(spark, path)
+    stream = store.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file appear as a whole, unless there is one; whether it was made.
+
+    It is written under another name and then renamed without overwriting. HDFS does this as one
+    step; on stores that can't, see to it that one driver publishes at a time.
+    """
+    jvm, (store, where) = spark._jvm, _folder(spark, path)
+    written = jvm.org.apache.hadoop.fs.Path(where.getParent(), f".{uuid.uuid4().hex}")
+    stream = store.create(written, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), store.getConf())
+    nothing = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(store.makeQualified(written), store.makeQualified(where), nothing)
+    except Py4JJavaError as error:
+        store.delete(written, False)
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True

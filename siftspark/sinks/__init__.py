@@ -10,14 +10,17 @@ from siftspark.sinks.tables import (
     truncate_reload,
 )
 from siftspark.sinks.buckets import (
+    TableChanged,
     bucket_column,
     merge_into,
     read_table,
     replace_experiments,
+    vacuum,
     write_table,
 )
 
 __all__ = [
+    "TableChanged",
     "append_by_name",
     "append_positional",
     "append_rows",
@@ -30,6 +33,7 @@ __all__ = [
     "replace_experiments",
     "truncate",
     "truncate_reload",
+    "vacuum",
     "write_category_documents",
     "write_raw",
     "write_table",

@@ -1,21 +1,23 @@
 """Parquet tables that can be updated by experiment.
 
-A table is partitioned by a hash bucket of its experiment. A merge or replacement reads
-and rewrites only the buckets the run touches. Their new content is first written beside
-the table and marked as complete, and a dynamic partition overwrite then swaps it in. If that
-breaks off, buckets may be missing, but the marked copy is still there: whoever reads or
-changes the table next swaps it in again before anything else, so no row is lost. The number of buckets is part of the
-partition column's name (`bucket_64`), so a table cannot be opened with another number.
-
-Within the write, REBALANCE splits a bucket that a hot experiment has made large over as
+A table is divided by a hash bucket of its experiment. A merge or replacement reads the buckets
+that the run touches and writes them once, into a new folder. Files are never changed: a small file
+per version names the folder that holds each bucket, and a change takes effect when the file of the
+next version appears, as a whole and only if no other writer was first. So a reader sees one version
+from end to end and changes nothing, whatever writers do meanwhile, and a writer that dies leaves the
+table as it was. Folders that only versions before the last two name are removed.
+
+The number of buckets is part of their name (`bucket_64`), so a table cannot be opened with another
+number. Within the write, REBALANCE splits a bucket that a hot experiment has made large over as
 many tasks and files as its size asks for.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,47 +25,47 @@ from pyspark.sql import types as T
 from siftspark.functions import bucket
 from siftspark.operators.merge import merge_upsert, replace_by_key
 from siftspark.registry import LINEAGE
-from siftspark.session import discard, exists
+from siftspark.session import discard, entries, publish, read_text
 
 BUCKETS = 64
+VERSIONS = "_versions"
+KEPT = 2  # versions whose folders stay, for readers that began before a change
+
+
+class TableChanged(RuntimeError):
+    """Another writer was first; what this one read is out of date."""
 
 
 def bucket_column(n: int = BUCKETS) -> str:
     return f"bucket_{n}"
 
 
-def _beside(path: str) -> str:
-    return path.rstrip("/") + ".swap"
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    return [int(name) for name in entries(spark, f"{path}/{VERSIONS}") if name.isdigit()]
 
 
-def _swap_in(spark: SparkSession, path: str, name: str) -> None:
-    """Overwrite the buckets of a complete copy beside the table; the copy goes last."""
-    beside = _beside(path)
-    _overwrite(spark.read.parquet(beside), path, name)
-    discard(spark, beside)
+def _folders(spark: SparkSession, path: str, number: int, n: int = BUCKETS) -> dict[int, str]:
+    """The folder of each bucket in a version; version 0 has none."""
+    if not number:
+        return {}
+    version = json.loads(read_text(spark, f"{path}/{VERSIONS}/{number:08d}"))
+    if version["buckets"] != bucket_column(n):
+        raise ValueError(f"{path} is not divided by {bucket_column(n)} but by {version['buckets']}")
+    return {int(b): folder for b, folder in version["folders"].items()}
 
 
-def recover(spark: SparkSession, path: str, n: int = BUCKETS) -> bool:
-    """Finish a swap that broke off, if there is one; an unfinished copy is no use and goes."""
-    if exists(spark, f"{_beside(path)}/_SUCCESS"):
-        _swap_in(spark, path, bucket_column(n))
-        return True
-    return False
+def _current(spark: SparkSession, path: str, n: int) -> tuple[int, dict[int, str]]:
+    number = max(_numbers(spark, path), default=0)
+    return number, _folders(spark, path, number, n)
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType, n: int) -> DataFrame | None:
-    name = bucket_column(n)
-    recover(spark, path, n)
-    try:
-        found = spark.read.parquet(path).columns
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    if name not in found:
-        raise ValueError(f"{path} is not partitioned by {name}; its columns are {found}")
-    with_bucket = T.StructType(list(schema.fields)).add(name, T.IntegerType())
-    return spark.read.schema(with_bucket).parquet(path)
+def _rows(
+    spark: SparkSession, path: str, schema: T.StructType, folders: dict[int, str], of: Iterable[int], n: int
+) -> DataFrame:
+    held = [f"{path}/{folders[b]}/{bucket_column(n)}={b}" for b in sorted(of) if b in folders]
+    if not held:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*held)
 
 
 def read_table(
@@ -73,39 +75,55 @@ def read_table(
     n: int = BUCKETS,
     of: DataFrame | None = None,
 ) -> DataFrame:
-    """The table's rows without the bucket; none if it has not been written yet.
+    """The table's rows as of now; none if it has not been written yet.
 
     With `of`, a list of experiments, only the buckets they fall into are scanned.
     """
-    stored = _stored(spark, path, schema, n)
-    if stored is None:
-        return spark.createDataFrame([], schema)
-    if of is not None:
-        stored = stored.filter(F.col(bucket_column(n)).isin(sorted(_buckets_of(of, n))))
-    return stored.select(*schema.fieldNames())
-
-
-def _overwrite(df: DataFrame, path: str, name: str) -> None:
-    (
-        df.hint("rebalance", name)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(name)
-        .parquet(path)
-    )
-
-
-def _write(df: DataFrame, path: str, name: str) -> None:
-    """Bring in the rows' buckets by way of a complete copy beside the table."""
-    beside = _beside(path)
-    df.hint("rebalance", name).write.mode("overwrite").partitionBy(name).parquet(beside)
-    _swap_in(df.sparkSession, path, name)
+    path = path.rstrip("/")
+    _, folders = _current(spark, path, n)
+    wanted = folders if of is None or not folders else _buckets_of(of, n)
+    return _rows(spark, path, schema, folders, wanted, n)
+
+
+def _write(df: DataFrame, path: str, number: int, folders: dict[int, str], touched: set[int], n: int) -> None:
+    """Write the rows into a new folder, and make them the touched buckets of the next version."""
+    spark, name, folder = df.sparkSession, bucket_column(n), f"rows-{uuid.uuid4().hex}"
+    with_bucket = df.withColumn(name, bucket(F.col(LINEAGE), n))
+    with_bucket.hint("rebalance", name).write.partitionBy(name).parquet(f"{path}/{folder}")
+    made = {int(x.removeprefix(f"{name}=")): folder for x in entries(spark, f"{path}/{folder}") if x.startswith(name)}
+    after = {b: f for b, f in folders.items() if b not in touched} | made
+    version = json.dumps({"buckets": name, "folders": after})
+    if not publish(spark, f"{path}/{VERSIONS}/{number + 1:08d}", version):
+        discard(spark, f"{path}/{folder}")
+        raise TableChanged(f"{path} has a version {number + 1} already; read it and change it again")
+    _forget(spark, path, n)
+
+
+def _forget(spark: SparkSession, path: str, n: int) -> None:
+    """Remove the versions before those that are kept, and the folders that only they name."""
+    numbers = sorted(_numbers(spark, path))
+    old, kept = numbers[:-KEPT], numbers[-KEPT:]
+    used = {f for number in kept for f in _folders(spark, path, number, n).values()}
+    for number in old:
+        for folder in set(_folders(spark, path, number, n).values()) - used:
+            discard(spark, f"{path}/{folder}")
+        discard(spark, f"{path}/{VERSIONS}/{number:08d}")
+
+
+def vacuum(spark: SparkSession, path: str, n: int = BUCKETS) -> None:
+    """Remove folders that no version names, which writers left that died; no writer may be at work."""
+    path = path.rstrip("/")
+    used = {f for number in _numbers(spark, path) for f in _folders(spark, path, number, n).values()}
+    for folder in entries(spark, path):
+        if folder.startswith("rows-") and folder not in used:
+            discard(spark, f"{path}/{folder}")
 
 
 def write_table(df: DataFrame, path: str, n: int = BUCKETS) -> None:
     """First load: the rows become the content of their buckets."""
-    name = bucket_column(n)
-    _overwrite(df.withColumn(name, bucket(F.col(LINEAGE), n)), path, name)
+    path = path.rstrip("/")
+    number, folders = _current(df.sparkSession, path, n)
+    _write(df, path, number, folders, set(), n)
 
 
 def _buckets_of(df: DataFrame, n: int) -> set[int]:
@@ -124,14 +142,10 @@ def _rewrite(
     """Replace the touched buckets by what `combine` makes of them."""
     if not touched:
         return
-    name = bucket_column(n)
-    stored = _stored(spark, path, schema, n)
-    if stored is None:
-        current = spark.createDataFrame([], schema)
-    else:
-        current = stored.filter(F.col(name).isin(sorted(touched))).select(*schema.fieldNames())
-    after = combine(current).select(*schema.fieldNames())
-    _write(after.withColumn(name, bucket(F.col(LINEAGE), n)), path, name)
+    path = path.rstrip("/")
+    number, folders = _current(spark, path, n)
+    after = combine(_rows(spark, path, schema, folders, touched, n))
+    _write(after.select(*schema.fieldNames()), path, number, folders, touched, n)
 
 
 def merge_into(
@@ -168,21 +182,9 @@ def replace_experiments(
     `filled` may name the experiments that the source has rows of, where that is known
     without computing the rows.
     """
-    with_rows = _buckets_of(source if filled is None else filled, n)
-    touched = with_rows if listed is None else with_rows | _buckets_of(listed, n)
-    emptied = touched - with_rows
-    if emptied:
-        # A dynamic overwrite leaves a partition it has no rows for as it was, so buckets
-        # that lose their last row are emptied one by one.
-        name = bucket_column(n)
-        stored = _stored(spark, path, schema, n)
-        if stored is not None:
-            rest = stored.filter(F.col(name).isin(sorted(emptied))).select(LINEAGE)
-            emptied -= _buckets_of(rest.join(listed, LINEAGE, "left_anti"), n)
-            for b in sorted(emptied):
-                nothing = spark.createDataFrame([], schema)
-                nothing.write.mode("overwrite").parquet(f"{path}/{name}={b}")
-        touched -= emptied
+    touched = _buckets_of(source if filled is None else filled, n)
+    if listed is not None:
+        touched |= _buckets_of(listed, n)
 
     def combine(current: DataFrame) -> DataFrame:
         return replace_by_key(current, source, LINEAGE, listed)

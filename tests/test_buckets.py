@@ -1,4 +1,4 @@
-"""Stored tables: swaps that broke off, and scans of the touched buckets only."""
+"""Stored tables: writers that die or meet, readers in between, scans of the touched buckets only."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,27 +19,84 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_a_swap_that_broke_off_is_finished(spark, tmp_path, monkeypatch):
-    path, schema = str(tmp_path / "t"), SPEC.bronze_schema()
-    names = [f"{i:04d}" for i in range(40)]
-    sink.write_table(frame(spark, names, "EPR"), path, 4)
-    source = frame(spark, names[:1], "SOLUTION NMR")
-    expected = [(names[0], names[0], "SOLUTION NMR"), *[(n, n, "EPR") for n in names[1:]]]
-
-    # The copy is complete, the touched bucket is already gone, and the driver dies.
-    def die(spark, path, name):
-        touched = spark.read.parquet(path + ".swap").select(name).first()[0]
-        sink.discard(spark, f"{path}/{name}={touched}")
+def filled(spark, tmp_path, n=4):
+    path, names = str(tmp_path / "t"), [f"{i:04d}" for i in range(40)]
+    sink.write_table(frame(spark, names, "EPR"), path, n)
+    return path, names, [(x, x, "EPR") for x in names]
+
+
+def merge(spark, path, names, method, n=4):
+    schema = SPEC.bronze_schema()
+    merge_into(spark, path, schema, frame(spark, names, method), ["experiment", "entry_id"], n=n)
+
+
+def test_a_writer_that_dies_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    path, names, before = filled(spark, tmp_path)
+    schema = SPEC.bronze_schema()
+
+    def die(*_):
         raise RuntimeError("gone")
 
     with monkeypatch.context() as patched:
-        patched.setattr(sink, "_swap_in", die)
+        patched.setattr(sink, "publish", die)  # the rows are written, and the driver dies
         with pytest.raises(RuntimeError):
-            merge_into(spark, path, schema, source, ["experiment", "entry_id"], n=4)
+            merge(spark, path, names[:1], "SOLUTION NMR")
+    assert rows(read_table(spark, path, schema, 4)) == before
+    assert len(list((tmp_path / "t").glob("rows-*"))) == 2
+    merge(spark, path, names[:1], "SOLUTION NMR")
+    expected = [(names[0], names[0], "SOLUTION NMR"), *before[1:]]
+    sink.vacuum(spark, path, 4)
     assert rows(read_table(spark, path, schema, 4)) == expected
-    merge_into(spark, path, schema, source, ["experiment", "entry_id"], n=4)
+    assert len(list((tmp_path / "t").glob("rows-*"))) == 2  # of two versions; the dead writer's is gone
+
+
+def test_a_reader_in_the_middle_of_a_change(spark, tmp_path, monkeypatch):
+    path, names, before = filled(spark, tmp_path)
+    schema, publish, seen = SPEC.bronze_schema(), sink.publish, []
+    early = read_table(spark, path, schema, 4)
+
+    def read_first(*given):
+        files = sorted(str(x) for x in (tmp_path / "t").rglob("*"))
+        seen.append(rows(read_table(spark, path, schema, 4)))
+        assert files == sorted(str(x) for x in (tmp_path / "t").rglob("*"))  # readers write nothing
+        return publish(*given)
+
+    monkeypatch.setattr(sink, "publish", read_first)
+    merge(spark, path, names, "SOLUTION NMR")
+    assert seen == [before]
+    # Opened before the change, read after it: still one version from end to end.
+    assert rows(early) == before
+    assert rows(read_table(spark, path, schema, 4)) == [(x, x, "SOLUTION NMR") for x in names]
+
+
+def test_of_two_writers_the_second_must_read_again(spark, tmp_path, monkeypatch):
+    path, names, before = filled(spark, tmp_path)
+    schema, publish = SPEC.bronze_schema(), sink.publish
+
+    def after_another(*given):
+        monkeypatch.setattr(sink, "publish", publish)
+        merge(spark, path, names[1:2], "SOLUTION NMR")
+        return publish(*given)
+
+    monkeypatch.setattr(sink, "publish", after_another)
+    with pytest.raises(sink.TableChanged):
+        merge(spark, path, names[:1], "SOLUTION NMR")
+    expected = [before[0], (names[1], names[1], "SOLUTION NMR"), *before[2:]]
     assert rows(read_table(spark, path, schema, 4)) == expected
-    assert not (tmp_path / "t.swap").exists()
+    merge(spark, path, names[:1], "SOLUTION NMR")
+    assert rows(read_table(spark, path, schema, 4))[0] == (names[0], names[0], "SOLUTION NMR")
+
+
+def test_each_change_writes_its_buckets_once(spark, tmp_path):
+    path, names, _ = filled(spark, tmp_path, 16)
+    for turn in range(4):
+        merge(spark, path, names[:1], f"T{turn}", 16)
+        newest = max((tmp_path / "t").glob("rows-*"), key=lambda x: x.stat().st_mtime_ns)
+        assert [x.name.split("=")[0] for x in newest.glob("*=*")] == ["bucket_16"]
+    assert len(list((tmp_path / "t" / "_versions").glob("0*"))) == 2
+    # The first load holds 15 buckets still; of the others, those of the last two versions are there.
+    assert len(list((tmp_path / "t").glob("rows-*"))) == 3
+    assert rows(read_table(spark, path, SPEC.bronze_schema(), 16))[0][2] == "T3"
 
 
 def test_a_small_scope_scans_its_buckets(spark, tmp_path):
@@ -47,8 +104,8 @@ def test_a_small_scope_scans_its_buckets(spark, tmp_path):
     sink.write_table(frame(spark, [f"{i:04d}" for i in range(64)], "EPR"), path, 16)
     scope = spark.createDataFrame([("0001",)], "experiment string")
     found = read_table(spark, path, schema, 16, of=scope)
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "bucket_16" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len({x.split("bucket_16=")[1].split("/")[0] for x in found.inputFiles()}) == 1
+    assert len({x.split("bucket_16=")[1].split("/")[0] for x in read_table(spark, path, schema, 16).inputFiles()}) == 16
     assert ("0001", "0001", "EPR") in rows(found)
 
 

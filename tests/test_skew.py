@@ -65,7 +65,7 @@ def test_merge_splits_the_key_without_id(shuffled, hot):
 def test_hot_bucket_is_written_by_many_tasks(shuffled, hot, tmp_path):
     path = str(tmp_path / "table")
     write_table(hot, path, 4)
-    stored = shuffled.read.parquet(path)
+    stored = read_table(shuffled, path, hot.schema, 4)
     files = stored.filter("experiment = 'HOT'").select(F.input_file_name()).distinct().count()
     assert files > 3
     assert read_table(shuffled, path, hot.schema, 4).count() == 200_000
