@@ -24,7 +24,10 @@ from siftspark.sources import (
     inline_rows,
     json_path,
     page_links,
+    even_chunks,
     parse_mmcif,
+    parse_mmcif_chunks,
+    register_mmcif,
     pending_inputs,
     raw_versions,
     read_category,
@@ -128,6 +131,50 @@ def mmcif_loop_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrays_to_rows(lines, DOCUMENTS["line"].attributes, ["experiment"])
 
 
+_LINES = """SELECT CAST(doc_id AS VARCHAR) AS experiment, CAST(i - 1 AS VARCHAR) AS no,
+      CAST(length(string_split(text, chr(10))[i]) AS VARCHAR) AS n_chars
+    FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+          FROM documents)"""
+
+
+def _line_rows(chunks: DataFrame) -> DataFrame:
+    lines = even_chunks(chunks.filter(F.col("category") == "line"))
+    return arrays_to_rows(lines, DOCUMENTS["line"].attributes, ["experiment"])
+
+
+@query(_LINES)
+def mmcif_chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loop of every text in chunks of 1000 rows, however long it is."""
+    texts = document_texts(spark, sf_dir).select("experiment", "text")
+    return _line_rows(parse_mmcif_chunks(texts, rows=1000, categories=["line"]))
+
+
+def _mmcif_files(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
+    """Every document as an mmCIF file of its own, and the files as a data source."""
+    path = work_path(spark, "mmcif-files")
+    texts = document_texts(spark, sf_dir).select("experiment", "text")
+    texts.write.partitionBy("experiment").options(**options).text(path)
+    register_mmcif(spark)
+    return spark.read.format("mmcif").options(pattern="part-*", namedBy="block", rows="1000").load(path)
+
+
+@query(_LINES)
+def mmcif_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _line_rows(_mmcif_files(spark, sf_dir))
+
+
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS experiment, lang, source, '?' AS missing,
+      replace(text, chr(10) || ';', chr(10) || ' ;') AS text
+    FROM documents"""
+)
+def mmcif_gzip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The single values of gzipped files; a text field runs over many lines."""
+    files = _mmcif_files(spark, sf_dir, compression="gzip")
+    documents = files.filter(F.col("category") == "document")
+    return arrays_to_rows(documents, ["lang", "source", "missing", "text"], ["experiment"])
+
+
 @query("SELECT CAST(doc_id AS VARCHAR) AS experiment, md5(text) AS etag, text FROM documents")
 def text_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "texts")

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -106,3 +107,14 @@ def publish(spark: SparkSession, path: str, text: str) -> bool:
             return False
         raise
     return True
+
+
+def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system that Python tasks reach a folder or file with, and the path in it.
+
+    Hadoop's names of object stores stand for the stores' own.
+    """
+    for hadoop in ("s3a://", "s3n://"):
+        if uri.startswith(hadoop):
+            uri = "s3://" + uri.removeprefix(hadoop)
+    return fs.FileSystem.from_uri(uri)

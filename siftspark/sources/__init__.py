@@ -10,16 +10,19 @@ from siftspark.sources.documents import (
     unread_raw_json,
     raw_versions,
 )
-from siftspark.sources.mmcif import parse_mmcif, read_mmcif
+from siftspark.sources.mmcif import even_chunks, parse_mmcif, parse_mmcif_chunks, read_mmcif
+from siftspark.sources.mmcif_files import register_mmcif
 from siftspark.sources.text import read_id_list
 
 __all__ = [
     "category_documents",
     "dictionary_links",
+    "even_chunks",
     "inline_rows",
     "json_path",
     "page_links",
     "parse_mmcif",
+    "parse_mmcif_chunks",
     "pending_inputs",
     "raw_eav",
     "raw_schema",
@@ -28,5 +31,6 @@ __all__ = [
     "read_id_list",
     "read_mmcif",
     "read_raw_json",
+    "register_mmcif",
     "unread_raw_json",
 ]

@@ -8,17 +8,22 @@ batches are limited in bytes by Spark, so many large files never meet in one bat
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siftspark.operators.keys import distinct_keys
+from siftspark.operators.reshape import ragged
+
 # Workers get this module's functions with the task, so they need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -141,6 +146,109 @@ def parse_text(
     return name, block
 
 
+def _pieces(lines: Iterable[str], size: int) -> Iterator[str]:
+    """Lines joined to pieces of about `size` characters, none of which ends inside a text field.
+
+    No other token goes on over a line's end, so the tokens of the pieces are those of the text.
+    """
+    held, length, inside = [], 0, False
+    for line in lines:
+        inside ^= line.startswith(";")
+        held.append(line)
+        length += len(line)
+        if length >= size and not inside:
+            yield "".join(held)
+            held, length = [], 0
+    if held:
+        yield "".join(held)
+
+
+Chunk = tuple[str | None, str, int, dict[str, list[str]]]
+
+
+def parse_lines(
+    lines: Iterable[str],
+    rows: int = 10_000,
+    categories: frozenset[str] | None = None,
+    size: int = 1 << 20,
+) -> Iterator[Chunk]:
+    """First data block of lines as (block, category, number of its first row, attributes) in chunks.
+
+    A loop comes in chunks of at most `rows` rows, so neither a text nor a table need fit in memory:
+    what is held is a piece of `size` characters, one chunk, and the single values of the block,
+    which come last, a row per category. Only the last chunk of a loop can be uneven.
+    """
+    name: str | None = None
+    single: dict[str, dict[str, list[str]]] = {}
+    loop: list[str] | None = None
+    values: list[str] = []
+    begun, first = False, 0  # has the open loop values, and how many of its rows are out
+    item: str | None = None
+
+    def wanted(full: str) -> bool:
+        return categories is None or full.partition(".")[0].removeprefix("_") in categories
+
+    def put_out(cells: list[str]) -> Iterator[Chunk]:
+        found: dict[str, dict[str, list[str]]] = {}
+        for i, full in enumerate(loop):
+            if wanted(full):
+                category, _, attribute = full.partition(".")
+                found.setdefault(category, {})[attribute] = cells[i :: len(loop)]
+        for category, attributes in found.items():
+            yield name, category, first, attributes
+
+    def full_chunks() -> Iterator[Chunk]:
+        nonlocal values, first
+        cells, at = rows * len(loop), 0
+        while len(values) - at >= cells:
+            yield from put_out(values[at : at + cells])
+            at, first = at + cells, first + rows
+        values = values[at:]
+
+    def close() -> Iterator[Chunk]:
+        nonlocal loop, values, begun, first
+        if loop and (values or not first):
+            yield from put_out(values)
+        loop, values, begun, first = None, [], False, 0
+
+    def tokens() -> Iterator[tuple[bool, list[str]]]:
+        for piece in _pieces(lines, size):
+            yield from _tokens(piece)
+
+    for special, words in tokens():
+        if not special:
+            if loop:
+                begun = True
+                if any(map(wanted, loop)):
+                    values.extend(words)
+                    yield from full_chunks()
+            elif item is not None:
+                if wanted(item):
+                    category, _, attribute = item.partition(".")
+                    single.setdefault(category, {})[attribute] = [words[0]]
+                item = None
+            continue
+        word = words[0]
+        lower = word.lower()
+        if word[0] == "_":
+            if loop is None or begun:
+                yield from close()
+                item = word
+            else:
+                loop.append(word)
+        elif lower == "loop_":
+            yield from close()
+            loop, item = [], None
+        elif lower.startswith("data_"):
+            yield from close()
+            if name is not None:
+                break
+            name, item = word[5:], None
+    yield from close()
+    for category, attributes in single.items():
+        yield name, category, 0, attributes
+
+
 def text_problem(text: Column) -> Column:
     """Why a text can't be taken, NULL if it can: it is empty, or it ends inside a text field.
 
@@ -179,6 +287,59 @@ def parse_mmcif(
     return parsed if as_json else parsed.withColumn("data", F.from_json("data", DATA_TYPE))
 
 
+CHUNK_COLUMNS = "block string, category string, first_row long, attributes map<string,array<string>>"
+
+
+def parse_mmcif_chunks(
+    texts: DataFrame,
+    text: str = "text",
+    rows: int = 10_000,
+    categories: Iterable[str] | None = None,
+) -> DataFrame:
+    """Rows that carry a text, once for each chunk of up to `rows` rows of each of its categories.
+
+    `category` has no leading underscore. The other columns are kept, the text is not.
+    """
+    wanted = None if categories is None else frozenset(categories)
+    kept = [f.name for f in texts.schema.fields if f.name != text]
+    schema = T.StructType([texts.schema[name] for name in kept] + T.StructType.fromDDL(CHUNK_COLUMNS).fields)
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            others, cells = batch.select(kept), batch[text]
+            for i in range(batch.num_rows):
+                for chunk in parse_lines(io.StringIO(cells[i].as_py() or "", newline="\n"), rows, wanted):
+                    columns = [c.slice(i, 1) for c in others.columns] + chunk_columns([chunk])
+                    yield pa.RecordBatch.from_arrays(columns, names=kept + CHUNK_NAMES)
+
+    return texts.mapInArrow(parse, schema)
+
+
+CHUNK_NAMES = ["block", "category", "first_row", "attributes"]
+
+
+def chunk_columns(chunks: list[Chunk]) -> list[pa.Array]:
+    """The chunks as Arrow columns."""
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.map_(pa.string(), pa.list_(pa.string()))]
+    cells = [
+        [c[0] for c in chunks],
+        [c[1].removeprefix("_") for c in chunks],
+        [c[2] for c in chunks],
+        [list(c[3].items()) for c in chunks],
+    ]
+    return [pa.array(x, kind) for x, kind in zip(cells, kinds)]
+
+
+def even_chunks(chunks: DataFrame, keys: Iterable[str] = ("experiment",)) -> DataFrame:
+    """The chunks of tables none of whose chunks is uneven; a loop cut off shows in its last one.
+
+    Only the keys of uneven tables are shuffled or sent to the tasks.
+    """
+    keys = [*keys, "category"]
+    uneven = distinct_keys(chunks.filter(ragged(F.col("attributes"))).select(*keys))
+    return chunks.join(uneven, keys, "left_anti")
+
+
 def read_mmcif(
     spark: SparkSession,
     path: str,
@@ -192,4 +353,14 @@ def read_mmcif(
     return parse_mmcif(texts, categories=categories)
 
 
-__all__ = ["DATA_TYPE", "parse_mmcif", "parse_text", "read_mmcif", "text_problem"]
+__all__ = [
+    "DATA_TYPE",
+    "chunk_columns",
+    "even_chunks",
+    "parse_lines",
+    "parse_mmcif",
+    "parse_mmcif_chunks",
+    "parse_text",
+    "read_mmcif",
+    "text_problem",
+]

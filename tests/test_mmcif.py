@@ -1,8 +1,13 @@
 import gzip
+import io
 import json
+import tracemalloc
 
-from siftspark.sources import category_documents, read_mmcif
-from siftspark.sources.mmcif import parse_text
+from pyspark.sql.datasource import EqualTo, In
+
+from siftspark.sources import category_documents, even_chunks, parse_mmcif_chunks, read_mmcif, register_mmcif
+from siftspark.sources.mmcif import parse_lines, parse_text
+from siftspark.sources.mmcif_files import MmcifReader, pack
 from siftspark.registry import default_registry
 
 TEXT = """data_100D
@@ -85,3 +90,93 @@ def test_read_plain_and_gzip(spark, tmp_path):
     found = {(r["experiment"], r["category"]): r["attributes"] for r in docs}
     assert set(found) == {("100D", "entity"), ("100D", "exptl"), ("4HHB", "exptl")}
     assert found["4HHB", "exptl"] == {"entry_id": ["4HHB"], "method": ["SOLUTION NMR"]}
+
+
+def whole(chunks):
+    """What `parse_text` gives, put together from chunks."""
+    block, found = None, {}
+    for block, category, first, attributes in chunks:
+        for name, values in attributes.items():
+            held = found.setdefault(category, {}).setdefault(name, [])
+            assert first == 0 or len(held) >= first
+            held.extend(values)
+    return block, found
+
+
+def test_chunks_say_what_the_whole_text_says():
+    odd = "DATA_A\r\nLoop_\n_c.a\n_c.b\n5' a_b loop_x 'un_closed\n#; no field\n;\n; x;y\n; in\n;field_\n;\n;\n_d.e 1 loop_ _f.g\n"
+    many = "data_M\nloop_\n_a.x\n_a.y\n" + "".join(f"{i} 'v {i}'\n;t\n_n.o\n;\n{i}\n" for i in range(50)) + "_z.z 1\n"
+    for text in (TEXT, odd, many, "", "data_A\n_c.a\n;open block", "data_A\nloop_\n_c.a\n_c.b\n1 2 3\n"):
+        name, block = parse_text(text)
+        expected = {c: {a: v if isinstance(v, list) else [v] for a, v in x.items()} for c, x in block.items()}
+        for size in (1, 7, 100, 1 << 20):
+            for rows in (1, 3, 1000):
+                found = whole(parse_lines(io.StringIO(text, newline="\n"), rows, None, size))
+                assert found == (name if expected else found[0], expected)
+    some = list(parse_lines(io.StringIO(many), 20, frozenset({"a"})))
+    assert [(c, first, len(a["x"])) for _, c, first, a in some] == [("_a", 0, 20), ("_a", 20, 20), ("_a", 40, 20), ("_a", 60, 20), ("_a", 80, 20)]
+
+
+def test_memory_stays_at_a_chunk():
+    def lines():
+        yield from ("data_BIG\n", "loop_\n", "_atom.id\n", "_atom.x\n")
+        for i in range(300_000):
+            yield f"{i} {i}.5\n"
+
+    rows = 0
+    tracemalloc.start()
+    for _, _, first, attributes in parse_lines(lines(), 1000, None, 1 << 16):
+        assert first == rows and len(attributes["id"]) <= 1000
+        rows += len(attributes["id"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 300_000 and peak < 8 << 20
+
+
+def test_uneven_tables_are_left_out_as_a_whole(spark):
+    loop = "loop_\n_entity.id\n_entity.type\n" + "1 a\n" * 7
+    texts = spark.createDataFrame(
+        [("A", f"data_A\n{loop}"), ("B", f"data_B\n{loop} 9\n_exptl.method x\n"), ("C", None)], "experiment string, text string"
+    )
+    chunks = parse_mmcif_chunks(texts, rows=2)
+    sizes = [(r["experiment"], r["first_row"], len(r["attributes"]["id"])) for r in chunks.filter("category = 'entity'").collect()]
+    assert sorted(sizes) == [(e, at, 2 if at < 6 or e == "B" else 1) for e in "AB" for at in (0, 2, 4, 6)]
+    kept = even_chunks(chunks).collect()
+    assert {(r["experiment"], r["category"]) for r in kept} == {("A", "entity"), ("B", "exptl")}
+
+
+def test_files_as_a_data_source(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "100d.cif").write_text(TEXT)
+    with gzip.open(tmp_path / "sub" / "4hhb.cif.gz", "wt") as f:
+        f.write("data_4HHB\n_exptl.entry_id 4HHB\n_exptl.method 'SOLUTION NMR'\n")
+    (tmp_path / "_hidden.cif").write_text("data_NO\n_a.b 1\n")
+    (tmp_path / "notes.txt").write_text("data_NO\n_a.b 1\n")
+    register_mmcif(spark)
+    files = spark.read.format("mmcif").option("rows", "2").load(str(tmp_path))
+    found = {}
+    for r in files.orderBy("first_row").collect():
+        for name, values in r["attributes"].items():
+            found.setdefault((r["experiment"], r["block"], r["category"], name), []).extend(values)
+    assert found["100D", "100D", "entity", "id"] == ["1", "2", "3"]
+    assert found["4HHB", "4HHB", "exptl", "method"] == ["SOLUTION NMR"]
+    assert {key[0] for key in found} == {"100D", "4HHB"}
+    one = files.filter("category = 'exptl' AND experiment IN ('4HHB')")
+    assert [r["attributes"]["entry_id"] for r in one.collect()] == [["4HHB"]]
+    assert files.filter("category IN ('entity', 'entry')").select("category").distinct().count() == 2
+
+
+def test_filters_reach_the_reader(tmp_path):
+    for name in ("1aaa", "2bbb"):
+        (tmp_path / f"{name}.cif").write_text(f"data_{name}\n_a.b 1\n_c.d 2\n")
+    reader = MmcifReader({"path": str(tmp_path)})
+    category, experiment = EqualTo(("category",), "c"), In(("experiment",), ("1AAA",))
+    assert list(reader.pushFilters([category, experiment])) == [experiment]
+    (partition,) = reader.partitions()
+    assert [p.rsplit("/", 1)[-1] for p in partition.paths] == ["1aaa.cif"]
+    assert sum((b["category"].to_pylist() for b in reader.read(partition)), []) == ["c"]
+
+
+def test_small_files_share_a_task():
+    assert pack([("a", 5), ("b", 4), ("c", 2), ("d", 99), ("e", 1)], 10) == [["a", "b"], ["c"], ["d"], ["e"]]
+    assert pack([], 10) == []
