@@ -30,7 +30,11 @@ class _Case:
     held: str  # condition on the source table for rows merged by an earlier run
     touch: tuple[str, str] | None  # a text column and the value the held rows have there
     casts: dict[str, str]
-    valid: str
+    rules: dict[str, str]  # what each rule asks of a row; one that is not true breaks it
+
+    @property
+    def valid(self) -> str:
+        return "(" + " AND ".join(f"({ok})" for ok in self.rules.values()) + ")"
 
     def bronze(self, spark: SparkSession, sf_dir: str, held: bool = False) -> DataFrame:
         rows = table(spark, sf_dir, self.source)
@@ -63,7 +67,8 @@ class _Case:
         target = rejected(self.bronze(spark, sf_dir, held=True), spec)
         source = staged(rejected(self.scoped(spark, sf_dir), spec), "source")
         merged = merge_upsert(target, source, spec.keys, null_safe=True)
-        return merged.select(*spec.names, (F.size("reject_reasons") > 0).alias("has_reasons"))
+        broken = F.array_join(F.array_sort("reject_reasons"), ",")
+        return merged.select(*spec.names, broken.alias("reasons"))
 
     def _bronze_sql(self, held: bool) -> str:
         texts = {n: "CAST(NULL AS VARCHAR)" for n in REGISTRY[self.category].names} | self.columns
@@ -98,8 +103,10 @@ class _Case:
         columns = ", ".join(spec.names)
         same = " AND ".join(f"f.{k} IS NOT DISTINCT FROM h.{k}" for k in spec.keys)
         condition = f"NOT COALESCE({self.valid}, FALSE)"
+        broken = ", ".join(f"CASE WHEN NOT COALESCE({ok}, FALSE) THEN '{name}' END" for name, ok in self.rules.items())
         return f"""WITH {self._sides(condition, columns, spec.distinct)}
-        SELECT *, TRUE AS has_reasons FROM (SELECT * FROM fresh UNION ALL
+        SELECT *, array_to_string(list_sort(list_filter([{broken}], lambda x: x IS NOT NULL)), ',') AS reasons
+        FROM (SELECT * FROM fresh UNION ALL
           SELECT * FROM held h WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE {same}))"""
 
 
@@ -127,12 +134,15 @@ ENTITY = _Case(
         "pdbx_formula_weight_exptl": "FLOAT",
         "pdbx_number_of_molecules": "INTEGER",
     },
-    valid="""(experiment IS NOT NULL AND id IS NOT NULL
-      AND (formula_weight IS NULL OR TRY_CAST(formula_weight AS FLOAT) IS NOT NULL)
-      AND (pdbx_number_of_molecules IS NULL
-        OR TRY_CAST(pdbx_number_of_molecules AS INTEGER) IS NOT NULL)
-      AND (src_method IS NULL OR src_method IN ('man', 'nat', 'syn'))
-      AND (type IS NULL OR type IN ('branched', 'macrolide', 'non-polymer', 'polymer', 'water')))""",
+    rules={
+        "experiment:required": "experiment IS NOT NULL",
+        "id:required": "id IS NOT NULL",
+        "formula_weight:castable": "formula_weight IS NULL OR TRY_CAST(formula_weight AS FLOAT) IS NOT NULL",
+        "pdbx_number_of_molecules:castable": "pdbx_number_of_molecules IS NULL "
+        "OR TRY_CAST(pdbx_number_of_molecules AS INTEGER) IS NOT NULL",
+        "src_method:allowed": "src_method IS NULL OR src_method IN ('man', 'nat', 'syn')",
+        "type:allowed": "type IS NULL OR type IN ('branched', 'macrolide', 'non-polymer', 'polymer', 'water')",
+    },
 )
 
 POLY_SEQ = _Case(
@@ -150,9 +160,14 @@ POLY_SEQ = _Case(
     held="l_returnflag = 'R'",
     touch=("hetero", "yes"),
     casts={"num": "INTEGER"},
-    valid="""(experiment IS NOT NULL AND entity_id IS NOT NULL AND mon_id IS NOT NULL
-      AND TRY_CAST(num AS INTEGER) IS NOT NULL
-      AND (hetero IN ('n', 'no', 'y', 'yes') OR hetero IS NULL))""",
+    rules={
+        "experiment:required": "experiment IS NOT NULL",
+        "entity_id:required": "entity_id IS NOT NULL",
+        "mon_id:required": "mon_id IS NOT NULL",
+        "num:required": "num IS NOT NULL",
+        "num:castable": "num IS NULL OR TRY_CAST(num AS INTEGER) IS NOT NULL",
+        "hetero:allowed": "hetero IS NULL OR hetero IN ('n', 'no', 'y', 'yes')",
+    },
 )
 
 CHEM_COMP = _Case(
@@ -187,20 +202,24 @@ CHEM_COMP = _Case(
         "pdbx_modified_date": "DATE",
         "pdbx_number_subcomponents": "INTEGER",
     },
-    valid="""(experiment IS NOT NULL AND id IS NOT NULL AND type IS NOT NULL
-      AND (formula_weight IS NULL OR TRY_CAST(formula_weight AS FLOAT) IS NOT NULL)
-      AND (number_atoms_all IS NULL OR TRY_CAST(number_atoms_all AS INTEGER) IS NOT NULL)
-      AND (pdbx_initial_date IS NULL OR TRY_CAST(pdbx_initial_date AS DATE) IS NOT NULL)
-      AND (mon_nstd_flag IS NULL OR mon_nstd_flag IN ('n', 'no', 'y', 'yes'))
-      AND (pdbx_comp_type IS NULL OR pdbx_comp_type IN ('inorganic ligand', 'metal cation',
-        'organic ligand', 'organometalic ligand', 'solvent'))
-      AND (pdbx_processing_site IS NULL
-        OR pdbx_processing_site IN ('EBI', 'PDBC', 'PDBE', 'PDBJ', 'RCSB'))
-      AND (pdbx_release_status IS NULL
-        OR pdbx_release_status IN ('DEL', 'HOLD', 'HPUB', 'OBS', 'REF_ONLY', 'REL'))
-      AND (pdbx_type_modified IS NULL OR pdbx_type_modified IN ('0', '1'))
-      AND type IN ('L-peptide linking', 'saccharide', 'D-saccharide, alpha linking', 'non-polymer',
-        'other', 'peptide linking', 'peptide-like'))""",
+    rules={
+        "experiment:required": "experiment IS NOT NULL",
+        "id:required": "id IS NOT NULL",
+        "type:required": "type IS NOT NULL",
+        "formula_weight:castable": "formula_weight IS NULL OR TRY_CAST(formula_weight AS FLOAT) IS NOT NULL",
+        "number_atoms_all:castable": "number_atoms_all IS NULL OR TRY_CAST(number_atoms_all AS INTEGER) IS NOT NULL",
+        "pdbx_initial_date:castable": "pdbx_initial_date IS NULL OR TRY_CAST(pdbx_initial_date AS DATE) IS NOT NULL",
+        "mon_nstd_flag:allowed": "mon_nstd_flag IS NULL OR mon_nstd_flag IN ('n', 'no', 'y', 'yes')",
+        "pdbx_comp_type:allowed": "pdbx_comp_type IS NULL OR pdbx_comp_type IN ('inorganic ligand', 'metal cation', "
+        "'organic ligand', 'organometalic ligand', 'solvent')",
+        "pdbx_processing_site:allowed": "pdbx_processing_site IS NULL "
+        "OR pdbx_processing_site IN ('EBI', 'PDBC', 'PDBE', 'PDBJ', 'RCSB')",
+        "pdbx_release_status:allowed": "pdbx_release_status IS NULL "
+        "OR pdbx_release_status IN ('DEL', 'HOLD', 'HPUB', 'OBS', 'REF_ONLY', 'REL')",
+        "pdbx_type_modified:allowed": "pdbx_type_modified IS NULL OR pdbx_type_modified IN ('0', '1')",
+        "type:allowed": "type IS NULL OR type IN ('L-peptide linking', 'saccharide', 'D-saccharide, alpha linking', "
+        "'non-polymer', 'other', 'peptide linking', 'peptide-like')",
+    },
 )
 
 EXPTL = _Case(
@@ -217,8 +236,12 @@ EXPTL = _Case(
     held="o_orderstatus = 'F'",
     touch=None,
     casts={},
-    valid="""(entry_id IS NOT NULL AND method IS NOT NULL AND method IN ('X-RAY DIFFRACTION', 'EPR',
-      'INFRARED SPECTROSCOPY', 'SOLUTION NMR'))""",
+    rules={
+        "entry_id:required": "entry_id IS NOT NULL",
+        "method:required": "method IS NOT NULL",
+        "method:allowed": "method IS NULL OR method IN ('X-RAY DIFFRACTION', 'EPR', 'INFRARED SPECTROSCOPY', "
+        "'SOLUTION NMR')",
+    },
 )
 
 OBS_SPR = _Case(
@@ -237,8 +260,14 @@ OBS_SPR = _Case(
     held="o_orderpriority = '5-LOW'",
     touch=("details", "held"),
     casts={"date": "DATE"},
-    valid="""(experiment IS NOT NULL AND pdb_id IS NOT NULL AND replace_pdb_id IS NOT NULL
-      AND TRY_CAST(date AS DATE) IS NOT NULL AND id IS NOT NULL)""",
+    rules={
+        "experiment:required": "experiment IS NOT NULL",
+        "pdb_id:required": "pdb_id IS NOT NULL",
+        "replace_pdb_id:required": "replace_pdb_id IS NOT NULL",
+        "date:required": "date IS NOT NULL",
+        "date:castable": "date IS NULL OR TRY_CAST(date AS DATE) IS NOT NULL",
+        "id:required": "id IS NOT NULL",
+    },
 )
 
 

@@ -19,11 +19,12 @@ from siftspark.plans import (
     read_quarantine,
     read_versions,
     refine,
+    replace_chunks,
 )
 from siftspark.registry import Registry, category, default_registry
 from siftspark.session import work_path
 from siftspark.sinks import append_by_name, create_json_table, create_table, drop_table, read_table
-from siftspark.sources import inline_rows
+from siftspark.sources import inline_rows, parse_mmcif_chunks
 
 BUCKETS = 8
 
@@ -71,6 +72,21 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout.silver("line"), DOCUMENTS["line"].silver_schema(), BUCKETS)
 
 
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS experiment, CAST(i - 1 AS VARCHAR) AS no,
+      CAST(length(string_split(text, chr(10))[i]) AS VARCHAR) AS n_chars
+    FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+          FROM documents)"""
+)
+def bronze_from_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of any size into bronze, in chunks of 100 rows; the second time changes nothing."""
+    layout, line = Layout(work_path(spark, "archive"), BUCKETS), DOCUMENTS["line"]
+    texts = document_texts(spark, sf_dir).select("experiment", "text")
+    for run in ("run1", "run2"):
+        replace_chunks(spark, layout, line, parse_mmcif_chunks(texts, rows=100, categories=["line"]), run)
+    return read_table(spark, layout.bronze("line"), line.bronze_schema(), BUCKETS)
+
+
 LABELLED = Registry(
     {
         "document": category(

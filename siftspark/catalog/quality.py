@@ -136,6 +136,64 @@ def domain_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.groupBy("optional_ok", "required_ok").agg(F.count(F.lit(1)).alias("n"))
 
 
+ITEM = category(
+    "item",
+    ["experiment", "line", "part", "supplier", "mode"],
+    types={"line": "int"},
+    required=["experiment", "supplier"],
+    keys=["experiment", "line"],
+)
+
+_ITEMS = [
+    "CAST(l_orderkey AS STRING) AS experiment",
+    "CAST(l_linenumber AS STRING) AS line",
+    "CASE WHEN l_discount < 0.09 THEN CAST(l_partkey AS STRING) END AS part",
+    "CASE WHEN l_tax < 0.07 THEN CAST(l_suppkey AS STRING) END AS supplier",
+    "l_linestatus AS mode",
+]
+
+_ITEM_RULES = {
+    "part:allowed": "part IS NULL OR part IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size <> 7)",
+    "supplier:allowed": "supplier IS NULL "
+    "OR supplier IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_acctbal > 0)",
+    "supplier:required": "supplier IS NOT NULL",
+    "mode:allowed": "mode IS NULL OR mode IN (SELECT o_orderstatus FROM orders WHERE o_orderstatus <> 'F')",
+}
+
+
+def _items(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Order lines as text, and domains of a share of all parts, of all suppliers, and of two statuses."""
+    domains = {
+        "part": table(spark, sf_dir, "part").filter("p_size <> 7").select("p_partkey"),
+        "supplier": table(spark, sf_dir, "supplier").filter("s_acctbal > 0").select("s_suppkey"),
+        "mode": table(spark, sf_dir, "orders").filter("o_orderstatus <> 'F'").select("o_orderstatus"),
+    }
+    return table(spark, sf_dir, "lineitem").selectExpr(*_ITEMS), domains
+
+
+@query(
+    f"""SELECT DISTINCT experiment, CAST(line AS INTEGER) AS line, part, supplier, mode
+    FROM (SELECT {", ".join(_ITEMS)} FROM lineitem)
+    WHERE {" AND ".join(f"({ok})" for ok in _ITEM_RULES.values())}"""
+)
+def domain_tables_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that must be in other tables, of any size: the rows that keep the rules."""
+    items, domains = _items(spark, sf_dir)
+    return accepted(items, ITEM, domains)
+
+
+@query(
+    f"""SELECT * FROM (SELECT DISTINCT *, concat_ws(',', {
+        ", ".join(f"CASE WHEN NOT ({ok}) THEN '{name}' END" for name, ok in sorted(_ITEM_RULES.items()))
+    }) AS reasons FROM (SELECT {", ".join(_ITEMS)} FROM lineitem)) WHERE reasons <> ''"""
+)
+def domain_tables_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other rows, with the names of the domains their values are not in."""
+    items, domains = _items(spark, sf_dir)
+    broken = F.array_join(F.array_sort("reject_reasons"), ",")
+    return rejected(items, ITEM, domains).select(*ITEM.names, broken.alias("reasons"))
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def required_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passes rows on that exist and whose key is unique; raises otherwise."""

@@ -1,4 +1,4 @@
-from siftspark.plans.bronze import build_bronze
+from siftspark.plans.bronze import build_bronze, replace_chunks
 from siftspark.plans.ingest import (
     land_raw,
     plan_ingest,
@@ -29,5 +29,6 @@ __all__ = [
     "read_versions",
     "record_versions",
     "refine",
+    "replace_chunks",
     "write_registry",
 ]

@@ -325,3 +325,49 @@ def test_row_numbers_with_a_hot_and_a_null_key(spark):
     assert rows(row_numbers(df, ["o"], ["k"])) == rows(plain)
     whole = df.withColumn("rn", F.row_number().over(Window.orderBy("o")))
     assert rows(row_numbers(df, ["o"])) == rows(whole)
+
+
+def test_domains_of_any_size_keep_reasons(spark):
+    from siftspark.operators import quality
+
+    spec = category("c", ["experiment", "a", "b"], required=["experiment", "b"], keys=["experiment"], allowed={"a": ["old"]})
+    many = spark.range(quality.FEW + 50).select(F.concat(F.lit("v"), "id").alias("v"))
+    domains = {"a": many.unionByName(many).unionByName(spark.createDataFrame([(None,)], "v string")),
+               "b": spark.createDataFrame([("x",), ("y",), (None,)], "v string")}
+    rows = [("1", "v3", "x"), ("2", "nope", "x"), ("3", None, "z"), ("4", "old", None), ("5", "v249", "y"), ("5", "v249", "y")]
+    df = spark.createDataFrame(rows, spec.bronze_schema())
+    assert sorted(tuple(r) for r in quality.accepted(df, spec, domains).collect()) == [("1", "v3", "x"), ("5", "v249", "y")]
+    bad = {r[0]: r["reject_reasons"] for r in quality.rejected(df, spec, domains).collect()}
+    assert bad == {"2": ["a:allowed"], "3": ["b:allowed"], "4": ["a:allowed", "b:required"]}
+    flagged = quality.flag(df, spec, domains)
+    assert flagged.columns == ["experiment", "a", "b", "accepted", "reject_reasons"] and flagged.count() == 6
+    sides = quality.split(df, spec, domains).collect()
+    assert sorted((r["accepted"], (r["silver"] or r["rejected"])[0]) for r in sides) == [
+        (False, "2"), (False, "3"), (False, "4"), (True, "1"), (True, "5")
+    ]
+    # An empty domain allows nothing but NULL.
+    none = {"a": many.limit(0)}
+    assert {r[0] for r in quality.accepted(df, spec, none).collect()} == {"3"}
+
+
+def test_large_domains_are_joined_and_small_ones_reach_the_scan(spark, tmp_path):
+    from siftspark.operators import quality, scope
+
+    spec = category("c", ["experiment", "a", "b"], required=["experiment"], keys=["experiment"])
+    spark.range(5000).selectExpr("CAST(id AS STRING) AS experiment", "CAST(id % 700 AS STRING) AS a", "'x' AS b").write.parquet(str(tmp_path / "t"))
+    df, many = spark.read.parquet(str(tmp_path / "t")), spark.range(600).select(F.col("id").cast("string").alias("v"))
+    few = spark.createDataFrame([("x",), ("y",)], "v string")
+    plan = quality.accepted(df, spec, {"b": few})._jdf.queryExecution().executedPlan().toString()
+    assert "In(b, [x,y])" in plan.split("PushedFilters: [")[1] and "Join" not in plan
+    limit, default = "spark.sql.autoBroadcastJoinThreshold", scope.broadcast_if_small.__defaults__
+    before = spark.conf.get(limit)
+    try:
+        spark.conf.set(limit, "-1")
+        scope.broadcast_if_small.__defaults__ = (0, *default[1:])
+        kept = quality.accepted(df, spec, {"a": many})
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "LeftOuter" in plan and "Broadcast" not in plan
+        assert kept.count() == sum(i % 700 < 600 for i in range(5000))
+    finally:
+        spark.conf.set(limit, before)
+        scope.broadcast_if_small.__defaults__ = default

@@ -243,3 +243,29 @@ def test_emptied_experiment_and_bucket_count(spark, tmp_path):
     assert rows(read_table(spark, path, spec.bronze_schema(), 8)) == [("1BBB", "1BBB", "EPR")]
     with pytest.raises(ValueError, match="bucket_16"):
         read_table(spark, path, spec.bronze_schema(), 16)
+
+
+def test_chunks_replace_and_uneven_tables_are_set_aside(spark, tmp_path):
+    from siftspark.plans import replace_chunks
+    from siftspark.sources import parse_mmcif_chunks
+
+    layout, spec = Layout(str(tmp_path / "archive"), buckets=2), REG["exptl"]
+
+    def run(name, methods, tail=""):
+        body = "loop_\n_exptl.entry_id\n_exptl.method\n" + "".join(f"{i} {m}\n" for i, m in enumerate(methods))
+        texts = spark.createDataFrame([(name, cif(name, body + tail))], "experiment string, text string")
+        replace_chunks(spark, layout, spec, parse_mmcif_chunks(texts, rows=2), f"run-{name}-{len(methods)}")
+
+    def held():
+        found = read_table(spark, layout.bronze("exptl"), spec.bronze_schema(), 2)
+        return sorted(tuple(r) for r in found.collect())
+
+    run("1AAA", ["EPR"] * 5)
+    run("1BBB", ["EPR"] * 3)
+    run("1AAA", ["OTHER"] * 4)
+    expected = [("1AAA", str(i), "OTHER") for i in range(4)] + [("1BBB", str(i), "EPR") for i in range(3)]
+    assert held() == expected
+    run("1BBB", ["EPR"] * 6, "cut\n")
+    assert held() == expected
+    aside = [(r["experiment"], r["reason"], r["document"]) for r in read_quarantine(spark, layout).collect()]
+    assert aside == [("1BBB", "ragged", '{"first_row":6,"rows":1}')]
