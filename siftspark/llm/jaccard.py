@@ -10,8 +10,9 @@ and by the triangle inequality two others can only be linked if their distances
 most 0.2. What is left in two components goes on to the next round with another pivot, and
 what the last pivot leaves is compared pair by pair. Regions that lie in one component are done.
 
-Only an ordering of shingles is shared by all tasks: counts of the most frequent ones, found over
-all documents. Any order gives the same links; a bound on its size only costs candidates.
+Only an ordering of shingles is shared by all tasks, found over all documents: counts of the most
+frequent ones, and of all others that occur a few times a bitmap of their hashes, at most 32 MB.
+Any order that all tasks share gives the same links; a full bitmap only costs candidates.
 
 Defined results: texts without words have no shingles, link to nothing and are their own component;
 one to four words make one shingle; equal sets are one class, its smallest id stands for it, also
@@ -38,6 +39,7 @@ WORDS = 5
 PRIME = np.uint64(0x9E3779B185EBCA87)
 FINAL = np.uint64(0xC2B2AE3D27D4EB4F)
 KEY_BYTES = 5  # of a shingle's hash, where it only orders and meets
+LEAST = 3  # occurrences of a shingle from which on the order knows it
 
 
 class WordHashes(dict):
@@ -106,8 +108,25 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(measure, "doc_id long, n_shingles long, set_hash binary")
 
 
-def frequent_shingles(docs: DataFrame, buckets: int, most: int, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of the most frequent shingles, at most `most`, for the order.
+class Order:
+    """How often a shingle occurs: exactly for the most frequent, LEAST for others in the bitmap, else 0."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, bits: bytes):
+        self.keys, self.counts, self.bits = keys, counts, bits
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        bits = np.frombuffer(self.bits, np.uint8)
+        place = keys & np.uint64(len(bits) * 8 - 1)
+        some = bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1
+        rank = some.astype(np.int64) * LEAST
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            rank = np.where(self.keys[at] == keys, self.counts[at], rank)
+        return rank
+
+
+def shingle_order(docs: DataFrame, buckets: int, most: int, most_bits: int = 1 << 28) -> Order:
+    """The order by frequency: at most `most` counts, and a bitmap of at most `most_bits`.
 
     Tasks send each bucket one array of keys per few thousand documents; a bucket's share
     of the shingles is bounded by the number of buckets.
@@ -134,17 +153,28 @@ def frequent_shingles(docs: DataFrame, buckets: int, most: int, least: int = 3)
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
         keys, counts = np.unique(unpack(b"".join(rows["keys"])), return_counts=True)
-        often = counts >= least
+        often = counts >= LEAST
         keys, counts = keys[often], counts[often]
-        top = np.argsort(-counts, kind="stable")[:share]
-        return pd.DataFrame({"key": keys[top].astype(np.int64), "count": counts[top]})
+        top = np.zeros(len(keys), bool)
+        top[np.argsort(-counts, kind="stable")[:share]] = True
+        return pd.DataFrame({"key": keys.astype(np.int64), "count": counts, "top": top})
 
     sent = docs.select("text").mapInArrow(send, "bucket long, keys binary")
-    # At most `most` rows of two numbers come to the driver.
-    counted = sent.groupBy("bucket").applyInPandas(count, "key long, count long")
-    top = staged(counted, "frequent-shingles").toPandas()
-    top = top.sort_values("key")
-    return top["key"].to_numpy(np.uint64), top["count"].to_numpy(np.int64)
+    counted = sent.groupBy("bucket").applyInPandas(count, "key long, count long, top boolean")
+    counted = staged(counted, "frequent-shingles")
+    # At most `most` rows of two numbers come to the driver, and the bitmap in pieces of 4 KB.
+    top = counted.filter("top").select("key", "count").toPandas().sort_values("key")
+    bits, wanted = 1 << 20, min(most_bits, 16 * counted.count())
+    while bits < wanted:
+        bits *= 2
+    place = F.col("key").bitwiseAND(F.lit(bits - 1)) + 1
+    pieces = counted.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    whole = bytearray(bits // 8)
+    for piece, data in pieces.collect():
+        whole[(piece - 1) * len(data) : piece * len(data)] = data
+    return Order(top["key"].to_numpy(np.uint64), top["count"].to_numpy(np.int64), bytes(whole))
 
 
 def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> DataFrame:
@@ -156,8 +186,7 @@ def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> Dat
     random, and Spark's joins take them from there.
     """
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles()
-        frequent, counts = order.value
+        shingles, rank_of = Shingles(), order.value
         for batch in slices(batches):
             parts = []
             for doc, cell in zip(batch["doc_id"].to_pylist(), batch["text"]):
@@ -166,10 +195,7 @@ def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> Dat
                 if not n or doc is None:
                     continue
                 length = n - (percent * n + 99) // 100 + 1
-                rank = np.zeros(n, np.int64)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)
-                    rank = np.where(frequent[at] == keys, counts[at], 0)
+                rank = rank_of(keys)
                 first = np.lexsort((keys, rank))[:length]
                 parts.append((keys[first], rank[first], doc, n))
             if not parts:
@@ -300,7 +326,7 @@ def similarity_components(
     total = classes.agg(F.sum("_words")).first()[0] or 0
     buckets = max(8, total // bucket_shingles)
     context = docs.sparkSession.sparkContext
-    order = context.broadcast(frequent_shingles(numbered, buckets, order_size))
+    order = context.broadcast(shingle_order(numbered, buckets, order_size))
 
     others = sets.join(classes.select("class_id"), sets["doc_id"] == F.col("class_id"), "left_anti")
     others = staged(others.select(F.col("doc_id").alias("_other")).distinct(), "copies")
@@ -457,22 +483,23 @@ def _with_distances(rows: DataFrame, checked: DataFrame | None) -> DataFrame:
 def keep_representatives(docs: DataFrame, **options) -> DataFrame:
     """The document with the smallest id of each component, and every document without words.
 
-    Of rows under one id one stays. Components name their smallest id, so what goes is a list of ids.
+    Where ids are missing or come more than once, rows are told apart by numbers of their own, written
+    down first: different texts under one id are different documents, and of rows repeated whole one stays.
     """
-    found = similarity_components(docs, **options)
-    gone = staged(
-        found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(),
-        "near-copies",
-    )
-    kept = docs.join(broadcast_if_small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
-    return _one_of_each_id(kept)
-
-
-def _one_of_each_id(docs: DataFrame) -> DataFrame:
-    """Rows whose id comes once, and one row of each other id; only the latter are moved."""
-    often = docs.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1 AND _id IS NOT NULL")
-    often = broadcast_if_small(staged(often.select("_id"), "repeated-ids"))
-    same = F.col("doc_id") == F.col("_id")
-    return docs.join(often, same, "left_anti").unionByName(
-        docs.join(often, same, "left_semi").dropDuplicates(["doc_id"])
+    ids = docs.groupBy("doc_id").count()
+    if ids.filter("count > 1 OR doc_id IS NULL").isEmpty():
+        found = similarity_components(docs, **options)
+        gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+        gone = broadcast_if_small(staged(gone, "near-copies"))
+        return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    numbered = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = similarity_components(numbered.select(F.col("_row").alias("doc_id"), "text"), **options)
+    found = found.select(F.col("doc_id").alias("_at"), "n_shingles", "component_id")
+    same = F.when(F.col("n_shingles") > 0, F.col("component_id").cast("string")).otherwise(
+        F.sha2(F.to_json(F.struct("doc_id", "text")), 256)
     )
+    rows = numbered.join(found, F.col("_row") == F.col("_at")).select("_row", "doc_id", same.alias("_same"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "_row"))
+    stays = rows.groupBy("_same").agg(first.alias("_first")).select(F.col("_first._row").alias("_stays"))
+    stays = broadcast_if_small(staged(stays, "representatives"))
+    return numbered.join(stays, F.col("_row") == F.col("_stays"), "left_semi").drop("_row")

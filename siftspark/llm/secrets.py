@@ -70,14 +70,16 @@ def find_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def candidates(docs: DataFrame, owner: str = "source", repository: str = "source") -> DataFrame:
-    """row, doc_id, owner, repository, spans: every document with its candidate spans."""
+def candidates(
+    docs: DataFrame, owner: str = "source", repository: str = "source", digest: F.Column | None = None
+) -> DataFrame:
+    """row, doc_id, owner, repository, digest (if one is given), spans: every document with its candidate spans."""
+    kept = {"row": "long", "doc_id": "long", "owner": "string", "repository": "string"}
+    extra = [] if digest is None else [digest.alias("digest")]
+    kept |= {"digest": "string"} if extra else {}
     schema = pa.schema(
         [
-            ("row", pa.int64()),
-            ("doc_id", pa.int64()),
-            ("owner", pa.string()),
-            ("repository", pa.string()),
+            *[(name, pa.int64() if kind == "long" else pa.string()) for name, kind in kept.items()],
             (
                 "spans",
                 pa.list_(
@@ -108,7 +110,7 @@ def candidates(docs: DataFrame, owner: str = "source", repository: str = "source
                 ]
                 for text in (cell.as_py() for cell in batch["text"])
             ]
-            columns = [batch[c] for c in ("row", "doc_id", "owner", "repository")]
+            columns = [batch[c] for c in kept]
             spans = pa.array(found, schema.field("spans").type)
             yield pa.RecordBatch.from_arrays([*columns, spans], schema=schema)
 
@@ -117,11 +119,11 @@ def candidates(docs: DataFrame, owner: str = "source", repository: str = "source
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col(owner).cast("string").alias("owner"),
         F.col(repository).cast("string").alias("repository"),
+        *extra,
         F.col("text").cast("string").alias("text"),
     )
-    return rows.mapInArrow(
-        scan, f"row long, doc_id long, owner string, repository string, spans array<{SPAN}>"
-    )
+    fields = "".join(f"{name} {kind}, " for name, kind in kept.items())
+    return rows.mapInArrow(scan, f"{fields}spans array<{SPAN}>")
 
 
 def ownership(found: DataFrame, max_owners: int = 3) -> DataFrame:
@@ -143,13 +145,17 @@ def ownership(found: DataFrame, max_owners: int = 3) -> DataFrame:
 
 
 def scan_secrets(
-    docs: DataFrame, max_owners: int = 3, owner: str = "source", repository: str = "source"
+    docs: DataFrame,
+    max_owners: int = 3,
+    owner: str = "source",
+    repository: str = "source",
+    digest: F.Column | None = None,
 ) -> DataFrame:
-    """row, doc_id, spans (with owners, repositories, live): one row per document.
+    """row, doc_id, digest (if one is given), spans (with owners, repositories, live): one row per document.
 
     Base spans are kept whatever their owners; look-alikes only where they seem live.
     """
-    found = staged(candidates(docs, owner, repository), "candidates")
+    found = staged(candidates(docs, owner, repository, digest), "candidates")
     values = staged(ownership(found, max_owners), "ownership")
     spans = found.select("row", F.explode("spans").alias("_s")).select("row", "_s.*")
     judged = (
@@ -167,7 +173,7 @@ def scan_secrets(
     )
     none = F.array().cast(judged.schema["spans"].dataType)
     return (
-        found.select("row", "doc_id")
+        found.drop("owner", "repository", "spans")
         .join(judged, "row", "left")
         .withColumn("spans", F.coalesce("spans", none))
     )
@@ -186,12 +192,14 @@ def span_list(spans) -> F.Column:
 def redact(docs: DataFrame, max_owners: int = 3) -> DataFrame:
     """The documents with every span replaced: live ones by <SECRET>, examples by <EXAMPLE>.
 
-    Overlapping spans are replaced as one, live if any of them is.
+    Overlapping spans are replaced as one, live if any of them is. Equal texts have equal spans, and
+    whether a value is live is the same for all texts, so spans find their rows by the text's digest.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    scanned = scan_secrets(docs, max_owners).filter(F.size("spans") > 0)
-    marks = staged(scanned.select(F.col("row").alias("_at"), F.col("spans").alias("_spans")), "marks")
-    joined = numbered.join(broadcast_if_small(marks), F.col("_row") == F.col("_at"), "left")
+    digest = F.sha2(F.col("text"), 256)
+    scanned = scan_secrets(docs, max_owners, digest=digest).filter(F.size("spans") > 0)
+    marks = scanned.groupBy(F.col("digest").alias("_text")).agg(F.first("spans").alias("_spans"))
+    marks = broadcast_if_small(staged(marks, "marks"))
+    joined = docs.withColumn("_digest", digest).join(marks, F.col("_digest") == F.col("_text"), "left")
     with_text = joined.withColumn("text", _replace(F.col("text"), F.col("_spans")))
     if "n_chars" in docs.columns:
         size = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
