@@ -94,11 +94,8 @@ def fold_events(events: DataFrame) -> DataFrame:
     messages = folded.withColumn(
         "text", F.array_join(F.transform(standing, lambda e: e["text"]), "")
     )
-    earlier = (
-        Window.partitionBy("conv_id")
-        .orderBy("began", "role", "text")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    # What began together with a regenerated message is no answer to it.
+    earlier = Window.partitionBy("conv_id").orderBy("began").rangeBetween(Window.unboundedPreceding, -1)
     taken_back = F.coalesce(F.max("_again").over(earlier) > F.col("began"), F.lit(False))
     return (
         messages.withColumn("_gone", taken_back)
@@ -195,10 +192,10 @@ def events_of_rows(rows: DataFrame, piece: int = 64) -> DataFrame:
     """The log a chat service could have kept for (conv_id, turn, role, text) rows.
 
     Assistant texts are streamed as a draft that is regenerated in pieces; others are typed as a
-    draft and edited. Rows of one turn stay apart.
+    draft and edited. Rows of one turn stay apart; rows without a turn come before all others.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = F.col("turn") * F.lit(1 << 32)
+    base = F.coalesce(F.col("turn") * F.lit(1 << 32), F.lit(-(1 << 62)))
     starts = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)), F.lit(piece))
     nothing = F.lit(None).cast("string")
 

@@ -162,9 +162,12 @@ def learn(
     return weights_of(z, n, rate).astype(np.float32)
 
 
-def score_quality(docs: DataFrame, weights: np.ndarray, keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (all, unless named) and `score`, the probability of label 1."""
-    keep = keep or docs.columns
+def score_quality(
+    docs: DataFrame, weights: np.ndarray, keep: list[str] | None = None, name: str = "score"
+) -> DataFrame:
+    """The kept columns (all, unless named) and as `name` the probability of label 1, which takes the
+    place of a column of that name."""
+    keep = [c for c in keep or docs.columns if c.lower() != name.lower()]
     table = docs.sparkSession.sparkContext.broadcast(weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +179,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray, keep: list[str] | None =
                 logit = float(w[BIAS]) + SCALE * float(w[buckets].sum()) / max(words, 1)
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, logit)))))
             columns = [batch[c] for c in keep] + [pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, name])
 
     inputs = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
-    return inputs.mapInArrow(score, docs.select(*keep).schema.add("score", "double"))
+    return inputs.mapInArrow(score, docs.select(*keep).schema.add(name, "double"))

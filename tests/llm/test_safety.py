@@ -58,3 +58,31 @@ def test_the_order_of_shingles_changes_no_link(spark):
     plain = {tuple(r) for r in similarity_components(docs).collect()}
     assert plain == {tuple(r) for r in similarity_components(docs, order_size=8).collect()}
     assert {r[2] for r in plain} == {group * 100 for group in range(6)}
+
+
+def test_turns_that_are_missing_or_tied_lose_nothing(spark):
+    from siftspark.llm import chat
+
+    rows = [
+        (1, None, "user", "hello there"), (1, 0, "assistant", "a" * 200), (1, 0, "assistant", "b" * 200),
+        (1, 1, "user", "and you"), (1, None, None, None), (2, None, "assistant", "only"), (2, 5, "assistant", "last"),
+    ]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "conv_id long, turn int, role string, text string, seq string, kind string")
+    found = {r["conv_id"]: r for r in chat.digests(chat.render(chat.fold_events(chat.events_of_rows(df)))).collect()}
+    order = [("", ""), ("user", "hello there"), ("assistant", "a" * 200), ("assistant", "b" * 200), ("user", "and you")]
+    lines = "".join(f"{role}\n{text}\n" for role, text in order)
+    assert found[1]["turns_sha256"] == hashlib.sha256(lines.encode()).hexdigest() and found[1]["n_turns"] == 5
+    assert found[1]["loss_chars"] == 400 and found[2]["loss_chars"] == 8
+    assert found[2]["loss_sha256"] == hashlib.sha256(b"onlylast").hexdigest()
+
+
+def test_a_column_named_score_is_replaced(spark):
+    import numpy as np
+
+    from siftspark.llm.quality_model import BIAS, score_quality
+
+    weights = np.zeros(max(BIAS + 1, 1 << 20), np.float32)
+    df = spark.createDataFrame([(1, "some text", "old", "s"), (2, None, "old", "s")], "doc_id long, text string, Score string, w string")
+    out = score_quality(df, weights)
+    assert out.columns == ["doc_id", "text", "w", "score"] and {r["score"] for r in out.collect()} == {0.5}
+    assert "p" in score_quality(df, weights, name="p").columns and "Score" in score_quality(df, weights, name="p").columns
