@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import TYPE_CHECKING
 
 from py4j.protocol import Py4JJavaError
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
+if TYPE_CHECKING:
+    from pyarrow.fs import FileSystem
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -109,12 +112,14 @@ def publish(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
-def open_store(uri: str) -> tuple[fs.FileSystem, str]:
+def open_store(uri: str) -> tuple[FileSystem, str]:
     """The file system that Python tasks reach a folder or file with, and the path in it.
 
     Hadoop's names of object stores stand for the stores' own.
     """
+    from pyarrow.fs import FileSystem  # large, and most drivers never need it
+
     for hadoop in ("s3a://", "s3n://"):
         if uri.startswith(hadoop):
             uri = "s3://" + uri.removeprefix(hadoop)
-    return fs.FileSystem.from_uri(uri)
+    return FileSystem.from_uri(uri)
