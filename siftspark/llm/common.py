@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siftspark.session import staged
+from siftspark.session import open_store, staged
 
 __all__ = ["GAP", "WORD", "held_out", "let", "open_store", "slices", "staged", "text_of", "word_count", "words_of"]
 
@@ -29,17 +28,6 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
     pa.default_memory_pool().release_unused()
 
 
-def open_store(uri: str) -> tuple[fs.FileSystem, str]:
-    """The file system that tasks reach a folder or file with, and the path in it.
-
-    Hadoop's names of object stores stand for the stores' own.
-    """
-    for hadoop in ("s3a://", "s3n://"):
-        if uri.startswith(hadoop):
-            uri = "s3://" + uri.removeprefix(hadoop)
-    return fs.FileSystem.from_uri(uri)
-
-
 def text_of(column: str = "text") -> Column:
     """The text, NULL as empty."""
     return F.coalesce(F.col(column), F.lit(""))

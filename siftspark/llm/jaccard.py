@@ -163,7 +163,7 @@ def shingle_order(docs: DataFrame, buckets: int, most: int, most_bits: int = 1 <
     counted = sent.groupBy("bucket").applyInPandas(count, "key long, count long, top boolean")
     counted = staged(counted, "frequent-shingles")
     # At most `most` rows of two numbers come to the driver, and the bitmap in pieces of 4 KB.
-    top = counted.filter("top").select("key", "count").toPandas().sort_values("key")
+    top = counted.filter("top").select("key", "count").toArrow().sort_by("key")
     bits, wanted = 1 << 20, min(most_bits, 16 * counted.count())
     while bits < wanted:
         bits *= 2
@@ -174,7 +174,7 @@ def shingle_order(docs: DataFrame, buckets: int, most: int, most_bits: int = 1 <
     whole = bytearray(bits // 8)
     for piece, data in pieces.collect():
         whole[(piece - 1) * len(data) : piece * len(data)] = data
-    return Order(top["key"].to_numpy(np.uint64), top["count"].to_numpy(np.int64), bytes(whole))
+    return Order(top["key"].to_numpy().astype(np.uint64), top["count"].to_numpy(), bytes(whole))
 
 
 def regions(docs: DataFrame, order, buckets: int, percent: int, hot: int) -> DataFrame:
@@ -306,7 +306,7 @@ def similarity_components(
     docs: DataFrame,
     percent: int = 80,
     rounds: int = 3,
-    order_size: int = 1 << 19,
+    order_size: int = 1 << 17,
     bucket_shingles: int = 1 << 21,
     hot: int = 5000,
 ) -> DataFrame:
