@@ -4,16 +4,19 @@ Words are compared in lower case and without marks. A seed is two blocks of thre
 0, 3 or 6 words between them; the masks are fixed, and the words in the gap don't count. Of any
 12 words in four blocks, two blocks are whole if at most two words were substituted, and
 two whole blocks are one of these seeds: so every passage of `window` = 12 words with at least
-`min_matches` = 10 in place shares a seed hash with its item. Each hit is then verified: along its
-diagonal the words in place are counted in every window.
+`min_matches` = 10 in place shares a seed hash with its item. An item shorter than the window may lack
+one word or none; the mask of a single block finds it, as one more block than words may be lacking is taken
+of it, side by side. Each hit is then verified: along its diagonal the words in place are counted in
+every window. The masks promise this for windows of 12 words or more with at most two substitutions;
+other parameters are refused.
 
 Training texts stay where they are. Their positions are first held against the items' block hashes,
 which nearly none passes; the rest become seed hashes and meet the items' in a join. The
 benchmark's side is broadcast if its measured size allows, else the join shuffles.
 
-Defined results: NULL and empty texts hit nothing; items under six words have no seed and are hit by
-nothing; items shorter than the window are one window, of which the same share must be in
-place; repeated rows are hit alike; rows that differ in text under one id are told apart; an
+Defined results: NULL and empty texts hit nothing; items under `min_words` = 5 words are phrases, not
+passages, and are hit by nothing; items shorter than the window are one window, of which the same share must
+be in place; repeated rows are hit alike; rows that differ in text under one id are told apart; an
 empty table on either side gives no rows.
 """
 
@@ -28,6 +31,7 @@ from siftspark.operators.scope import broadcast_if_small
 BLOCK = 3
 # How far a mask's second block begins after its first.
 MASKS = (3, 6, 9)
+BLOCKS = 4  # that the masks choose two of
 MARKS = r"[^\p{L}\p{N}\x20\x09-\x0D]+"
 
 
@@ -59,16 +63,17 @@ def blocks(words: Column) -> Column:
 
 
 def seeds(positions: DataFrame) -> DataFrame:
-    """The positions with `seed`, a hash for each mask that fits there."""
+    """The positions with `seed`, a hash for each mask that fits there; `lone` blocks are one by themselves."""
     made = F.array(
+        F.when(F.col("lone"), F.xxhash64(F.lit(0), "block")),
         *[
             F.when(
                 F.col(f"block_{m}").isNotNull(), F.xxhash64(F.lit(m), "block", f"block_{m}")
             )
             for m in MASKS
-        ]
+        ],
     )
-    kept = [c for c in positions.columns if not c.startswith("block")]
+    kept = [c for c in positions.columns if not c.startswith("block") and c != "lone"]
     return positions.select(*kept, F.explode(F.array_compact(made)).alias("seed"))
 
 
@@ -77,23 +82,37 @@ def _positions(df: DataFrame, keys: list[str], words: Column) -> DataFrame:
 
 
 def find_passages(
-    docs: DataFrame, benchmark: DataFrame, window: int = 12, min_matches: int = 10
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = 12,
+    min_matches: int = 10,
+    min_words: int = BLOCK + 2,
 ) -> DataFrame:
     """doc_id, text_hash, item_id, best_window: the items of which a document has a passage."""
-    items = staged(
-        benchmark.select("item_id", plain_words(text_of()).alias("item_words")), "items"
+    lacking = window - min_matches
+    if window < BLOCK * BLOCKS or not 0 <= lacking <= BLOCKS - 2 or min_words < BLOCK:
+        raise ValueError(f"the masks don't find every {min_matches} of {window} words from {min_words} on")
+    items = benchmark.select("item_id", plain_words(text_of()).alias("item_words"))
+    items = staged(items.filter(F.size("item_words") >= min_words), "items")
+    # Of a short item as many blocks stand by themselves as words may be lacking, and one more.
+    size = F.size("item_words")
+    alone = F.when(size < window, F.floor(size * lacking / window) + 1).otherwise(0)
+    item_positions = _positions(
+        items.withColumn("_alone", alone), ["item_id", "_alone"], F.col("item_words")
     )
-    item_positions = _positions(items, ["item_id"], F.col("item_words"))
+    lone = (F.col("place") % BLOCK == 0) & (F.col("place") < F.col("_alone") * BLOCK)
+    item_positions = item_positions.withColumn("lone", lone).drop("_alone")
     item_seeds = staged(
         seeds(item_positions).withColumnRenamed("place", "item_place"), "item-seeds"
     )
+    used = F.col("lone") | F.col(f"block_{MASKS[0]}").isNotNull()
     item_blocks = staged(
-        item_positions.filter(F.col(f"block_{MASKS[0]}").isNotNull()).select("block").distinct(),
+        item_positions.filter(used).groupBy("block").agg(F.bool_or("lone").alias("lone")),
         "item-blocks",
     )
     texts = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), text_of().alias("_t"))
     found = _positions(texts, ["doc_id", "text_hash"], plain_words(F.col("_t")))
-    found = found.join(broadcast_if_small(item_blocks), "block", "left_semi")
+    found = found.join(broadcast_if_small(item_blocks), "block")
     hits = staged(
         seeds(found)
         .join(broadcast_if_small(item_seeds), "seed")

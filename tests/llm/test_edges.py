@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import itertools
 
 import corpus_pipeline
 import pytest
@@ -33,6 +34,28 @@ def test_decontaminate_bears_two_substitutions_in_twelve(spark, benchmark):
         assert (find_passages(docs, benchmark).count() == 1) == hit, changed
 
 
+def test_decontaminate_finds_short_items_with_every_allowed_substitution(spark):
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (1, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13)}
+    texts, expected = [], set()
+    for n, words in items.items():
+        for k in range(4):
+            for changed in itertools.combinations(range(n), k):
+                for frame in ("", "aa bb cc "):
+                    text = frame + " ".join("zz" if i in changed else w for i, w in enumerate(words))
+                    windows = [range(at, min(at + 12, n)) for at in range(max(1, n - 11))]
+                    best = max(sum(i not in changed for i in w) for w in windows)
+                    if n >= 5 and best * 12 >= min(n, 12) * 10:
+                        expected.add((len(texts), n, best))
+                    texts.append((len(texts), text))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    found = find_passages(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id, r.best_window) for r in found} == expected
+    assert {n for _, n, _ in expected} == set(range(5, 14))
+    with pytest.raises(ValueError, match="masks"):
+        find_passages(docs, benchmark, window=8, min_matches=6)
+
+
 def test_quality_model(docs, labels):
     weights = quality_model.learn(docs, labels, max_rows=6, shards=2, rounds=2)
     scored = quality_model.score_quality(docs, weights, ["doc_id"]).collect()
