@@ -4,17 +4,24 @@ A package holds `archive/data.warc.gz`, a stored member with one gzip member per
 and `indexes/index.cdxj`, a stored member with a line per record. Tasks write a package through
 pyarrow's file systems below a folder all executors share, under a name no other attempt uses; only the
 packages a finished task reports are read, so lost executors leave at most files nobody lists.
-Readers parse the central directory, read the index, and spread the records' ranges over tasks.
-A package is closed at a size limit, which bounds its index; nothing is extracted.
+Readers parse the central directory, locate every stored member `archive/*.warc.gz` or `archive/*.warc`
+and the indexes `indexes/*.cdxj` or `indexes/*.cdx.gz`, and spread the records' ranges over tasks. An index line
+names its archive by `filename`; one without a name stands for the package's only archive, and archives that no
+index names are walked. A package is closed at a size limit, which bounds its index; nothing is extracted.
+Packages may lie wherever the tasks' file systems reach (`s3a`, `hdfs`, `abfss`, `gs`, plain paths).
 
 Of records with equal payloads of at least `min_bytes`, the one with the smallest page_id is the
 response and the others revisit it. Defined results: a NULL payload is empty; smaller payloads are
 all responses; rows that share the smallest id are all responses; a NULL id sorts after any
-other and revisits the smallest; an empty table gives no packages and no rows.
+other and revisits the smallest; an empty table gives no packages and no rows; a package without an archive,
+a compressed archive and an index that names an archive which is not there are errors. Records of
+other types and writers come out as they are: without an id, payloads of HTTP records below their
+HTTP head, digests computed if their own is no SHA-256.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import json
 import re
@@ -23,16 +30,18 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs as files
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftspark.llm import zipfiles
-from siftspark.llm.common import staged
+from siftspark.llm.common import open_store, staged
 from siftspark.operators.scope import broadcast_if_small
 from siftspark.session import work_path
 
 DATA_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
+ARCHIVES, INDEXES = re.compile(r"archive/.+\.warc(\.gz)?"), re.compile(r"indexes/.+\.cdxj?(\.gz)?")
+GZIP = b"\x1f\x8b"
+HEAD_BYTES = 1 << 16  # read at first of a record that is not compressed
 # Fixed value: the profile of a revisit by equal payload, as WARC 1.1 names it.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BATCH_ROWS = 2000
@@ -119,7 +128,7 @@ def write_packages(
     """path, records, bytes of the packages the tasks wrote, one after another per partition."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = files.FileSystem.from_uri(folder)
+        store, root = open_store(folder)
         done, package = [], None
 
         def close() -> None:
@@ -156,13 +165,13 @@ def write_packages(
 
 
 def _open(path: str):
-    store, name = files.FileSystem.from_uri(path)
+    store, name = open_store(path)
     file = store.open_input_file(name)
     return file, file.size()
 
 
-def _scan(file, start: int, length: int) -> Iterator[tuple[int, int]]:
-    """Offset and length of each gzip member, for packages without an index."""
+def _packed(file, start: int, length: int) -> Iterator[tuple[int, int]]:
+    """Offset and length of each gzip member of an archive."""
     at = 0
     while at < length:
         unpacker, read = zlib.decompressobj(31), 0
@@ -177,31 +186,82 @@ def _scan(file, start: int, length: int) -> Iterator[tuple[int, int]]:
         at += size
 
 
+def _plain(file, start: int, length: int) -> Iterator[tuple[int, int]]:
+    """Offset and length of each record of an archive that is not compressed, by its heads."""
+    at = 0
+    while at < length:
+        head, step = b"", HEAD_BYTES
+        while b"\r\n\r\n" not in head:
+            if len(head) == length - at:
+                raise ValueError("the archive member ends inside a record")
+            head = zipfiles.read_range(file, start + at, min(step, length - at))
+            step *= 2
+        head = head.partition(b"\r\n\r\n")[0]
+        block = re.search(rb"(?i)\r\nContent-Length:\s*(\d+)", head)
+        if block is None:
+            raise ValueError(f"the record at {at} does not say how long it is")
+        size = len(head) + 4 + int(block[1]) + 4  # a blank line above the block, and two line ends below
+        if at + size > length:
+            raise ValueError("the archive member ends inside a record")
+        yield at, size
+        at += size
+
+
+def _index_lines(file, member: zipfiles.Member) -> list[dict]:
+    data = zipfiles.read_range(file, zipfiles.data_offset(file, member), member.size)
+    if data.startswith(GZIP):
+        data = gzip.decompress(data)
+    lines = (line for line in data.decode().splitlines() if "{" in line)
+    return [json.loads(line[line.index("{") :]) for line in lines if not line.startswith("!")]
+
+
+def package_ranges(file, size: int) -> Iterator[tuple[int, int]]:
+    """Offset in the package and length of each record of all its archives."""
+    found = list(zipfiles.members(file, size))
+    archives = {m.name: m for m in found if ARCHIVES.fullmatch(m.name)}
+    if not archives:
+        raise ValueError("the package has no archive")
+    starts = {name: zipfiles.data_offset(file, m) for name, m in archives.items()}
+    named = set()
+    for member in found:
+        if not INDEXES.fullmatch(member.name):
+            continue
+        for line in _index_lines(file, member):
+            if "filename" in line:
+                name = "archive/" + line["filename"].removeprefix("archive/")
+            elif len(archives) == 1:
+                name = next(iter(archives))
+            else:
+                raise ValueError(f"{member.name} does not say which of {len(archives)} archives it is of")
+            if name not in archives:
+                raise ValueError(f"{member.name} names {name}, which is not in the package")
+            named.add(name)
+            yield starts[name] + int(line["offset"]), int(line["length"])
+    for name in sorted(archives.keys() - named):
+        walk = _packed if name.endswith(".gz") else _plain
+        for at, length in walk(file, starts[name], archives[name].size):
+            yield starts[name] + at, length
+
+
 def record_ranges(packages: DataFrame) -> DataFrame:
-    """path, offset, length of every record: from the packages' indexes, else by a scan."""
+    """path, offset, length of every record: from the packages' indexes, else by a walk."""
 
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 file, size = _open(path)
                 with file:
-                    found = {m.name: m for m in zipfiles.members(file, size)}
-                    data = found[DATA_MEMBER]
-                    start = zipfiles.data_offset(file, data)
-                    if INDEX_MEMBER in found:
-                        at = zipfiles.data_offset(file, found[INDEX_MEMBER])
-                        text = zipfiles.read_range(file, at, found[INDEX_MEMBER].size).decode()
-                        places = [json.loads(x.split(" ", 1)[1]) for x in text.splitlines()]
-                        spots = [(p["offset"], p["length"]) for p in places]
-                    else:
-                        spots = list(_scan(file, start, data.size))
+                    try:
+                        spots = list(package_ranges(file, size))
+                    except ValueError as error:
+                        raise ValueError(f"{path}: {error}") from error
                 for i in range(0, len(spots), BATCH_ROWS):
                     part = spots[i : i + BATCH_ROWS]
                     yield pa.RecordBatch.from_pydict(
                         {
                             "path": [path] * len(part),
-                            "offset": [start + o for o, _ in part],
-                            "length": [n for _, n in part],
+                            "offset": [offset for offset, _ in part],
+                            "length": [length for _, length in part],
                         }
                     )
 
@@ -209,16 +269,24 @@ def record_ranges(packages: DataFrame) -> DataFrame:
 
 
 def parse_record(data: bytes) -> dict:
-    """Header fields and payload of one WARC record."""
+    """Header fields, payload and stated payload length of one WARC record."""
     head, _, rest = data.partition(b"\r\n\r\n")
-    lines = head.decode().split("\r\n")
+    lines = head.decode("utf-8", "replace").split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("a WARC record is expected")
-    fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
-    block = rest[: int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    length = int(re.search(rb"Content-Length: (\d+)", http)[1])
-    return {"fields": fields, "payload": payload, "payload_bytes": length}
+    fields = {}
+    for line in lines[1:]:
+        name, _, value = line.partition(":")
+        fields[name.lower()] = value.strip()
+    payload = rest[: int(fields["content-length"])]
+    length = None
+    if "application/http" in fields.get("content-type", ""):
+        http, _, payload = payload.partition(b"\r\n\r\n")
+        # A revisit's HTTP head speaks of the payload that stands elsewhere.
+        stated = re.search(rb"(?i)\r\nContent-Length:\s*(\d+)", http)
+        if stated and fields.get("warc-type") == "revisit":
+            length = int(stated[1])
+    return {"fields": fields, "payload": payload, "payload_bytes": len(payload) if length is None else length}
 
 
 RECORD_SCHEMA = (
@@ -256,21 +324,24 @@ def read_records(ranges: DataFrame, tasks: int, payloads: bool = True) -> DataFr
                     file, _ = _open(place["path"])
                     held = place["path"]
                 raw = zipfiles.read_range(file, place["offset"], place["length"])
-                record = parse_record(zlib.decompress(raw, 31))
+                record = parse_record(zlib.decompress(raw, 31) if raw.startswith(GZIP) else raw)
                 fields, payload = record["fields"], record["payload"]
-                digest = fields["WARC-Payload-Digest"].removeprefix("sha256:")
-                if fields["WARC-Type"] == "response":
-                    if hashlib.sha256(payload).hexdigest() != digest:
-                        raise ValueError(f"payload of {fields['WARC-Record-ID']} is damaged")
-                page, other = fields.get("X-Page-Id"), fields.get("X-Refers-To-Page")
+                kind, digest = fields["warc-type"], fields.get("warc-payload-digest", "")
+                stated = digest.removeprefix("sha256:") if digest.startswith("sha256:") else None
+                digest = stated
+                if kind != "revisit":
+                    digest = hashlib.sha256(payload).hexdigest()
+                    if kind == "response" and stated not in (None, digest):
+                        raise ValueError(f"payload of {fields.get('warc-record-id')} is damaged")
+                page, other = fields.get("x-page-id"), fields.get("x-refers-to-page")
                 rows.append(
                     {
                         "page_id": None if page is None else int(page),
-                        "url": fields["WARC-Target-URI"],
+                        "url": fields.get("warc-target-uri"),
                         "payload": payload if payloads else None,
                         "payload_bytes": record["payload_bytes"],
                         "payload_digest": digest,
-                        "record_type": fields["WARC-Type"],
+                        "record_type": kind,
                         "refers_to": None if other is None else int(other),
                     }
                 )

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import io
+import json
 import os
 import re
 import zipfile
@@ -281,6 +282,49 @@ def test_archives_round_trip(spark, tmp_path):
     assert warc.read_records(warc.record_ranges(where), 2).count() == 8
 
 
+def record(kind, url, block, *more, http=True):
+    head = ["WARC/1.0", f"warc-type: {kind}", f"WARC-Target-URI:{url}", *more]
+    head += ["Content-Type: application/http" if http else "Content-Type: text/plain", f"Content-Length: {len(block)}"]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_all_archives_of_foreign_packages_are_read(spark, tmp_path):
+    def page(text):
+        return b"HTTP/1.1 200 OK\r\n\r\n" + text
+
+    info = record("warcinfo", "", b"software: other", http=False)
+    one = [warc._gzip(x) for x in (info, record("response", "a", page(b"A" * 70_000), "WARC-Payload-Digest: sha1:XYZ"))]
+    two = [warc._gzip(record("response", x, page(x.encode()))) for x in ("b", "c")]
+    plain = [record("response", "d", page(b"D" * 200_000)), record("resource", "e", b"\x1f\x8b-like", http=False)]
+    line = json.dumps({"url": "b", "offset": "0", "length": str(len(two[0])), "filename": "two.warc.gz"})
+    index = warc._gzip(f"!meta {{}}\nb 2020 {line}\n".encode())
+    members = [("archive/one.warc.gz", one), ("archive/two.warc.gz", two), ("archive/three.warc", plain),
+               ("indexes/index.cdx.gz", [index]), ("pages/pages.jsonl", [b"{}"])]
+    (tmp_path / "other.wacz").write_bytes(package(members))
+
+    def read(name):
+        where = spark.createDataFrame([(str(tmp_path / name),)], "path string")
+        return warc.read_records(warc.record_ranges(where), 2).collect()
+
+    found = {(r.url, r.record_type, r.payload_bytes, r.payload_digest) for r in read("other.wacz")}
+    payloads = {"a": b"A" * 70_000, "b": b"b", "d": b"D" * 200_000, "e": b"\x1f\x8b-like", "": b"software: other"}
+    kinds = {"e": "resource", "": "warcinfo"}
+    # The index lists one record of its archive; the archives it doesn't name are walked.
+    assert found == {
+        (u, kinds.get(u, "response"), len(p), hashlib.sha256(p).hexdigest()) for u, p in payloads.items()
+    }
+    broken = {
+        "none.zip": ([("pages/x", [b""])], "no archive"),
+        "other.zip": ([("archive/x.warc.gz", one), ("indexes/index.cdxj", [f"b {line}".encode()])], "not in the package"),
+        "which.zip": ([*members[:2], ("indexes/i.cdxj", [b'b {"offset": 0, "length": 1}'])], "which of 2 archives"),
+        "cut.zip": ([("archive/x.warc", [plain[0][:-9]])], "ends inside"),
+    }
+    for name, (held, message) in broken.items():
+        (tmp_path / name).write_bytes(package(held))
+        with pytest.raises(Exception, match=message):
+            read(name)
+
+
 def test_events_fold_into_final_messages(spark):
     log = [
         (1, 0, 10, "start", "user", None), (1, 1, 10, "delta", None, "he"), (1, 2, 10, "delta", None, "llo"),
