@@ -13,8 +13,8 @@ A gram whose distinct pieces are more than a shard is not sorted: its strings ar
 
 Documents equal to one with a smaller id are settled before all this and take no part in it.
 
-Defined results: NULL texts are empty; texts under `span` bytes lose nothing; rows repeated whole, having
-one id, take nothing from each other; rows with a NULL id lose nothing and take nothing; an
+Defined results: NULL texts are empty; texts under `span` bytes lose nothing; rows of one id take
+nothing from each other, and different texts under one id are told apart; rows with a NULL id lose nothing and take nothing; an
 empty table gives no rows. Texts are bytes: a removed run may end inside a character.
 """
 
@@ -212,14 +212,15 @@ def shared_grams(texts: DataFrame, span: int, gram: int, buckets: int) -> DataFr
 
 
 def pieces_of(texts: DataFrame, span: int, gram: int) -> DataFrame:
-    """key, piece, name, doc_id, start: the stretches around shared grams.
+    """key, piece, name, doc_id, twin, start: the stretches around shared grams.
 
-    Takes doc_id, data and `shared`, the document's shared keys.
+    Takes doc_id, twin, data and `shared`, the document's shared keys.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids, texts_ = batch["doc_id"].to_pylist(), _bytes_of(batch["data"])
+            twins = batch["twin"].to_pylist()
             wanted = [
                 np.uint64(i) << np.uint64(40) | unpack(keys)
                 for i, keys in enumerate(batch["shared"].to_pylist())
@@ -238,11 +239,12 @@ def pieces_of(texts: DataFrame, span: int, gram: int) -> DataFrame:
                         "piece": pa.array(parts, pa.binary()),
                         "name": pa.array([xxhash.xxh3_128_digest(p) for p in parts], pa.binary()),
                         "doc_id": pa.array([ids[i] for i in number[hit]], pa.int64()),
+                        "twin": pa.array([twins[i] for i in number[hit]], pa.int64()),
                         "start": pa.array(start[hit], pa.int64()),
                     }
                 )
 
-    return texts.mapInArrow(cut, "key long, piece binary, name binary, doc_id long, start long")
+    return texts.mapInArrow(cut, "key long, piece binary, name binary, doc_id long, twin long, start long")
 
 
 def sorted_shards(distinct: DataFrame, span: int, shards: int, memory: int) -> DataFrame:
@@ -330,15 +332,15 @@ def lost_ranges(distinct: DataFrame, span: int, shard_bytes: int, memory: int) -
 
 
 def repeated_spans(docs: DataFrame, span: int, gram: int, shard_bytes: int, memory: int) -> DataFrame:
-    """doc_id, spans: where documents lose bytes, as (start, length) pairs that may overlap."""
-    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "data")
+    """doc_id, twin, spans: where documents lose bytes, as (start, length) pairs that may overlap."""
+    texts = docs.filter("doc_id IS NOT NULL").select("doc_id", "twin", "data")
     texts = texts.filter(F.octet_length("data") >= span)
     total = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     buckets = int(max(8, total // (16 << 20)))
     shared = shared_grams(texts, span, gram, buckets).toDF("_id", "shared")
     shared = staged(shared, "shared-grams")
     wanted = texts.join(shared, F.col("doc_id") == F.col("_id"))
-    pieces = staged(pieces_of(wanted.select("doc_id", "data", "shared"), span, gram), "pieces")
+    pieces = staged(pieces_of(wanted.select("doc_id", "twin", "data", "shared"), span, gram), "pieces")
 
     names = pieces.groupBy("name").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("most"), F.min("key").alias("key")
@@ -365,14 +367,14 @@ def repeated_spans(docs: DataFrame, span: int, gram: int, shard_bytes: int, memo
     # Written down, so that the join below shuffles both sides and AQE can split hot pieces.
     verdicts = staged(verdicts.select(F.col("name").alias("_name"), "first", "_ranges"), "verdicts")
     held = pieces.select(
-        "name", "doc_id", "start", F.octet_length("piece").cast("long").alias("length")
+        "name", "doc_id", "twin", "start", F.octet_length("piece").cast("long").alias("length")
     )
     whole = F.array(F.struct(F.lit(0).cast("long").alias("offset"), "length"))
     ranges = F.when(F.col("doc_id") > F.col("first"), whole).otherwise(F.col("_ranges"))
     return (
         held.join(verdicts, F.col("name") == F.col("_name"))
-        .select("doc_id", "start", F.explode(ranges).alias("_r"))
-        .groupBy("doc_id")
+        .select("doc_id", "twin", "start", F.explode(ranges).alias("_r"))
+        .groupBy("doc_id", "twin")
         .agg(
             F.collect_list(
                 F.struct((F.col("start") + F.col("_r.offset")).alias("start"), F.col("_r.length"))
@@ -425,10 +427,16 @@ def remove_repeats(
     least = broadcast_if_small(staged(least.filter("_least < _most").drop("_most"), "equal-texts"))
     copy = F.coalesce(F.col("doc_id") > F.col("_least"), F.lit(False))
     marked = marked.join(least, "_sha", "left").withColumn("copy", copy).drop("_sha", "_least")
+    # `twin` is 0, but where an id has several texts: there it is the text's hash.
+    text = F.xxhash64("data")
+    several = rows.groupBy(F.col("doc_id").alias("_twins")).agg(F.min(text).alias("_a"), F.max(text).alias("_b"))
+    several = broadcast_if_small(staged(several.filter("_a < _b").select("_twins"), "twins"))
+    twin = F.when(F.col("_twins").isNotNull(), text).otherwise(F.lit(0).cast("long"))
+    marked = marked.join(several, F.col("doc_id") == F.col("_twins"), "left").withColumn("twin", twin).drop("_twins")
     spans = repeated_spans(marked.filter("NOT copy"), span, gram, shard_bytes, memory)
-    spans = staged(spans.withColumnRenamed("doc_id", "_id"), "spans")
+    spans = staged(spans.withColumnsRenamed({"doc_id": "_id", "twin": "_twin"}), "spans")
     return (
-        marked.join(spans, F.col("doc_id") == F.col("_id"), "left")
+        marked.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("twin") == F.col("_twin")), "left")
         .select("doc_id", "data", "copy", "spans")
         .mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     )

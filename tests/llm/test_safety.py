@@ -4,6 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
+from siftspark.llm import suffix_dedup
 from siftspark.llm.jaccard import keep_representatives, similarity_components
 from siftspark.llm.secrets import redact
 
@@ -86,3 +87,17 @@ def test_a_column_named_score_is_replaced(spark):
     out = score_quality(df, weights)
     assert out.columns == ["doc_id", "text", "w", "score"] and {r["score"] for r in out.collect()} == {0.5}
     assert "p" in score_quality(df, weights, name="p").columns and "Score" in score_quality(df, weights, name="p").columns
+
+
+def test_suffix_dedup_tells_texts_under_one_id_apart(spark):
+    shared = "this passage of more than fifty bytes stands in several of the documents here"
+    alone = "".join(secret(i) for i in range(4))
+    rows = [(1, shared), (7, alone), (7, f"before {shared} after"), (7, f"{alone} {alone[::-1]}"), (8, alone), (9, alone[::-1] + "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], bytes(r["kept"]).decode()) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert found == {
+        (1, shared), (7, alone), (7, "before  after"), (7, f"{alone} {alone[::-1]}"), (8, ""), (9, "x"),
+    }
+    assert {tuple(r) for r in suffix_dedup.remove_repeats(docs.repartition(3)).collect()} == {
+        tuple(r) for r in suffix_dedup.remove_repeats(docs).collect()
+    }
