@@ -2,7 +2,7 @@
 
 Two histograms describe a text: characters by class, and words by the commonest words of the
 language (all other words in one class). References are the sums over all documents of a language,
-so they are counted from the corpus, not assumed. The Jensen-Shannon distance (base 2, 0 to 1) of a
+so they are counted from the corpus, not assumed; any word may be a common one. The Jensen-Shannon distance (base 2, 0 to 1) of a
 document from its reference is held against a limit, but only for texts long enough for a
 histogram to mean something. Everything is SQL on one row's own text; rows are exploded
 only to count words per language, and that count is added up before its shuffle.
@@ -15,6 +15,8 @@ its own; repeated rows are judged alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,7 +55,7 @@ def place_bits(words: Column) -> Column:
     return F.length(F.bin(F.size(words)))
 
 
-def packed_windows(words: Column) -> Column:
+def packed_windows(words: Column, hashed: Callable[..., Column] = F.xxhash64) -> Column:
     """The 3-word windows of a text in which two hash alike, none of any other text.
 
     A window is one number: its hash above, its place below, with as many bits for the
@@ -71,7 +73,7 @@ def packed_windows(words: Column) -> Column:
         return F.when(twice, packed).otherwise(F.array().cast("array<bigint>"))
 
     all_windows = F.transform(
-        words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2))
+        words, lambda w, i: hashed(w, F.get(words, i + 1), F.get(words, i + 2))
     )
     whole = F.slice(all_windows, 1, F.greatest(F.size(words) - 2, F.lit(0)))
     return F.coalesce(let(whole, of_windows), F.array().cast("array<bigint>"))
@@ -81,25 +83,56 @@ def repeated_words(words: Column, windows: Column) -> Column:
     """Words under windows that the text has twice or more, first ones included, each word once.
 
     `windows` are the packed windows in order; neighbours of one hash count if their words agree.
+    Should the part of the hash that is kept be one for different windows of a text, the windows
+    themselves are sorted instead.
     """
 
+    def exact() -> Column:
+        named = F.transform(
+            F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
+            lambda w, i: F.struct(
+                F.concat_ws(" ", w, F.get(words, i + 1), F.get(words, i + 2)).alias("window"),
+                i.alias("place"),
+            ),
+        )
+
+        def of_sorted(rows: Column) -> Column:
+            def same(x: Column, i: Column) -> Column:
+                other = F.get(rows, i)
+                return F.coalesce(x["window"] == other["window"], F.lit(False))
+
+            twins = F.filter(rows, lambda x, i: same(x, i - 1) | same(x, i + 1))
+            return let(F.transform(twins, lambda x: x["place"]), under)
+
+        return let(F.sort_array(named), of_sorted)
+
     def of_bits(bits: Column) -> Column:
         low = _shift("shiftleft", F.lit(1).cast("long"), bits) - 1
 
         def place(x: Column) -> Column:
             return x.bitwiseAND(low).cast("int")
 
+        def alike(x: Column, y: Column) -> Column:
+            return _shift("shiftrightunsigned", x.bitwiseXOR(y), bits) == 0
+
+        def agree(x: Column, y: Column) -> Column:
+            same = [F.get(words, place(x) + k) == F.get(words, place(y) + k) for k in range(3)]
+            return same[0] & same[1] & same[2]
+
         def twin(x: Column, y: Column) -> Column:
             # Outside the array there is no neighbour, and NULL is no twin.
-            agree = [F.get(words, place(x) + k) == F.get(words, place(y) + k) for k in range(3)]
-            alike = _shift("shiftrightunsigned", x.bitwiseXOR(y), bits) == 0
-            return alike & agree[0] & agree[1] & agree[2]
+            return alike(x, y) & agree(x, y)
+
+        def mixed(x: Column, i: Column) -> Column:
+            before = F.get(windows, i - 1)
+            return alike(x, before) & ~agree(x, before)
 
         twins = F.filter(
             windows,
             lambda x, i: twin(x, F.get(windows, i - 1)) | twin(x, F.get(windows, i + 1)),
         )
-        return let(F.transform(twins, place), under)
+        known = let(F.transform(twins, place), under)
+        return F.when(F.size(F.filter(windows, mixed)) > 0, exact()).otherwise(known)
 
     def under(places: Column) -> Column:
         second = F.transform(places, lambda i: i + 1)
@@ -110,7 +143,7 @@ def repeated_words(words: Column, windows: Column) -> Column:
 
 
 def measures(
-    text: Column, words: Column, windows: Column, common: Column, n_common: int, letters: int
+    text: Column, words: Column, windows: Column, common: Column, n_common: int
 ) -> Column:
     """The base measures, class counts and word histogram of a text, as one struct.
 
@@ -130,20 +163,18 @@ def measures(
             .alias("n_dup_lines"),
             repeated_words(words, windows).cast("long").alias("n_repeat_words"),
             class_counts(text, word_chars).alias("classes"),
-            word_histogram(words, common, n_common, letters).alias("histogram"),
+            word_histogram(words, common, n_common).alias("histogram"),
         )
 
     return let(F.length(F.array_join(words, "")).cast("long"), of_chars)
 
 
-def common_words(docs: DataFrame, common: int, letters: int) -> DataFrame:
-    """_lang, common: the commonest words of up to `letters` letters in all texts of a language.
+def common_words(docs: DataFrame, common: int) -> DataFrame:
+    """_lang, common: the commonest words in all texts of a language.
 
-    Words so short are the function words of a language, and so few that each task adds
-    their counts up before the shuffle.
+    Each task adds up the counts of its words before the shuffle.
     """
-    short = F.filter(words_of(text_of()), lambda w: F.length(w) <= letters)
-    words = docs.select(F.col("lang").alias("_lang"), F.explode(short).alias("_word"))
+    words = docs.select(F.col("lang").alias("_lang"), F.explode(words_of(text_of())).alias("_word"))
     counts = words.groupBy("_lang", "_word").count()
     # Ranked in 64 parts first, so that a language's words don't meet in one task.
     counts = counts.withColumn("_part", F.pmod(F.xxhash64("_word"), F.lit(64)))
@@ -156,13 +187,16 @@ def common_words(docs: DataFrame, common: int, letters: int) -> DataFrame:
     return counts.groupBy("_lang").agg(F.transform(top, lambda t: t["_word"]).alias("common"))
 
 
-def word_histogram(words: Column, common: Column, n_common: int, letters: int) -> Column:
+def word_histogram(words: Column, common: Column, n_common: int) -> Column:
     """Words by their place in the language's common words, other words first.
 
+    Words longer than every common word are passed over at once.
+
     Places of common words are sorted beside one more of each place and one beyond, so a
     place's words are the steps between two first occurrences.
     """
-    short = F.filter(words, lambda w: F.length(w) <= letters)
+    longest = F.coalesce(F.array_max(F.transform(common, F.length)), F.lit(0))
+    short = let(longest, lambda n: F.filter(words, lambda w: F.length(w) <= n))
     places = F.transform(
         short, lambda w: F.coalesce(F.array_position(common, w), F.lit(0).cast("long"))
     )
@@ -222,7 +256,6 @@ def judge_quality(
     min_words: int = 50,
     repeat_percent: int = 50,
     common: int = 20,
-    letters: int = 4,
     max_class_distance: float = 0.3,
     max_word_distance: float = 0.36,
     min_chars: int = 250,
@@ -235,13 +268,13 @@ def judge_quality(
     """
     rows = docs.select("doc_id", "lang", "text")
     same = F.col("lang").eqNullSafe(F.col("_lang"))
-    known = broadcast_if_small(staged(common_words(rows, common, letters), "common-words"))
+    known = broadcast_if_small(staged(common_words(rows, common), "common-words"))
     texts = rows.join(known, same, "left").select("doc_id", "lang", "common", text_of().alias("_t"))
     texts = texts.withColumn("_words", let(F.col("_t"), words_of))
     texts = texts.withColumn("_windows", F.sort_array(packed_windows(F.col("_words"))))
     inputs = [F.col(c) for c in ("_t", "_words", "_windows", "common")]
     measured = staged(
-        texts.select("doc_id", "lang", measures(*inputs, common, letters).alias("_m")).select(
+        texts.select("doc_id", "lang", measures(*inputs, common).alias("_m")).select(
             "doc_id", "lang", "_m.*"
         ),
         "measures",
