@@ -35,7 +35,7 @@ from siftspark.llm.jaccard import pack, unpack
 from siftspark.operators.scope import broadcast_if_small
 
 GRAM = 24
-CHUNK = 2 << 20  # bytes looked at together
+CHUNK = 1 << 20  # bytes looked at together
 PLACE_BITS = np.uint64(24)
 PLACE_MASK = np.uint64((1 << 24) - 1)
 BASE = np.uint64(0x9E3779B185EBCA87)
@@ -421,18 +421,20 @@ def remove_repeats(
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("data"))
     marked = rows.withColumn("_sha", F.sha2("data", 256))
-    least = marked.filter("doc_id IS NOT NULL").groupBy("_sha").agg(
+    # Written down, so that whole texts are read once for both lists.
+    digests = staged(marked.filter("doc_id IS NOT NULL").select("doc_id", "_sha"), "digests")
+    least = digests.groupBy("_sha").agg(
         F.min("doc_id").alias("_least"), F.max("doc_id").alias("_most")
     )
     least = broadcast_if_small(staged(least.filter("_least < _most").drop("_most"), "equal-texts"))
     copy = F.coalesce(F.col("doc_id") > F.col("_least"), F.lit(False))
-    marked = marked.join(least, "_sha", "left").withColumn("copy", copy).drop("_sha", "_least")
+    marked = marked.join(least, "_sha", "left").withColumn("copy", copy)
     # `twin` is 0, but where an id has several texts: there it is the text's hash.
-    text = F.xxhash64("data")
-    several = rows.groupBy(F.col("doc_id").alias("_twins")).agg(F.min(text).alias("_a"), F.max(text).alias("_b"))
+    several = digests.groupBy(F.col("doc_id").alias("_twins")).agg(F.min("_sha").alias("_a"), F.max("_sha").alias("_b"))
     several = broadcast_if_small(staged(several.filter("_a < _b").select("_twins"), "twins"))
-    twin = F.when(F.col("_twins").isNotNull(), text).otherwise(F.lit(0).cast("long"))
-    marked = marked.join(several, F.col("doc_id") == F.col("_twins"), "left").withColumn("twin", twin).drop("_twins")
+    twin = F.when(F.col("_twins").isNotNull(), F.xxhash64("_sha")).otherwise(F.lit(0).cast("long"))
+    marked = marked.join(several, F.col("doc_id") == F.col("_twins"), "left").withColumn("twin", twin)
+    marked = marked.select("doc_id", "twin", "copy", "data")
     spans = repeated_spans(marked.filter("NOT copy"), span, gram, shard_bytes, memory)
     spans = staged(spans.withColumnsRenamed({"doc_id": "_id", "twin": "_twin"}), "spans")
     return (
