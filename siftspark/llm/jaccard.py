@@ -4,11 +4,20 @@ Distances between unrelated texts are all 1, so document pivots alone would leav
 with everything in it. The first pivots are therefore single shingles: a document lies in the
 regions of its rarest shingles, as many of them as guarantee that two documents at distance 0.2 or
 less meet in one (a document within 0.2 lacks at most a fifth of the shingles, so it can't miss
-that many). Inside a region documents share text and distances tell something. There a document is
-the pivot: the others' exact distances to it are computed, those within 0.2 join its component,
-and by the triangle inequality two others can only be linked if their distances to it differ by at
-most 0.2. What is left in two components goes on to the next round with another pivot, and
-what the last pivot leaves is compared pair by pair. Regions that lie in one component are done.
+that many). Inside a region documents share text and distances tell something. There a central document is
+the first pivot: the others' exact distances to it are computed, and those within 0.2 join its
+component. What is left in two components goes on to the next round with another pivot.
+
+Regions that these rounds leave open are cut into Voronoi cells, and cells that still hold too many
+pairs are cut again with new pivots. Pivots are members of the cell, chosen by hash, the more the
+larger the cell is; every member's exact distance to each of them is computed. Its home is the cell of
+its nearest pivot. It is copied into the cell of another pivot if a link could cross the border: only
+if that pivot is at most 0.4 further away than its own (a link of 0.2 changes both distances by 0.2 at
+most), and within 0.2 of the distances that the cell's own members have. So of two linked documents
+each is met in the other's home cell, and pairs are compared only there: in one cell, one of them at
+home, their distances to its pivot differing by at most 0.2. A cut that would not save a quarter of
+the pairs, or more than double the members, is not made: that cell's pairs are compared as they are.
+Regions and cells in one component are done.
 
 Only an ordering of shingles is shared by all tasks, found over all documents: counts of the most
 frequent ones, and of all others that occur a few times a bitmap of their hashes, at most 32 MB.
@@ -28,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftspark.llm.common import slices, staged
@@ -309,11 +318,13 @@ def similarity_components(
     order_size: int = 1 << 17,
     bucket_shingles: int = 1 << 21,
     hot: int = 5000,
+    partners: int = 32,
 ) -> DataFrame:
     """row, doc_id, n_shingles, component_id, class_id: one row per document.
 
     `class_id` is the smallest id with the same shingles, `component_id` the smallest within
-    links of 100 * intersection >= percent * union.
+    links of 100 * intersection >= percent * union. Regions are cut into Voronoi cells as long as
+    a member has more than `partners` others to be compared with, on average.
     """
     numbered = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -337,32 +348,28 @@ def similarity_components(
     members = staged(regions(single, order, buckets, percent, hot), "regions")
     members = staged(_with_centres(members), "centred")
 
-    labels, links, checked, tried = None, None, None, None
-    for turn in range(rounds + 1):
-        pivots = None
-        if turn < rounds:
-            pivots = staged(_pivots(members, labels, tried, turn), "pivots-of-regions")
-            used = pivots.select("region", "_doc_id")
-            tried = used if tried is None else tried.unionByName(used)
-        pairs = staged(_open_pairs(members, labels, checked, percent, pivots), "pairs")
-        if pairs.isEmpty():
-            # Pivots that have no one to meet say nothing about the pairs of other documents.
-            continue
-        sizes = staged(verify(pairs, single, percent), "verified")
-        found = sizes.filter(F.col("both") * 100 >= F.col("either") * percent).select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        checked = sizes if checked is None else checked.unionByName(sizes)
-        labels = staged(components(links), "labels")
+    known = Known(single, percent)
+    tried = None
+    for turn in range(rounds):
+        pivots = staged(_pivots(members, known.labels, tried, turn), "pivots-of-regions")
+        used = pivots.select("region", "_doc_id")
+        tried = used if tried is None else tried.unionByName(used)
+        # Pivots that have no one to meet say nothing about the pairs of other documents.
+        known.compare(_pivot_pairs(members, known.labels, percent, pivots))
+    cells = staged(_first_cells(members, known), "cells")
+    cells = _cut(cells, known, partners)
+    known.compare(_cell_pairs(cells, known))
+    labels = known.labels
     order.unpersist()
 
-    known = sets.join(classes.select("set_hash", "class_id"), "set_hash", "left")
+    rows = sets.join(classes.select("set_hash", "class_id"), "set_hash", "left")
     if labels is None:
-        known = known.withColumn("component", F.lit(None).cast("long"))
+        rows = rows.withColumn("component", F.lit(None).cast("long"))
     else:
-        known = known.join(
+        rows = rows.join(
             labels.withColumnRenamed("doc_id", "_doc"), F.col("class_id") == F.col("_doc"), "left"
         )
-    return known.select(
+    return rows.select(
         "doc_id",
         "n_shingles",
         F.coalesce("component", "class_id", "doc_id").alias("component_id"),
@@ -419,38 +426,163 @@ def _pivots(
     return picked.select("region", *[F.col(f"_p.{c}").alias(f"_{c}") for c in columns])
 
 
-def _open_pairs(
-    members: DataFrame,
-    labels: DataFrame | None,
-    checked: DataFrame | None,
-    percent: int,
-    pivots: DataFrame | None,
+def _pivot_pairs(
+    members: DataFrame, labels: DataFrame | None, percent: int, pivots: DataFrame
 ) -> DataFrame:
-    """Pairs (a, b), a < b, that share a region but no component and were not compared yet.
+    """Pairs of a region's pivot and its members of other components, as sizes and places allow."""
+    met = _labelled(members, labels).join(pivots, "region").filter("component <> _component")
+    return _ordered(met.filter(_may_link(percent)), "_doc_id")
 
-    In a round these are the region's pivot and the others. Without `pivots` they are all pairs that
-    sizes, places and the distances to the centre allow.
-    """
-    if pivots is None:
-        rows = _with_distances(_open_rows(members, labels), checked)
-        columns = ["doc_id", "n", "place", "component", "distance"]
-        others = rows.select("region", *[F.col(c).alias(f"_{c}") for c in columns])
-    else:
-        rows, others = _labelled(members, labels), pivots
-    met = rows.join(others, "region").filter("component <> _component")
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and places let n, place and _n, _place belong to a link."""
     # A link shares 100 * both >= percent * either, so both >= percent / (100 + percent) of the sum.
     rest = F.least(F.col("n") - F.col("place"), F.col("_n") - F.col("_place"))
-    met = met.filter(F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent)
-    met = met.filter(rest * (100 + percent) >= (F.col("n") + F.col("_n")) * percent)
-    if pivots is None:
-        apart = F.abs(F.col("distance") - F.col("_distance")) > 1 - percent / 100 + 1e-9
-        met = met.filter("doc_id < _doc_id").filter(~F.coalesce(apart, F.lit(False)))
-    pairs = met.select(
-        F.least("doc_id", "_doc_id").alias("a"), F.greatest("doc_id", "_doc_id").alias("b")
-    ).distinct()
-    if checked is None:
-        return pairs
-    return pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    sizes = F.least("n", "_n") * 100 >= F.greatest("n", "_n") * percent
+    return sizes & (rest * (100 + percent) >= (F.col("n") + F.col("_n")) * percent)
+
+
+def _ordered(met: DataFrame, other: str) -> DataFrame:
+    """The distinct pairs (a, b), a < b, of doc_id and the other column."""
+    return met.select(F.least("doc_id", other).alias("a"), F.greatest("doc_id", other).alias("b")).distinct()
+
+
+class Known:
+    """What comparisons have shown: `checked` pairs with their sizes, `links`, and their `labels`."""
+
+    def __init__(self, docs: DataFrame, percent: int):
+        self.docs, self.percent = docs, percent
+        self.checked = self.links = self.labels = None
+
+    def compare(self, pairs: DataFrame) -> None:
+        """Compare the pairs (a, b) that were not yet, and label the documents anew."""
+        if self.checked is not None:
+            pairs = pairs.join(self.checked.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = staged(pairs, "pairs")
+        if pairs.isEmpty():
+            return
+        sizes = staged(verify(pairs, self.docs, self.percent), "verified")
+        found = sizes.filter(F.col("both") * 100 >= F.col("either") * self.percent).select("a", "b")
+        self.links = found if self.links is None else self.links.unionByName(found)
+        self.checked = sizes if self.checked is None else self.checked.unionByName(sizes)
+        self.labels = staged(components(self.links), "labels")
+
+    @property
+    def reach(self) -> float:
+        """The largest distance of a link, a little more than it is."""
+        return 1 - self.percent / 100 + 1e-9
+
+    def with_distances(self, rows: DataFrame, pivot: str) -> DataFrame:
+        """The rows with `distance` from doc_id to the column, NULL where it was not computed."""
+        own = F.when(F.col("doc_id") == F.col(pivot), F.lit(0.0))
+        if self.checked is None:
+            return rows.withColumn("distance", own)
+        measured = self.checked.select(
+            F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("both") / F.col("either")).alias("_d")
+        )
+        pair = (F.least("doc_id", pivot) == F.col("_a")) & (F.greatest("doc_id", pivot) == F.col("_b"))
+        found = rows.join(measured, pair, "left").withColumn("distance", F.coalesce(own, "_d"))
+        return found.drop("_a", "_b", "_d")
+
+
+def _first_cells(members: DataFrame, known: Known) -> DataFrame:
+    """Each open region as one cell, all members at home: cell, doc_id, n, place, home, distance, settled.
+
+    `distance` is that to the cell's pivot, here the region's centre, and NULL if unknown; a `settled`
+    cell is not cut any more.
+    """
+    rows = known.with_distances(_open_rows(members, known.labels), "centre")
+    home, settled = F.lit(True).alias("home"), F.lit(False).alias("settled")
+    return rows.select(F.col("region").alias("cell"), "doc_id", "n", "place", home, "distance", settled)
+
+
+def _wide(cells: DataFrame, known: Known, partners: int) -> DataFrame:
+    """Cells to be cut: cell, `size`, members at home `homes`, and the number of pivots `k`."""
+    parts = _labelled(cells.filter("NOT settled"), known.labels).groupBy("cell", "component").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("home").alias("_h")
+    )
+    whole = parts.groupBy("cell").agg(
+        F.sum("_n").alias("size"),
+        F.sum("_h").alias("homes"),
+        F.sum(F.col("_n") * F.col("_h")).alias("_same"),
+    )
+    # Where all are at home, each pair between components is in this twice.
+    many = F.col("size") * F.col("homes") - F.col("_same") > 2 * partners * F.col("size")
+    pivots = F.least(F.lit(max(2, partners // 2)), F.ceil(F.col("size") / partners) + 1)
+    return whole.filter(many).select("cell", "size", "homes", pivots.alias("k"))
+
+
+def _cut(cells: DataFrame, known: Known, partners: int) -> DataFrame:
+    """The cells after wide ones were cut, until none is left that a cut makes smaller."""
+    level = 0
+    while True:
+        wide = staged(_wide(cells, known, partners), "wide-cells")
+        if wide.isEmpty():
+            return cells
+        rows = cells.join(wide, "cell")
+        mixed = F.xxhash64("doc_id", "cell", F.lit(level))
+        pick = F.min(F.struct(mixed, F.col("doc_id").alias("pivot"))).alias("_p")
+        pivots = rows.filter("home").groupBy("cell", F.pmod(mixed, "k").alias("_slot")).agg(pick)
+        pivots = staged(pivots.select("cell", F.col("_p.pivot").alias("pivot")), "cell-pivots")
+        near = rows.join(pivots, "cell")
+        known.compare(_ordered(near.filter("doc_id <> pivot"), "pivot"))
+        cut = staged(_voronoi(known.with_distances(near, "pivot"), known.reach, level), "cut")
+        good = staged(_worth(cut, wide), "worth-cutting")
+        others = cells.join(wide.select("cell"), "cell", "left_anti")
+        whole = cells.join(wide.select("cell"), "cell", "left_semi").join(good, "cell", "left_anti")
+        parts = cut.join(good.withColumnRenamed("cell", "parent"), "parent", "left_semi").drop("parent")
+        whole = whole.withColumn("settled", F.lit(True))
+        cells = staged(others.unionByName(whole).unionByName(parts), "cells")
+        level += 1
+
+
+def _voronoi(near: DataFrame, reach: float, level: int) -> DataFrame:
+    """The members of new cells with their `parent`, from members with distances to each of its pivots."""
+    each = near.groupBy("cell", "doc_id", "n", "place", "home").agg(
+        F.collect_list(F.struct("distance", "pivot")).alias("_all")  # as many as the cell has pivots
+    )
+    each = each.withColumn("_best", F.array_min("_all"))
+    at = each.withColumn("_at", F.explode("_all")).filter(
+        F.col("_at.distance") <= F.col("_best.distance") + 2 * reach
+    )
+    at = at.select(
+        F.col("cell").alias("parent"),
+        F.xxhash64("cell", "_at.pivot", F.lit(level)).alias("cell"),
+        "doc_id",
+        "n",
+        "place",
+        (F.col("home") & (F.col("_at.pivot") == F.col("_best.pivot"))).alias("home"),
+        F.col("_at.distance").alias("distance"),
+        F.lit(False).alias("settled"),
+    )
+    own = at.filter("home").groupBy("cell").agg(
+        F.min("distance").alias("_low"), F.max("distance").alias("_high")
+    )
+    in_reach = F.col("distance").between(F.col("_low") - reach, F.col("_high") + reach)
+    return at.join(own, "cell").filter(in_reach).drop("_low", "_high")
+
+
+def _worth(cut: DataFrame, wide: DataFrame) -> DataFrame:
+    """The cells whose cut saves a quarter of the pairs and doubles the members at most."""
+    sizes = cut.groupBy("parent", "cell").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("home").alias("_h")
+    )
+    after = sizes.groupBy(F.col("parent").alias("cell")).agg(
+        F.sum("_n").alias("_members"), F.sum(F.col("_n") * F.col("_h")).alias("_pairs")
+    )
+    fewer = F.col("_pairs") * 4 <= F.col("size") * F.col("homes") * 3
+    return after.join(wide, "cell").filter(fewer).filter("_members <= 2 * size").select("cell")
+
+
+def _cell_pairs(cells: DataFrame, known: Known) -> DataFrame:
+    """Pairs of a cell, one of them at home, that may be links between components."""
+    rows = _labelled(cells, known.labels)
+    columns = ["doc_id", "n", "place", "component", "home", "distance"]
+    others = rows.select("cell", *[F.col(c).alias(f"_{c}") for c in columns])
+    met = rows.join(others, "cell").filter("doc_id < _doc_id AND component <> _component")
+    apart = F.abs(F.col("distance") - F.col("_distance")) > known.reach
+    met = met.filter("home OR _home").filter(_may_link(known.percent))
+    return _ordered(met.filter(~F.coalesce(apart, F.lit(False))), "_doc_id")
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -464,22 +596,6 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     )
 
 
-def _with_distances(rows: DataFrame, checked: DataFrame | None) -> DataFrame:
-    """The rows with `distance` to the region's centre, NULL where it was not computed."""
-    own = F.when(F.col("doc_id") == F.col("centre"), F.lit(0.0))
-    if checked is None:
-        return rows.withColumn("distance", own)
-    measured = checked.select(
-        F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("both") / F.col("either")).alias("_d")
-    )
-    pair = (F.least("doc_id", "centre") == F.col("_a")) & (F.greatest("doc_id", "centre") == F.col("_b"))
-    return (
-        rows.join(measured, pair, "left")
-        .withColumn("distance", F.coalesce(own, "_d"))
-        .drop("_a", "_b", "_d")
-    )
-
-
 def keep_representatives(docs: DataFrame, **options) -> DataFrame:
     """The document with the smallest id of each component, and every document without words.
 
