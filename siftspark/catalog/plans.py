@@ -15,10 +15,13 @@ from siftspark.plans import (
     build_silver,
     explode_category,
     land_raw,
+    queue_inputs,
     read_landed,
+    read_ledger,
     read_quarantine,
     read_versions,
     refine,
+    refine_pending,
     replace_chunks,
 )
 from siftspark.registry import Registry, category, default_registry
@@ -197,6 +200,25 @@ def refine_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, layout.silver("document"), silver, BUCKETS).join(versions, "experiment")
 
 
+@query(
+    """SELECT CAST(doc_id AS VARCHAR) AS experiment, COALESCE(lang <> 'fr', TRUE) AS finished
+    FROM documents
+    UNION ALL SELECT c_name AS experiment, FALSE AS finished FROM customer"""
+)
+def refine_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of ragged (French) texts, and of customers, of whom there are no texts, stay open."""
+    layout = Layout(work_path(spark, "archive"), BUCKETS)
+    documents = table(spark, sf_dir, "documents")
+    ids = documents.select(F.col("doc_id").cast("string").alias("experiment"))
+    queue_inputs(ids.unionByName(table(spark, sf_dir, "customer").select(F.col("c_name").alias("experiment"))), layout)
+    ragged = F.when(F.col("lang") == "fr", F.col("lang"))
+    refine_pending(sourced_texts(documents, ragged), layout, SOURCED, "run1")
+    ledger = read_ledger(spark, layout)
+    # Names of customers come in the upper case of the ledger.
+    name = F.regexp_replace("experiment", "^CUSTOMER", "Customer").alias("experiment")
+    return ledger.select(name, F.col("finished_ts").isNotNull().alias("finished"))
+
+
 @query(
     """SELECT CAST(doc_id AS VARCHAR) AS experiment, lang,
       CASE WHEN lang IN ('de', 'fr') THEN 'second' ELSE source END AS source

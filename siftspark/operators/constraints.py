@@ -27,6 +27,16 @@ def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df
 
 
+def assert_present(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The same rows; raises and names the columns if one that must be filled has NULLs."""
+    if columns:
+        missing = null_violations(df, columns).filter("n_null > 0").collect()  # a row per column at most
+        if missing:
+            shown = ", ".join(f"{row['column']} ({row['n_null']} rows)" for row in missing)
+            raise ValueError(f"NULL in required columns: {shown}")
+    return df
+
+
 def null_violations(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row (column, n_null) per required column, from a single pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -8,6 +8,7 @@ from siftspark.plans.ingest import (
     record_versions,
 )
 from siftspark.plans.layout import Layout
+from siftspark.plans.ledger import queue_inputs, read_ledger, refine_pending
 from siftspark.plans.legacy import explode_category
 from siftspark.plans.quarantine import read_quarantine
 from siftspark.plans.refine import refine
@@ -23,12 +24,15 @@ __all__ = [
     "explode_category",
     "land_raw",
     "plan_ingest",
+    "queue_inputs",
     "read_landed",
+    "read_ledger",
     "read_quarantine",
     "read_scope",
     "read_versions",
     "record_versions",
     "refine",
+    "refine_pending",
     "replace_chunks",
     "write_registry",
 ]

@@ -28,6 +28,10 @@ class Layout:
     def arrivals(self, batch: int) -> str:
         return f"{self.root}/arrivals/batch={batch}"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
     @property
     def scope(self) -> str:
         return f"{self.root}/current_run_categories"

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftspark.functions import bucket
+from siftspark.operators.constraints import assert_present, assert_unique
 from siftspark.operators.merge import merge_upsert, replace_by_key
 from siftspark.registry import LINEAGE
 from siftspark.session import discard, entries, publish, read_text
@@ -156,11 +157,20 @@ def merge_into(
     keys: list[str],
     null_safe: bool = False,
     n: int = BUCKETS,
+    checked: bool = False,
 ) -> None:
     """Upsert by key. The keys include the experiment; `source` should be a written table,
-    as it is read for the touched buckets, for its keys and for its rows."""
+    as it is read for the touched buckets, for its keys and for its rows.
+
+    Refused before anything is written: NULL in a column that the schema doesn't let be NULL, and
+    several source rows for one key. With `null_safe`, keys may be incomplete and then stand for
+    several rows, so only the columns are looked at. `checked` says that the caller has made sure."""
     if LINEAGE not in keys:
         raise ValueError(f"merge keys must include {LINEAGE}: {keys}")
+    if not checked:
+        assert_present(source, [f.name for f in schema.fields if not f.nullable])
+        if not null_safe:
+            assert_unique(source, keys)
 
     def combine(current: DataFrame) -> DataFrame:
         return merge_upsert(current, source, keys, null_safe)

@@ -1,4 +1,4 @@
-from siftspark.sources.control import inline_rows, pending_inputs
+from siftspark.sources.control import finish_inputs, inline_rows, pending_inputs
 from siftspark.sources.dictionary import dictionary_links, page_links
 from siftspark.sources.documents import (
     category_documents,
@@ -18,6 +18,7 @@ __all__ = [
     "category_documents",
     "dictionary_links",
     "even_chunks",
+    "finish_inputs",
     "inline_rows",
     "json_path",
     "page_links",

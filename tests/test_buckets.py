@@ -16,7 +16,7 @@ def frame(spark, names, method):
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def filled(spark, tmp_path, n=4):
@@ -128,3 +128,25 @@ def test_a_registry_of_any_size(spark):
 def test_categories_may_share_names_of_attributes():
     registry = Registry({c: category(c, ["experiment", "id"], keys=["experiment"]) for c in "ab"})
     assert registry.names == ["a", "b"]
+
+
+def test_merges_refuse_what_breaks_the_contract(spark, tmp_path):
+    path, names, before = filled(spark, tmp_path)
+    schema = SPEC.silver_schema()
+    keys = ["experiment", "entry_id"]
+    twice = frame(spark, [names[0], names[0]], "SOLUTION NMR")
+    with pytest.raises(ValueError, match="several source rows"):
+        merge_into(spark, path, SPEC.bronze_schema(), twice, keys, n=4)
+    required = [f.name for f in schema.fields if not f.nullable]
+    hole = frame(spark, names[:1], "SOLUTION NMR").withColumn(required[-1], F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match=f"{required[-1]} \\(1 rows\\)"):
+        merge_into(spark, path, schema, hole, keys, n=4)
+    assert rows(read_table(spark, path, SPEC.bronze_schema(), 4)) == before
+
+
+def test_null_safe_merges_take_incomplete_keys(spark, tmp_path):
+    path, names, before = filled(spark, tmp_path)
+    twice = spark.createDataFrame([(names[0], None, "a"), (names[0], None, "b")], SPEC.bronze_schema())
+    for _ in range(2):
+        merge_into(spark, path, SPEC.bronze_schema(), twice, ["experiment", "entry_id"], null_safe=True, n=4)
+    assert len(rows(read_table(spark, path, SPEC.bronze_schema(), 4))) == len(before) + 2

@@ -8,10 +8,13 @@ from siftspark.plans import (
     Layout,
     audit,
     build_bronze,
+    queue_inputs,
     read_landed,
+    read_ledger,
     read_quarantine,
     read_versions,
     refine,
+    refine_pending,
 )
 from siftspark.registry import Registry, default_registry
 from siftspark.sinks import read_table
@@ -269,3 +272,32 @@ def test_chunks_replace_and_uneven_tables_are_set_aside(spark, tmp_path):
     assert held() == expected
     aside = [(r["experiment"], r["reason"], r["document"]) for r in read_quarantine(spark, layout).collect()]
     assert aside == [("1BBB", "ragged", '{"first_row":6,"rows":1}')]
+
+
+def test_the_ledger_is_closed_by_key(spark, tmp_path, monkeypatch):
+    layout = Layout(str(tmp_path), 4)
+    whole = texts(spark, [("1ABC", "e1", cif("1ABC", ENTITY)), ("2ABC", "e1", cif("2ABC", ENTITY[:-20]))])
+    ids = spark.createDataFrame([("1abc",), ("1ABC",), ("2ABC",), ("9ZZZ",), (None,)], "experiment string")
+    queue_inputs(ids, layout)
+
+    def state():
+        return rows(read_ledger(spark, layout).selectExpr("experiment", "finished_ts IS NOT NULL"))
+
+    waiting = [("1ABC", False), ("2ABC", False), ("9ZZZ", False)]
+    assert state() == waiting
+
+    def die(*_, **__):
+        raise RuntimeError("gone")
+
+    with monkeypatch.context() as patched:
+        patched.setitem(refine.__globals__, "record_versions", die)
+        with pytest.raises(RuntimeError):
+            refine_pending(whole, layout, FEW, "run1")
+    assert state() == waiting  # an aborted run closes nothing
+    refine_pending(whole, layout, FEW, "run2")
+    # 2ABC is cut off and set aside, of 9ZZZ there is no text.
+    assert state() == [("1ABC", True), ("2ABC", False), ("9ZZZ", False)]
+    queue_inputs(ids, layout)  # opens 1ABC again, and no second entry of those that wait
+    assert state() == [("1ABC", False), ("1ABC", True), ("2ABC", False), ("9ZZZ", False)]
+    refine_pending(whole, layout, FEW, "run3")  # nothing new: held as offered, so closed
+    assert state() == [("1ABC", True), ("1ABC", True), ("2ABC", False), ("9ZZZ", False)]
