@@ -16,6 +16,7 @@ from siftspark.sinks import (
     drop_table,
     write_category_documents,
     write_raw,
+    write_text_files,
     write_texts,
 )
 from siftspark.sources import (
@@ -149,11 +150,10 @@ def mmcif_chunk_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _line_rows(parse_mmcif_chunks(texts, rows=1000, categories=["line"]))
 
 
-def _mmcif_files(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
+def _mmcif_files(spark: SparkSession, sf_dir: str, gzip: bool = False) -> DataFrame:
     """Every document as an mmCIF file of its own, and the files as a data source."""
     path = work_path(spark, "mmcif-files")
-    texts = document_texts(spark, sf_dir).select("experiment", "text")
-    texts.write.partitionBy("experiment").options(**options).text(path)
+    write_text_files(document_texts(spark, sf_dir), path, gzip=gzip)
     register_mmcif(spark)
     return spark.read.format("mmcif").options(pattern="part-*", namedBy="block", rows="1000").load(path)
 
@@ -170,7 +170,7 @@ def mmcif_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def mmcif_gzip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The single values of gzipped files; a text field runs over many lines."""
-    files = _mmcif_files(spark, sf_dir, compression="gzip")
+    files = _mmcif_files(spark, sf_dir, gzip=True)
     documents = files.filter(F.col("category") == "document")
     return arrays_to_rows(documents, ["lang", "source", "missing", "text"], ["experiment"])
 

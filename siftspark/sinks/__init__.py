@@ -1,4 +1,4 @@
-from siftspark.sinks.documents import write_category_documents, write_raw, write_texts
+from siftspark.sinks.documents import write_category_documents, write_raw, write_text_files, write_texts
 from siftspark.sinks.tables import (
     append_by_name,
     append_positional,
@@ -37,5 +37,6 @@ __all__ = [
     "write_category_documents",
     "write_raw",
     "write_table",
+    "write_text_files",
     "write_texts",
 ]

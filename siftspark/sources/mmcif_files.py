@@ -2,7 +2,7 @@
 
 Rows are chunks of categories, (experiment, file, block, category, first_row, attributes). A task
 reads its files line by line, so a file of any size is neither one string nor one row; small
-files share a task. A filter on `category` reaches the tokeniser, which then keeps no values of other
+files share a task, and each counts `FILE_BYTES` on top of its size for being opened. A filter on `category` reaches the tokeniser, which then keeps no values of other
 categories; one on `experiment` leaves out files, where files name it.
 
 Options: `pattern` of file names (`*.cif*`; `.gz` is unpacked), `rows` per chunk (10000), `taskBytes` of
@@ -28,6 +28,8 @@ from siftspark.sources.mmcif import CHUNK_COLUMNS, CHUNK_NAMES, Chunk, chunk_col
 FORMAT = "mmcif"
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 BATCH_VALUES = 1 << 17
+BATCH_CHARS = 1 << 23
+FILE_BYTES = 1 << 16
 
 
 @dataclass
@@ -89,7 +91,7 @@ class MmcifReader(DataSourceReader):
         store, root = open_store(self.path)
         found = store.get_file_info(fs.FileSelector(root, recursive=True))
         files = sorted(
-            (x.path, x.size)
+            (x.path, x.size + FILE_BYTES)
             for x in found
             if x.is_file
             and fnmatch.fnmatch(x.base_name, self.pattern)
@@ -108,7 +110,7 @@ class MmcifReader(DataSourceReader):
             return
         store, _ = open_store(self.path)
         held: list[tuple[str, Chunk]] = []
-        size = 0
+        size = chars = 0
 
         def batch() -> pa.RecordBatch:
             chunks = [chunk for _, chunk in held]
@@ -120,9 +122,10 @@ class MmcifReader(DataSourceReader):
             for chunk in self._chunks(store, path):
                 held.append((path, chunk))
                 size += sum(map(len, chunk[3].values()))
-                if size >= BATCH_VALUES:
+                chars += sum(sum(map(len, values)) for values in chunk[3].values())
+                if size >= BATCH_VALUES or chars >= BATCH_CHARS:
                     yield batch()
-                    held, size = [], 0
+                    held, size, chars = [], 0, 0
         if held:
             yield batch()
 

@@ -3,11 +3,13 @@ import io
 import json
 import tracemalloc
 
+import pytest
 from pyspark.sql.datasource import EqualTo, In
 
+from siftspark.sinks import write_text_files
 from siftspark.sources import category_documents, even_chunks, parse_mmcif_chunks, read_mmcif, register_mmcif
 from siftspark.sources.mmcif import parse_lines, parse_text
-from siftspark.sources.mmcif_files import MmcifReader, pack
+from siftspark.sources.mmcif_files import BATCH_CHARS, FILE_BYTES, MmcifReader, pack
 from siftspark.registry import default_registry
 
 TEXT = """data_100D
@@ -180,3 +182,35 @@ def test_filters_reach_the_reader(tmp_path):
 def test_small_files_share_a_task():
     assert pack([("a", 5), ("b", 4), ("c", 2), ("d", 99), ("e", 1)], 10) == [["a", "b"], ["c"], ["d"], ["e"]]
     assert pack([], 10) == []
+
+
+def test_many_small_files_are_spread_over_tasks(tmp_path):
+    for i in range(3):
+        (tmp_path / f"{i}.cif").write_text(f"data_{i}\n_a.b 1\n")
+    options = {"path": str(tmp_path), "taskBytes": str(2 * FILE_BYTES + 100)}
+    assert [len(p.paths) for p in MmcifReader(options).partitions()] == [2, 1]
+
+
+def test_long_texts_leave_the_reader_in_bounded_batches(tmp_path):
+    long = "x" * (BATCH_CHARS // 2)
+    for i in range(4):
+        (tmp_path / f"{i}.cif").write_text(f"data_{i}\n_a.b\n;{long}\n;\n")
+    reader = MmcifReader({"path": str(tmp_path)})
+    batches = [b for p in reader.partitions() for b in reader.read(p)]
+    assert [b.num_rows for b in batches] == [2, 2]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_file_for_each_text(spark, tmp_path, monkeypatch, packed):
+    monkeypatch.setattr("siftspark.sinks.documents.FOLDER_FILES", 2)
+    texts = ["data_A\n_a.b 1", "data_A\n_a.b 2", None, "data_\u00c4\n_a.b\n;one\r\ntwo\n;", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    write_text_files(rows, str(tmp_path / "files"), gzip=packed)
+    files = sorted((tmp_path / "files").rglob("part-*"))
+    read = gzip.open if packed else open
+    assert [read(f, "rb").read().decode() for f in files] == [(t or "") + "\n" for t in texts]
+    assert sorted(len(list(f.iterdir())) for f in (tmp_path / "files").iterdir()) == [1, 2, 2]
+    register_mmcif(spark)
+    found = spark.read.format("mmcif").options(pattern="part-*", namedBy="block").load(str(tmp_path / "files"))
+    values = sorted((r["experiment"], r["attributes"]["b"]) for r in found.collect())
+    assert values == [("A", ["1"]), ("A", ["2"]), ("\u00c4", ["one\ntwo"])]
