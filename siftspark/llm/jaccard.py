@@ -17,7 +17,9 @@ most), and within 0.2 of the distances that the cell's own members have. So of t
 each is met in the other's home cell, and pairs are compared only there: in one cell, one of them at
 home, their distances to its pivot differing by at most 0.2. A cut that would not save a quarter of
 the pairs, or more than double the members, is not made: that cell's pairs are compared as they are.
-Regions and cells in one component are done.
+Regions and cells in one component are done. Members meet by bands of their sets' sizes: a member's size
+and the place of the region's shingle say how large a set it can be linked with. What is left of a cell's pairs
+then decides whether it is cut, and pivots are chosen by hash of the id alone, so cells that overlap share them.
 
 Only an ordering of shingles is shared by all tasks, found over all documents: counts of the most
 frequent ones, and of all others that occur a few times a bitmap of their hashes, at most 32 MB.
@@ -31,6 +33,7 @@ table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +51,7 @@ WORDS = 5
 PRIME = np.uint64(0x9E3779B185EBCA87)
 FINAL = np.uint64(0xC2B2AE3D27D4EB4F)
 KEY_BYTES = 5  # of a shingle's hash, where it only orders and meets
+COUNTED = 64  # times the pairs that cells may keep are counted one by one
 LEAST = 3  # occurrences of a shingle from which on the order knows it
 
 
@@ -496,9 +500,24 @@ def _first_cells(members: DataFrame, known: Known) -> DataFrame:
     return rows.select(F.col("region").alias("cell"), "doc_id", "n", "place", home, "distance", settled)
 
 
+def _band(n: Column) -> Column:
+    """Sizes in bands of 2 %."""
+    return F.floor(F.log(n) / math.log(1.02)).cast("int")
+
+
+def _with_bands(rows: DataFrame, percent: int) -> DataFrame:
+    """The rows with `band`, once for each band of the sizes, its own or larger, of sets they may link with."""
+    # A link with a set of _n >= n needs 100 * n >= percent * _n and rest * (100 + percent) >= (n + _n) * percent.
+    rest = F.floor((F.col("n") - F.col("place")) * (100 + percent) / percent) - F.col("n")
+    largest = F.least(F.floor(F.col("n") * 100 / percent), rest)
+    bands = F.sequence(_band(F.col("n")), _band(largest))
+    return rows.filter(largest >= F.col("n")).withColumn("band", F.explode(bands))
+
+
 def _wide(cells: DataFrame, known: Known, partners: int) -> DataFrame:
     """Cells to be cut: cell, `size`, members at home `homes`, and the number of pivots `k`."""
-    parts = _labelled(cells.filter("NOT settled"), known.labels).groupBy("cell", "component").agg(
+    unsettled = cells.filter("NOT settled")
+    parts = _labelled(unsettled, known.labels).groupBy("cell", "component").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if("home").alias("_h")
     )
     whole = parts.groupBy("cell").agg(
@@ -509,7 +528,28 @@ def _wide(cells: DataFrame, known: Known, partners: int) -> DataFrame:
     # Where all are at home, each pair between components is in this twice.
     many = F.col("size") * F.col("homes") - F.col("_same") > 2 * partners * F.col("size")
     pivots = F.least(F.lit(max(2, partners // 2)), F.ceil(F.col("size") / partners) + 1)
-    return whole.filter(many).select("cell", "size", "homes", pivots.alias("k"))
+    whole = whole.filter(many).select("cell", "size", "homes", pivots.alias("k"))
+    # Of these pairs only those count that meet by bands, which the numbers of members in each band tell.
+    rows = unsettled.join(whole.select("cell"), "cell", "left_semi")
+    held = rows.groupBy("cell", _band(F.col("n")).alias("band")).agg(
+        F.count(F.lit(1)).alias("_all"), F.count_if("home").alias("_homes")
+    )
+    met = _with_bands(rows, known.percent).groupBy("cell", "band").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("home").alias("_h")
+    )
+    meeting = F.col("_h") * F.col("_all") + (F.col("_n") - F.col("_h")) * F.col("_homes")
+    left = met.join(held, ["cell", "band"]).groupBy("cell").agg(F.sum(meeting).alias("_meeting"))
+    whole = whole.join(left, "cell").filter(F.col("_meeting") > partners * F.col("size"))
+    whole = staged(whole, "cells-of-many-pairs")
+    # Where they are not too many, those left to be compared are counted.
+    few = whole.filter(F.col("_meeting") <= COUNTED * partners * F.col("size"))
+    pairs = _meetings(rows.join(few.select("cell"), "cell", "left_semi"), known).groupBy("cell").agg(
+        F.count(F.lit(1)).alias("_pairs")
+    )
+    narrow = few.join(pairs, "cell", "left").filter(
+        2 * F.coalesce("_pairs", F.lit(0)) <= partners * F.col("size")
+    )
+    return whole.drop("_meeting").join(narrow.select("cell"), "cell", "left_anti")
 
 
 def _cut(cells: DataFrame, known: Known, partners: int) -> DataFrame:
@@ -520,7 +560,7 @@ def _cut(cells: DataFrame, known: Known, partners: int) -> DataFrame:
         if wide.isEmpty():
             return cells
         rows = cells.join(wide, "cell")
-        mixed = F.xxhash64("doc_id", "cell", F.lit(level))
+        mixed = F.xxhash64("doc_id", F.lit(level))
         pick = F.min(F.struct(mixed, F.col("doc_id").alias("pivot"))).alias("_p")
         pivots = rows.filter("home").groupBy("cell", F.pmod(mixed, "k").alias("_slot")).agg(pick)
         pivots = staged(pivots.select("cell", F.col("_p.pivot").alias("pivot")), "cell-pivots")
@@ -574,15 +614,21 @@ def _worth(cut: DataFrame, wide: DataFrame) -> DataFrame:
     return after.join(wide, "cell").filter(fewer).filter("_members <= 2 * size").select("cell")
 
 
-def _cell_pairs(cells: DataFrame, known: Known) -> DataFrame:
-    """Pairs of a cell, one of them at home, that may be links between components."""
+def _meetings(cells: DataFrame, known: Known) -> DataFrame:
+    """Members of a cell with others, one of the two at home, that may be linked across components."""
     rows = _labelled(cells, known.labels)
     columns = ["doc_id", "n", "place", "component", "home", "distance"]
-    others = rows.select("cell", *[F.col(c).alias(f"_{c}") for c in columns])
-    met = rows.join(others, "cell").filter("doc_id < _doc_id AND component <> _component")
+    others = rows.select("cell", _band(F.col("n")).alias("band"), *[F.col(c).alias(f"_{c}") for c in columns])
+    met = _with_bands(rows, known.percent).join(others, ["cell", "band"])
+    met = met.filter("n < _n OR (n = _n AND doc_id < _doc_id)").filter("component <> _component")
     apart = F.abs(F.col("distance") - F.col("_distance")) > known.reach
     met = met.filter("home OR _home").filter(_may_link(known.percent))
-    return _ordered(met.filter(~F.coalesce(apart, F.lit(False))), "_doc_id")
+    return met.filter(~F.coalesce(apart, F.lit(False)))
+
+
+def _cell_pairs(cells: DataFrame, known: Known) -> DataFrame:
+    """The pairs of all cells that are to be compared."""
+    return _ordered(_meetings(cells, known), "_doc_id")
 
 
 def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
