@@ -3,11 +3,13 @@ import io
 import json
 import tracemalloc
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 from pyspark.sql.datasource import EqualTo, In
 
 from siftspark.sinks import write_text_files
-from siftspark.sources import category_documents, even_chunks, parse_mmcif_chunks, read_mmcif, register_mmcif
+from siftspark.sources import category_documents, even_chunks, parse_mmcif, parse_mmcif_chunks, read_mmcif, register_mmcif
 from siftspark.sources.mmcif import parse_lines, parse_text
 from siftspark.sources.mmcif_files import BATCH_CHARS, FILE_BYTES, MmcifReader, pack
 from siftspark.registry import default_registry
@@ -214,3 +216,30 @@ def test_a_file_for_each_text(spark, tmp_path, monkeypatch, packed):
     found = spark.read.format("mmcif").options(pattern="part-*", namedBy="block").load(str(tmp_path / "files"))
     values = sorted((r["experiment"], r["attributes"]["b"]) for r in found.collect())
     assert values == [("A", ["1"]), ("A", ["2"]), ("\u00c4", ["one\ntwo"])]
+
+
+def test_texts_of_one_batch_are_parsed_in_bounded_slices():
+    """Beside a batch of many texts, a task holds little."""
+
+    class Texts:
+        schema = T.StructType.fromDDL("experiment string, text string, etag string")
+
+        def mapInArrow(self, function, schema):
+            self.run, self.names = function, schema.fieldNames()
+            return self
+
+    texts = Texts()
+    parse_mmcif(texts, as_json=True)
+    rows = [(str(i), f"data_{i}\n_a.b\n;{'x' * 200_000}\n;\n" if i % 5 else None, "e") for i in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=texts.schema.fieldNames())
+    before, seen = pa.total_allocated_bytes(), []
+    tracemalloc.start()
+    for few in texts.run(iter([batch, batch.slice(0, 0)])):
+        assert few.schema.names == texts.names == ["experiment", "etag", "block", "data"]
+        assert pa.total_allocated_bytes() - before < 16 << 20
+        sizes = [len(json.loads(d).get("_a", {"b": ""})["b"]) for d in few["data"].to_pylist()]
+        seen += zip(few["experiment"].to_pylist(), few["block"].to_pylist(), sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == [(i, t and i, 200_000 if t else 0) for i, t, _ in rows]
+    assert peak < 16 << 20
