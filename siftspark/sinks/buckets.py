@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from siftspark.functions import bucket
 from siftspark.operators.constraints import assert_present, assert_unique
+from siftspark.operators.keys import distinct_keys
 from siftspark.operators.merge import merge_upsert, replace_by_key
 from siftspark.registry import LINEAGE
 from siftspark.session import discard, entries, publish, read_text
@@ -178,6 +179,11 @@ def merge_into(
     _rewrite(spark, path, schema, _buckets_of(source, n), combine, n)
 
 
+def _keeps_some(current: DataFrame, listed: DataFrame) -> bool:
+    """Whether rows stay beside the listed experiments. If none do, as in a replay, no row need be shuffled."""
+    return not current.select(LINEAGE).distinct().join(distinct_keys(listed.select(LINEAGE)), LINEAGE, "left_anti").isEmpty()
+
+
 def replace_experiments(
     spark: SparkSession,
     path: str,
@@ -197,6 +203,8 @@ def replace_experiments(
         touched |= _buckets_of(listed, n)
 
     def combine(current: DataFrame) -> DataFrame:
+        if listed is not None and not _keeps_some(current, listed):
+            current = spark.createDataFrame([], schema)
         return replace_by_key(current, source, LINEAGE, listed)
 
     _rewrite(spark, path, schema, touched, combine, n)

@@ -31,22 +31,23 @@ def write_raw(raw: DataFrame, path: str, mode: str = "append", compression: str
     raw.select(line).write.mode(mode).text(path, compression=compression)
 
 
-def write_category_documents(documents: DataFrame, root: str, mode: str = "overwrite") -> None:
+def write_category_documents(
+    documents: DataFrame, root: str, mode: str = "overwrite", even: bool = True
+) -> None:
     """Category documents with their number of rows, one directory per category.
 
     A directory per experiment as well would mean one small file for each pair, so the
     experiment stays a column. REBALANCE evens out file sizes; a large category is spread
-    over many files.
+    over many files. Without `even` every task writes what it has, and no document is shuffled:
+    for folders that are read once and removed.
     """
-    (
-        documents.select(
-            "experiment", "category", "attributes", table_rows(F.col("attributes")).alias("n_rows")
-        )
-        .hint("rebalance", "category")
-        .write.mode(mode)
-        .partitionBy("category")
-        .parquet(root)
+    rows = documents.select(
+        "experiment", "category", "attributes", table_rows(F.col("attributes")).alias("n_rows")
     )
+    if even:
+        rows.hint("rebalance", "category").write.mode(mode).partitionBy("category").parquet(root)
+    else:
+        rows.write.mode(mode).partitionBy("category").option("compression", "zstd").parquet(root)
 
 
 def write_texts(texts: DataFrame, path: str, mode: str = "append") -> None:

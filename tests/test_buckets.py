@@ -150,3 +150,22 @@ def test_null_safe_merges_take_incomplete_keys(spark, tmp_path):
     for _ in range(2):
         merge_into(spark, path, SPEC.bronze_schema(), twice, ["experiment", "entry_id"], null_safe=True, n=4)
     assert len(rows(read_table(spark, path, SPEC.bronze_schema(), 4))) == len(before) + 2
+
+
+@pytest.mark.parametrize("kept", [[], ["0007"], [None]])
+def test_rows_are_only_looked_through_where_some_are_kept(spark, tmp_path, monkeypatch, kept):
+    path, schema = str(tmp_path / "t"), SPEC.bronze_schema()
+    names, seen = [f"{i:04d}" for i in range(40) if f"{i:04d}" not in kept], []
+    sink.write_table(frame(spark, names, "EPR").unionByName(frame(spark, kept, "EPR")), path, 1)
+    replace = sink.replace_by_key
+
+    def watch(target, *rest):
+        seen.append(target.count())
+        return replace(target, *rest)
+
+    monkeypatch.setattr(sink, "replace_by_key", watch)
+    source = frame(spark, names, "SOLUTION NMR")
+    sink.replace_experiments(spark, path, schema, source, listed=source.select("experiment"), n=1)
+    expected = [(x, x, "SOLUTION NMR") for x in names] + [(x, x, "EPR") for x in kept]
+    assert rows(read_table(spark, path, schema, 1)) == sorted(expected, key=repr)
+    assert seen == [len(names) + len(kept) if kept else 0]

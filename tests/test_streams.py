@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftspark.functions import not_held
+from siftspark.sinks import write_category_documents
 from siftspark.streaming import stream_inferred
+from siftspark.streaming.files import _latest
 
 DDL = (
     "id long, price double, exact decimal(10,2), ok boolean, name string, o struct<x: long, p: struct<y: string>>, "
@@ -68,3 +70,31 @@ def test_nothing_is_null_in_both_places(spark, tmp_path):
     kept = ['{"id": 3, "o": {"x": 4}}', '{"id": null}']
     assert sorted(rescued) == sorted(x for x in later if x not in kept)
     assert sorted(held, key=repr) == sorted([(1, 1), (2, None), (3, 4), (None, None)], key=repr)
+
+
+@pytest.mark.parametrize("again, shuffled", [([], False), ([3, 7], True), (range(20), True)])
+def test_only_experiments_that_come_again_are_shuffled(spark, again, shuffled):
+    columns = "experiment string, etag string, data string, landed_at int, file string, part_of_file long, place long"
+    rows = [(f"E{i}", "first", f"d{i}", 1, "b", 9, 9) for i in range(20)]
+    rows += [(f"E{i}", "last", f"d{i}", 1, "b", 9, 10) for i in again]
+    rows += [(f"E{i}", "other file", f"d{i}", 1, "a", 99, 99) for i in again]
+    latest = _latest(spark.createDataFrame(rows, columns))
+    found = {r["experiment"]: (r["etag"], r["data"]) for r in latest.collect()}
+    assert latest.count() == 20
+    assert found == {f"E{i}": ("last" if i in again else "first", f"d{i}") for i in range(20)}
+    assert ("SortAggregate" in plan_of(latest)) is shuffled
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_category_documents_without_a_shuffle(spark, tmp_path):
+    rows = [(f"E{i}", c, {"a": [str(i)] * 3}) for i in range(50) for c in ("entity", "exptl")]
+    documents = spark.createDataFrame(rows, "experiment string, category string, attributes map<string,array<string>>")
+    write_category_documents(documents.coalesce(2), str(tmp_path / "tasks"), even=False)
+    write_category_documents(documents.coalesce(2), str(tmp_path / "even"))
+    read = [sorted(map(str, spark.read.parquet(str(tmp_path / x)).collect())) for x in ("tasks", "even")]
+    assert read[0] == read[1] and len(read[0]) == 100
+    # Each of the two tasks wrote what it had of a category.
+    assert len(list((tmp_path / "tasks" / "category=entity").glob("*.parquet"))) == 2
