@@ -6,44 +6,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftspark.llm.common import staged
+from siftspark.operators.scope import broadcast_if_small
 
+#: Bytes of rows of numbers that are broadcast, by their measured size, rather than shuffled.
+NEAR_BYTES = 16 << 20
 
-def _mark(edges: DataFrame) -> tuple:
-    """Number of edges and the sum of their hashes: equal for equal sets of edges."""
-    hashes = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count(F.lit(1)), hashes).first())
+
+def _least(edges: DataFrame) -> DataFrame:
+    """doc_id, component (its smallest end), loose (whether its edges are more than one star's) per node."""
+    roots = edges.select(F.col("b").alias("a"), "b")
+    least = edges.unionByName(roots).groupBy(F.col("a").alias("doc_id")).agg(
+        F.min("b").alias("component"), F.max("b").alias("_most")
+    )
+    return least.select("doc_id", "component", (F.col("component") < F.col("_most")).alias("loose"))
+
+
+def _round(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Large-star, then small-star: edges (a, b), a > b, of the same components."""
+    near = broadcast_if_small(least.select("doc_id", "component"), NEAR_BYTES)
+    # A node hangs its larger neighbours onto the smallest it sees: seen from them, b becomes b's least.
+    large = edges.join(near, F.col("b") == F.col("doc_id")).select("a", F.col("component").alias("b"))
+    ends = large.groupBy(F.col("a").alias("_a")).agg(F.min("b").alias("_least"))
+    small = large.join(ends, F.col("a") == F.col("_a"))
+    hung = small.select("b", "_least").filter("b <> _least").toDF("a", "b")
+    return hung.unionByName(small.select("a", F.col("_least").alias("b"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """doc_id, component (the smallest id reachable) for every end of an edge (a, b).
 
     Large-star, small-star: each node hangs its neighbours onto the smallest id it sees, until
-    every component is one star. A hot node costs rows of two numbers, added up map-side.
+    every component is one star, which one aggregate tells. A hot node costs rows of two numbers,
+    added up map-side.
     """
-    stars = edges.filter("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
-    ).distinct()
-    stars = staged(stars, "edges")
-    before = _mark(stars)
+    stars = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     while True:
-        both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        large = (
-            both.join(least, "a")
-            .filter("b > a")
-            .select(F.col("b").alias("a"), F.col("least").alias("b"))
-            .distinct()
-        )
-        large = staged(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a")
-        hung = small.select("b", "least").filter("b <> least").toDF("a", "b")
-        hung = hung.unionByName(small.select("a", F.col("least").alias("b"))).distinct()
-        following = staged(hung, "small-star")
-        after = _mark(following)
-        stars, changed, before = following, after != before, after
-        if not changed:
-            break
-    roots = stars.select(F.col("b").alias("doc_id"), F.col("b").alias("component")).distinct()
-    leaves = stars.groupBy(F.col("a").alias("doc_id")).agg(F.min("b").alias("component"))
-    return leaves.unionByName(roots)
+        least = staged(_least(stars), "least-ends")
+        if least.filter("loose").isEmpty():
+            return least.select("doc_id", "component")
+        stars = staged(_round(stars, least), "stars")

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftspark.llm.common import slices, staged
-from siftspark.llm.components import components
+from siftspark.llm.components import NEAR_BYTES, components
 from siftspark.operators.scope import broadcast_if_small
 
 WORDS = 5
@@ -304,8 +304,11 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "both", "either"])
 
     texts = docs.select("doc_id", "text")
-    ends = staged(pairs.select("a").distinct(), "pivots")
-    side_a = texts.join(broadcast_if_small(ends.withColumnRenamed("a", "doc_id")), "doc_id", "left_semi")
+    every = pairs.select(F.col("a").alias("doc_id"))
+    ends = broadcast_if_small(every)
+    if ends is every:
+        ends = broadcast_if_small(staged(every.distinct(), "pivots"))
+    side_a = texts.join(ends, "doc_id", "left_semi")
     side_b = texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}).join(
         broadcast_if_small(pairs.select("a", "b")), "b"
     )
@@ -356,6 +359,7 @@ def similarity_components(
     tried = None
     for turn in range(rounds):
         pivots = staged(_pivots(members, known.labels, tried, turn), "pivots-of-regions")
+        pivots = broadcast_if_small(pivots, NEAR_BYTES)
         used = pivots.select("region", "_doc_id")
         tried = used if tried is None else tried.unionByName(used)
         # Pivots that have no one to meet say nothing about the pairs of other documents.
@@ -396,16 +400,10 @@ def _with_centres(members: DataFrame) -> DataFrame:
 
 
 def _open_rows(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """The labelled members of regions in several components, with the centre's `_home_component`."""
+    """The labelled members of regions in several components."""
     rows = _labelled(members, labels)
-    rows = rows.withColumn("_home", F.when(F.col("doc_id") == F.col("centre"), F.col("component")))
-    open_ = rows.groupBy("region").agg(
-        F.min("component").alias("_low"),
-        F.max("component").alias("_high"),
-        F.max("_home").alias("_home_component"),
-    )
-    open_ = open_.filter("_low < _high").select("region", "_home_component")
-    return rows.drop("_home").join(open_, "region")
+    open_ = rows.groupBy("region").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    return rows.join(open_.filter("_low < _high").select("region"), "region")
 
 
 def _pivots(
@@ -414,16 +412,23 @@ def _pivots(
     """A pivot for each open region: region, _doc_id, _n, _place, _component.
 
     The region's centre comes first, then the member of most weight outside the centre's
-    component that was no pivot of the region (`tried`) before.
+    component that was no pivot of the region (`tried`) before. A member outside it shows that a region is open.
     """
-    rows = _open_rows(members, labels)
+    rows = _labelled(members, labels)
     if turn == 0:
         at = rows.filter("doc_id = centre")
+        return at.select("region", *[F.col(c).alias(f"_{c}") for c in ("doc_id", "n", "place", "component")])
+    homes = rows.select("region", "weight", "doc_id", "n", "place", "component", F.col("centre").alias("_at"))
+    if labels is None:
+        homes = homes.withColumn("_home", F.col("_at"))
     else:
-        at = rows.filter(F.col("component") != F.col("_home_component"))
-        if turn > 1:
-            before = tried.withColumnRenamed("_doc_id", "doc_id")
-            at = at.join(before, ["region", "doc_id"], "left_anti")
+        known = labels.select(F.col("doc_id").alias("_doc"), F.col("component").alias("_home"))
+        homes = homes.join(known, F.col("_at") == F.col("_doc"), "left").drop("_doc")
+        homes = homes.withColumn("_home", F.coalesce("_home", "_at"))
+    at = homes.filter("component <> _home")
+    if turn > 1:
+        before = broadcast_if_small(tried.withColumnRenamed("_doc_id", "doc_id"), NEAR_BYTES)
+        at = at.join(before, ["region", "doc_id"], "left_anti")
     columns = ["doc_id", "n", "place", "component"]
     pick = F.min(F.struct(-F.col("weight"), *columns))
     picked = at.groupBy("region").agg(pick.alias("_p"))
@@ -452,24 +457,29 @@ def _ordered(met: DataFrame, other: str) -> DataFrame:
 
 
 class Known:
-    """What comparisons have shown: `checked` pairs with their sizes, `links`, and their `labels`."""
+    """What comparisons have shown: `checked` pairs with their sizes, and the `labels` of what is linked."""
 
     def __init__(self, docs: DataFrame, percent: int):
         self.docs, self.percent = docs, percent
-        self.checked = self.links = self.labels = None
+        self.checked = self.labels = None
 
     def compare(self, pairs: DataFrame) -> None:
         """Compare the pairs (a, b) that were not yet, and label the documents anew."""
         if self.checked is not None:
-            pairs = pairs.join(self.checked.select("a", "b"), ["a", "b"], "left_anti")
+            before = broadcast_if_small(self.checked.select("a", "b"), NEAR_BYTES)
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         if pairs.isEmpty():
             return
         sizes = staged(verify(pairs, self.docs, self.percent), "verified")
-        found = sizes.filter(F.col("both") * 100 >= F.col("either") * self.percent).select("a", "b")
-        self.links = found if self.links is None else self.links.unionByName(found)
         self.checked = sizes if self.checked is None else self.checked.unionByName(sizes)
-        self.labels = staged(components(self.links), "labels")
+        links = sizes.filter(F.col("both") * 100 >= F.col("either") * self.percent).select("a", "b")
+        if links.isEmpty():
+            return
+        if self.labels is not None:
+            # What was linked before is one star a component.
+            links = links.unionByName(self.labels.toDF("a", "b"))
+        self.labels = broadcast_if_small(components(links), NEAR_BYTES)
 
     @property
     def reach(self) -> float:
@@ -484,6 +494,7 @@ class Known:
         measured = self.checked.select(
             F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("both") / F.col("either")).alias("_d")
         )
+        measured = broadcast_if_small(measured, NEAR_BYTES)
         pair = (F.least("doc_id", pivot) == F.col("_a")) & (F.greatest("doc_id", pivot) == F.col("_b"))
         found = rows.join(measured, pair, "left").withColumn("distance", F.coalesce(own, "_d"))
         return found.drop("_a", "_b", "_d")
@@ -528,7 +539,10 @@ def _wide(cells: DataFrame, known: Known, partners: int) -> DataFrame:
     # Where all are at home, each pair between components is in this twice.
     many = F.col("size") * F.col("homes") - F.col("_same") > 2 * partners * F.col("size")
     pivots = F.least(F.lit(max(2, partners // 2)), F.ceil(F.col("size") / partners) + 1)
-    whole = whole.filter(many).select("cell", "size", "homes", pivots.alias("k"))
+    whole = staged(whole.filter(many).select("cell", "size", "homes", pivots.alias("k")), "cells-of-many-members")
+    if whole.isEmpty():
+        return whole
+    whole = broadcast_if_small(whole, NEAR_BYTES)
     # Of these pairs only those count that meet by bands, which the numbers of members in each band tell.
     rows = unsettled.join(whole.select("cell"), "cell", "left_semi")
     held = rows.groupBy("cell", _band(F.col("n")).alias("band")).agg(
@@ -541,6 +555,9 @@ def _wide(cells: DataFrame, known: Known, partners: int) -> DataFrame:
     left = met.join(held, ["cell", "band"]).groupBy("cell").agg(F.sum(meeting).alias("_meeting"))
     whole = whole.join(left, "cell").filter(F.col("_meeting") > partners * F.col("size"))
     whole = staged(whole, "cells-of-many-pairs")
+    if whole.isEmpty():
+        return whole.drop("_meeting")
+    whole = broadcast_if_small(whole, NEAR_BYTES)
     # Where they are not too many, those left to be compared are counted.
     few = whole.filter(F.col("_meeting") <= COUNTED * partners * F.col("size"))
     pairs = _meetings(rows.join(few.select("cell"), "cell", "left_semi"), known).groupBy("cell").agg(

@@ -5,6 +5,7 @@ import hashlib
 import io
 import json
 import os
+import random
 import re
 import zipfile
 
@@ -14,6 +15,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftspark.llm import chat, jaccard, suffix_dedup, warc, zipfiles
+from siftspark.llm import components as graph
+from siftspark.llm.common import staged
 from siftspark.llm.induced import sort_suffixes
 from siftspark.llm.jaccard import similarity_components
 from siftspark.llm.queries import QUERIES
@@ -154,6 +157,52 @@ def test_components_after_rounds_without_pairs(spark, others):
     assert {r.doc_id: r.component_id for r in found} == {i: min(i, 8) for i, _ in docs}
 
 
+def components_of(spark, monkeypatch, edges):
+    """The labels of an edge list and how many tables were written for them."""
+    written = []
+    monkeypatch.setattr(graph, "staged", lambda df, name: written.append(name) or staged(df, name))
+    found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
+    return {r.doc_id: r.component for r in found}, len(found), len(written)
+
+
+def test_one_aggregate_tells_that_components_are_stars(spark, monkeypatch):
+    edges = [(1, 7), (9, 1), (1, 7), (2, 8), (3, 3)]
+    assert components_of(spark, monkeypatch, edges) == ({1: 1, 7: 1, 9: 1, 2: 2, 8: 2}, 5, 1)
+    # One round makes stars of links that meet in a larger id, and one more table shows it.
+    edges = [(1, 5), (2, 5), (4, 9), (3, 9)]
+    wanted = {1: 1, 2: 1, 5: 1, 3: 3, 4: 3, 9: 3}
+    assert components_of(spark, monkeypatch, edges) == (wanted, 6, 3)
+
+
+def test_components_of_random_graphs_and_paths(spark, monkeypatch):
+    dice = random.Random(5)
+    edges = [(dice.randrange(400), dice.randrange(400)) for _ in range(260)]
+    path = dice.sample(range(1000, 1080), 80)
+    edges += zip(path, path[1:])
+    wanted = {i: i for e in edges if e[0] != e[1] for i in e}
+    for _ in wanted:
+        for a, b in edges:
+            if a != b:
+                wanted[a] = wanted[b] = min(wanted[a], wanted[b])
+    found, rows, _ = components_of(spark, monkeypatch, edges)
+    assert found == wanted and rows == len(wanted)
+
+
+def test_pairs_without_links_leave_the_labels(spark, monkeypatch):
+    texts = [(i, f"one two three four five {'six' if i < 3 else i}") for i in range(1, 6)]
+    known = jaccard.Known(spark.createDataFrame(texts, "doc_id long, text string"), 80)
+    pairs = lambda *rows: spark.createDataFrame(rows, "a long, b long")
+    known.compare(pairs((1, 4)))
+    assert known.labels is None
+    known.compare(pairs((1, 2)))
+    before = known.labels
+    monkeypatch.setattr(jaccard, "components", None)
+    known.compare(pairs((1, 2), (2, 4), (3, 5)))
+    assert known.labels is before
+    assert {tuple(r) for r in before.collect()} == {(1, 1), (2, 1)}
+    assert known.checked.count() == 4
+
+
 def test_components_by_voronoi_cells(spark, monkeypatch):
     """Heads that 32 texts share, four like each other: regions that have to be cut more than once."""
 
