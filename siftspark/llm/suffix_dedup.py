@@ -36,6 +36,7 @@ from siftspark.operators.scope import broadcast_if_small
 
 GRAM = 24
 CHUNK = 1 << 20  # bytes looked at together
+BLOCK = 1 << 14  # bytes hashed at once, so that the arrays stay in a core's cache
 PLACE_BITS = np.uint64(24)
 PLACE_MASK = np.uint64((1 << 24) - 1)
 BASE = np.uint64(0x9E3779B185EBCA87)
@@ -43,25 +44,23 @@ FINAL = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """Hash of the gram that starts at each byte, by doubling; of no meaning near the end."""
+    """Hash of each gram, by doubling; one for each place where a whole gram starts."""
     total, reach, power = None, 0, BASE
     part, size = (data.astype(np.uint64) + np.uint64(1)) * FINAL, 1
     rest = gram
     while rest:
         if rest & 1:
             if total is None:
-                total = part.copy()
+                total = part
             else:
-                shifted = np.zeros_like(part)
-                shifted[: len(part) - reach] = part[reach:]
-                with np.errstate(over="ignore"):
-                    total = total * pow_of(size) + shifted
+                ahead = part[reach:]
+                total = total[: len(ahead)] * pow_of(size) + ahead
             reach += size
         rest >>= 1
         if rest:
-            ahead = np.zeros_like(part)
-            ahead[: len(part) - size] = part[size:]
-            part = part * power + ahead
+            ahead = part[size:]
+            part = part[: len(ahead)] * power
+            part += ahead
             power = np.uint64(int(power) ** 2 & 0xFFFFFFFFFFFFFFFF)
             size *= 2
     total ^= total >> np.uint64(31)
@@ -92,23 +91,29 @@ def runs(texts: list[bytes], span: int, gram: int) -> Iterator[tuple[np.ndarray,
         yield _runs_of(pieces, span, gram)
 
 
+def _least_grams(data: np.ndarray, span: int, gram: int, at: int) -> np.ndarray:
+    """The least hash of each string's grams, with the gram's place (counted from `at`) in its low bits."""
+    least = gram_hashes(data, gram)
+    least &= ~PLACE_MASK
+    least |= np.arange(at, at + len(least), dtype=np.uint64)
+    reach, want = 1, span - gram + 1
+    while reach < want:
+        step = min(reach, want - reach)
+        least = np.minimum(least[:-step], least[step:])
+        reach += step
+    return least
+
+
 def _runs_of(pieces: list[tuple[int, int, bytes]], span: int, gram: int) -> tuple[np.ndarray, ...]:
     data = np.frombuffer(b"".join(p[2] for p in pieces), np.uint8)
     lengths = np.array([len(p[2]) for p in pieces])
     starts = np.r_[0, np.cumsum(lengths)[:-1]]
     n = len(data)
-    value = gram_hashes(data, gram)
-    value &= ~PLACE_MASK
-    value |= np.arange(n, dtype=np.uint64)
-    # The least of the next `reach` values; grams that cross a text's end are in no valid string.
-    reach, least = 1, value
-    want = span - gram + 1
-    while reach < want:
-        step = min(reach, want - reach)
-        ahead = np.full_like(least, np.iinfo(np.uint64).max)
-        ahead[: n - step] = least[step:]
-        least = np.minimum(least, ahead)
-        reach += step
+    # Grams that cross a text's end are in no valid string.
+    least = np.zeros(n, np.uint64)
+    for at in range(0, n - span + 1, BLOCK):
+        found = _least_grams(data[at : at + BLOCK + span - 1], span, gram, at)
+        least[at : at + len(found)] = found
     piece = np.repeat(np.arange(len(pieces)), lengths)
     inside = np.arange(n) - starts[piece]
     valid = inside <= lengths[piece] - span

@@ -7,6 +7,7 @@ import json
 import os
 import random
 import re
+import tracemalloc
 import zipfile
 
 import numpy as np
@@ -101,6 +102,29 @@ def test_suffix_dedup_of_a_gram_larger_than_a_shard(spark, monkeypatch):
     assert len(sizes) == 1 and sizes[0] <= 256
 
 
+def test_grams_are_hashed_in_blocks(monkeypatch):
+    dice = random.Random(3)
+    texts_ = [bytes(dice.choices(b"ab ", k=k)) for k in (0, 7, 8, 9, 500, 64, 3)]
+    every = [[x.tolist() for x in found] for found in suffix_dedup.runs(texts_, 8, 5)]
+    for block in (1, 7, 64):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        assert every == [[x.tolist() for x in found] for found in suffix_dedup.runs(texts_, 8, 5)]
+    # Strings in a run share their least gram, and all strings are in one.
+    for number, start, end, _ in zip(*every[0]):
+        shared = set.intersection(*({texts_[number][i + k : i + k + 5] for k in range(4)} for i in range(start, end + 1)))
+        assert shared
+    assert sum(e - s + 1 for s, e in zip(*every[0][1:3])) == sum(max(len(t) - 7, 0) for t in texts_)
+
+
+def test_hashing_a_chunk_takes_little_memory():
+    data = np.random.default_rng(1).integers(0, 256, suffix_dedup.CHUNK, np.uint8)
+    tracemalloc.start()
+    suffix_dedup._runs_of([(0, 0, data.tobytes())], 50, 24)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 66 * len(data)
+
+
 @needs_tables
 def test_suffix_dedup_of_documents(spark):
     found = remove_repeats(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect()
